@@ -279,3 +279,7 @@ SELECT chapter_number, page_number, CAST(sidx AS BIGINT) AS sidx,
        says AS luffy_says_it, alias_hit AND NOT says AS about_luffy
 FROM t WHERE lower(phrase) LIKE '%de la%'""",
 }
+
+from .oracle_ops import SQL_OPS  # noqa: E402
+
+SQL.update(SQL_OPS)

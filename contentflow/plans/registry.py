@@ -272,3 +272,8 @@ def new_scratch(spark: SparkSession, tag: str) -> str:
     from ..session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{tag}-{uuid.uuid4().hex}"
+
+
+# Monitoring, budget, audit, billing, sources and streaming queries register
+# themselves on import.
+from . import registry_ops as _ops  # noqa: E402,F401
