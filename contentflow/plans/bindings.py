@@ -52,7 +52,10 @@ def job_of_user() -> Column:
 # --------------------------------------------------------------------------
 
 def logs(spark, sf_dir) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return logs_from_events(table(spark, sf_dir, "events"))
+
+
+def logs_from_events(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("ts").cast("timestamp").alias("ts"),
         _case("event_type", SEVERITY_BY_EVENT).alias("severity"),
@@ -64,7 +67,10 @@ def logs(spark, sf_dir) -> DataFrame:
 
 
 def executions(spark, sf_dir) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return executions_from_events(table(spark, sf_dir, "events"))
+
+
+def executions_from_events(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("ts").cast("timestamp").alias("ts"),
         job_of_user().alias("job_name"),
@@ -74,7 +80,10 @@ def executions(spark, sf_dir) -> DataFrame:
 
 
 def uptime(spark, sf_dir) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return uptime_from_events(table(spark, sf_dir, "events"))
+
+
+def uptime_from_events(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("ts").cast("timestamp").alias("ts"),
         F.concat(F.lit("h"), (F.col("user_id") % 2).cast("string")).alias("host"),
@@ -84,9 +93,13 @@ def uptime(spark, sf_dir) -> DataFrame:
 
 
 def budget_messages(spark, sf_dir) -> DataFrame:
+    return budget_messages_from_events(table(spark, sf_dir, "events"))
+
+
+def budget_messages_from_events(ev: DataFrame) -> DataFrame:
     """One message per purchase: costAmount = value, budgetAmount = 50, 0 when
     user_id % 10 = 0, key absent when user_id % 10 = 5; base64 of the JSON."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    ev = ev.where(F.col("event_type") == "purchase")
     cost = F.format_string("%s", F.col("value").cast("string"))
     budget = F.when(F.col("user_id") % 10 == 0, F.lit("0")).otherwise(F.lit("50"))
     body = F.when(F.col("user_id") % 10 == 5,
@@ -99,7 +112,10 @@ def budget_messages(spark, sf_dir) -> DataFrame:
 
 
 def audit_log(spark, sf_dir) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return audit_log_from_events(table(spark, sf_dir, "events"))
+
+
+def audit_log_from_events(ev: DataFrame) -> DataFrame:
     u = F.col("user_id")
     resource = (F.when(u % 5 == 0, F.lit("projects/p/datasets/d/tables/speakers"))
                 .when(u % 5 == 1, F.lit("projects/p/secrets/gemini-api-key"))

@@ -231,3 +231,33 @@ FROM o GROUP BY 1""",
     "agg_cost_by_service_literal": cost("suffix BETWEEN '19960101' AND '19961231'", group_struct=True),
     "agg_cost_last30_top10": cost("ingest_date >= DATE '2001-11-04' - INTERVAL 30 DAY", limit="LIMIT 10"),
 }
+
+from .oracle import SQL as _BASE  # noqa: E402
+
+SQL_OPS.update({
+    "src_sharded_logs": f"""WITH {LOGS}
+SELECT CAST(ts AS DATE) AS log_date, job_name, count(*) AS n_rows FROM logs
+WHERE job_name IN ('job-0', 'job-1', 'job-2')
+  AND CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'
+GROUP BY 1, 2""",
+
+    "src_manifest": """SELECT '2024-01-31T00:00:00+00:00' AS scraped_at, CAST(doc_id AS VARCHAR) AS chapter_number,
+       'https://h/chapitre-' || CAST(doc_id AS VARCHAR) || '-vf/' AS url, n_chars AS image_count,
+       'onepiecescan.fr' AS source, 'fr' AS language
+FROM documents""",
+
+    "stream_failures": _BASE["agg_weekly_failures"],
+
+    "stream_job_errors": f"""WITH {LOGS},
+c AS (SELECT {bucket(60)} AS period_start, job_name, severity, count(*) AS value
+      FROM logs WHERE severity IN {SEV_ERR} GROUP BY 1, 2, 3)
+SELECT period_start, period_start + INTERVAL '60 seconds' AS period_end, job_name, severity, value
+FROM c WHERE period_start + INTERVAL '60 seconds'
+      <= (SELECT max(ts) FROM logs WHERE severity IN {SEV_ERR}) - INTERVAL '10 minutes'""",
+
+    "stream_budget_decisions": SQL_OPS["budget_decision"],
+
+    "stream_route_logs": f"""WITH {LOGS}
+SELECT CAST(ts AS DATE) AS log_date, job_name, count(*) AS n_rows FROM logs
+WHERE job_name IN ('job-0', 'job-1', 'job-2') GROUP BY 1, 2""",
+})

@@ -277,3 +277,4 @@ def new_scratch(spark: SparkSession, tag: str) -> str:
 # Monitoring, budget, audit, billing, sources and streaming queries register
 # themselves on import.
 from . import registry_ops as _ops  # noqa: E402,F401
+from . import registry_io as _io  # noqa: E402,F401
