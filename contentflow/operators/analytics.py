@@ -73,51 +73,67 @@ def _frame(n: int) -> tuple[int, int]:
 
 def centered_mean(df: DataFrame, order: list[str], value: str, n: int = 50, *,
                   partition: list[str] | None = None, block: int = 4096,
-                  out: str = "rolling_mean") -> DataFrame:
-    """pandas ``rolling(n, center=True).mean()`` over ``order``: NULL unless all
-    ``n`` values of the frame are present (edges included).
-
-    With ``partition`` the plain window is used (each series is its own
-    window partition).  Without it the global order is split into blocks of
-    ``block`` consecutive rows with a halo (see module notes)."""
+                  out: str = "rolling_mean", plain: bool = False) -> DataFrame:
+    """pandas ``rolling(n, center=True).mean()`` over ``order`` (within each
+    ``partition`` key): NULL unless all ``n`` values of the frame are present
+    (edges included).
+
+    Default plan (skew-safe): rows are numbered densely per key, cut into
+    blocks of ``block`` consecutive rows, and each row is also copied to the
+    neighbouring block whose frame needs it (the halo).  The window then runs
+    per (key, block): no task holds more than ``block + n`` rows, however hot
+    a key is.  ``plain=True`` uses one window partition per key instead."""
     back, fwd = _frame(n)
-    if partition:
-        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-back, fwd)
+    part = list(partition or [])
+    if plain:
+        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(-back, fwd)
         return df.withColumn(out, F.when(F.count(value).over(w) == n, F.avg(value).over(w)))
     if block < n:
         raise ValueError("block must be at least the window length")
-    indexed = dense_index(df, order, "_i")
+    indexed = dense_index(df, order, "_i", partition=part)
     i = F.col("_i")
     home = F.floor(i / block)
     needed_by = F.array_distinct(F.array(home, F.floor((i + back) / block),
                                          F.floor(F.greatest(i - fwd, F.lit(0)) / block)))
     halo = indexed.select("*", home.alias("_home"), F.explode(needed_by).alias("_blk"))
-    w = Window.partitionBy("_blk").orderBy("_i").rowsBetween(-back, fwd)
+    w = Window.partitionBy(*part, "_blk").orderBy("_i").rowsBetween(-back, fwd)
     res = halo.withColumn(out, F.when(F.count(value).over(w) == n, F.avg(value).over(w)))
     return res.where(F.col("_blk") == F.col("_home")).drop("_blk", "_home", "_i")
 
 
-def dense_index(df: DataFrame, order: list[str], name: str = "_i") -> DataFrame:
-    """0-based position of each row in the global ``order`` without a
-    single-partition window: range-partition + sort, number rows inside each
-    partition, add the running count of all earlier partitions (a table of
-    one row per partition, broadcast).  The numbered frame is checkpointed so
-    the range boundaries and row ids are fixed even if tasks are retried."""
-    ranged = (df.repartitionByRange(*[F.col(c) for c in order])
-              .sortWithinPartitions(*order)
+def dense_index(df: DataFrame, order: list[str], name: str = "_i", *,
+                partition: list[str] | None = None) -> DataFrame:
+    """0-based position of each row in ``order`` (per ``partition`` key)
+    without a single-partition window.
+
+    Range-partition on (key, order) and sort inside partitions, so the rows
+    of a key are contiguous and ordered inside every Spark partition; a
+    monotonically increasing id gives each row's position in its partition.
+    A small table of (partition id, key) -> row count and first id (at most
+    #partitions + #keys rows) yields each key's running offset; it is joined
+    back by broadcast.  The numbered frame is checkpointed (reliably, into
+    ``spark.checkpoint.dir``) so range boundaries and ids stay fixed if tasks
+    are retried or executors are lost."""
+    part = list(partition or [])
+    keys = part + list(order)
+    ranged = (df.repartitionByRange(*[F.col(c) for c in keys])
+              .sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
-    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("_n")).alias("_off"))
-    # One row per input partition: bounded by the partition count.
-    return (ranged.join(F.broadcast(offsets), pid == F.col("_pid"))
-            .withColumn(name, F.col("_off") + local)
-            .drop("_mid", "_pid", "_off"))
+    counts = ranged.groupBy(pid.alias("_pid"), *part).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = counts.select("_pid", *part, "_first",
+                            (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
+    offsets_b = F.broadcast(offsets.select("_pid", *[F.col(c).alias("_k_" + c) for c in part],
+                                           "_first", "_off"))
+    cond = pid == F.col("_pid")
+    for c in part:
+        cond = cond & F.col(c).eqNullSafe(F.col("_k_" + c))
+    return (ranged.join(offsets_b, cond)
+            .withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first"))
+            .drop("_mid", "_pid", "_off", "_first", *["_k_" + c for c in part]))
 
 
 # --------------------------------------------------------------------------
@@ -145,6 +161,8 @@ def interval_counts(df: DataFrame, intervals: DataFrame, key: str = "chapter_num
         hits = (per_key.withColumn("_b", F.floor(F.col("_k") / b))
                 .join(dim_b, "_b").where(F.col("_k").between(F.col("lo"), F.col("hi"))))
     counted = hits.groupBy("name").agg(F.sum("_n").alias("_cnt"))
+    # One row per interval at most: broadcast when the dimension is small.
+    counted = F.broadcast(counted) if small else counted
     return (intervals.join(counted, "name", "left")
             .select("name", "family", "lo", "hi", range_label(F.col("lo"), F.col("hi")).alias("label"),
                     F.coalesce(F.col("_cnt"), F.lit(0)).cast("long").alias("n_chapters"),

@@ -280,6 +280,13 @@ SELECT chapter_number, page_number, CAST(sidx AS BIGINT) AS sidx,
 FROM t WHERE lower(phrase) LIKE '%de la%'""",
 }
 
+SQL.update({
+    "src_chapters": f"""WITH {CHAPTERS}
+SELECT chapter_number, url, image_count, source, language, scraped_at FROM chapters ORDER BY chapter_number""",
+    "src_speakers": f"""WITH {speakers_cte()}
+SELECT chapter_number, speaker, phrase, luffy_says_it, about_luffy FROM speakers ORDER BY chapter_number""",
+})
+
 from .oracle_ops import SQL_OPS  # noqa: E402
 
 SQL.update(SQL_OPS)

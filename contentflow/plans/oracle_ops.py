@@ -89,6 +89,27 @@ SELECT job_name, min(period_start) AS opened_at, max(period_start) AS last_firin
 FROM t GROUP BY job_name, sid"""
 
 
+NEXT_OLDER = f"""{UPTIME},
+a AS (SELECT host, region, {bucket(60)} AS m, arg_max(check_passed, ts) AS v FROM uptime GROUP BY 1, 2, 3),
+b AS (SELECT host, region, min(m) AS lo, max(m) AS hi FROM a GROUP BY 1, 2),
+g AS (SELECT host, region, unnest(generate_series(lo, hi, INTERVAL '60 seconds')) AS m FROM b),
+f AS (SELECT g.host, g.region, g.m,
+             last_value(a.v IGNORE NULLS) OVER (PARTITION BY g.host, g.region ORDER BY g.m
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
+      FROM g LEFT JOIN a ON a.host = g.host AND a.region = g.region AND a.m = g.m)"""
+
+
+def downtime_sql(cond: str) -> str:
+    return f"""WITH {NEXT_OLDER},
+c AS (SELECT host, m, count(*) FILTER (WHERE NOT v) AS cf FROM f WHERE v IS NOT NULL GROUP BY 1, 2),
+bad AS (SELECT host, m, CAST(epoch(m) AS BIGINT) // 60 - row_number() OVER (PARTITION BY host ORDER BY m) AS grp
+        FROM c WHERE {cond}),
+runs AS (SELECT host, grp, min(m) AS run_start, max(m) AS last_m, count(*) AS n FROM bad GROUP BY 1, 2)
+SELECT host, run_start, last_m + INTERVAL '60 seconds' AS run_end, n AS n_periods,
+       run_start + INTERVAL '300 seconds' AS fired_at
+FROM runs WHERE n * 60 >= 300"""
+
+
 def cost(where: str, group_struct: bool = False, limit: str = "") -> str:
     grp = "service_id, description, currency" if group_struct else "description, currency"
     return f"""WITH {BILLING}
@@ -160,21 +181,13 @@ SELECT job_name, period_start, period_start + INTERVAL '60 seconds' AS period_en
     "alert_incidents": incidents("24 hours"),
     "alert_incidents_1h": incidents("1 hour"),
 
-    "alert_downtime": f"""WITH {UPTIME},
-a AS (SELECT host, region, {bucket(60)} AS m, arg_max(check_passed, ts) AS v FROM uptime GROUP BY 1, 2, 3),
-b AS (SELECT host, region, min(m) AS lo, max(m) AS hi FROM a GROUP BY 1, 2),
-g AS (SELECT host, region, unnest(generate_series(lo, hi, INTERVAL '60 seconds')) AS m FROM b),
-f AS (SELECT g.host, g.region, g.m,
-             last_value(a.v IGNORE NULLS) OVER (PARTITION BY g.host, g.region ORDER BY g.m
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
-      FROM g LEFT JOIN a ON a.host = g.host AND a.region = g.region AND a.m = g.m),
-c AS (SELECT host, m, count(*) FILTER (WHERE NOT v) AS cf FROM f WHERE v IS NOT NULL GROUP BY 1, 2),
-bad AS (SELECT host, m, CAST(epoch(m) AS BIGINT) // 60 - row_number() OVER (PARTITION BY host ORDER BY m) AS grp
-        FROM c WHERE cf >= 1),
-runs AS (SELECT host, grp, min(m) AS run_start, max(m) AS last_m, count(*) AS n FROM bad GROUP BY 1, 2)
-SELECT host, run_start, last_m + INTERVAL '60 seconds' AS run_end, n AS n_periods,
-       run_start + INTERVAL '300 seconds' AS fired_at
-FROM runs WHERE n * 60 >= 300""",
+    "alert_downtime": downtime_sql("cf >= 1"),
+    "alert_downtime_literal": downtime_sql("cf < 1"),
+    "align_next_older": f"""WITH {NEXT_OLDER}
+SELECT host, region, m AS period_start, m + INTERVAL '60 seconds' AS period_end, v AS value FROM f""",
+    "reduce_count_false": f"""WITH {NEXT_OLDER}
+SELECT m AS period_start, m + INTERVAL '60 seconds' AS period_end, host, count(*) FILTER (WHERE NOT v) AS value
+FROM f WHERE v IS NOT NULL GROUP BY 1, 2, 3""",
 
     "src_budget_messages": """SELECT event_id AS message_id, value AS cost_amount,
        CASE WHEN user_id % 10 IN (0, 5) THEN CAST(0 AS DOUBLE) ELSE CAST(50 AS DOUBLE) END AS budget_amount

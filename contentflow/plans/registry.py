@@ -278,3 +278,15 @@ def new_scratch(spark: SparkSession, tag: str) -> str:
 # themselves on import.
 from . import registry_ops as _ops  # noqa: E402,F401
 from . import registry_io as _io  # noqa: E402,F401
+
+
+@query("src_chapters")
+def q_src_chapters(spark, sf):
+    from ..sources.io import scan_chapters
+    return out(scan_chapters(B.chapters(spark, sf)))
+
+
+@query("src_speakers")
+def q_src_speakers(spark, sf):
+    from ..sources.io import scan_speakers
+    return out(scan_speakers(B.speakers(spark, sf)))

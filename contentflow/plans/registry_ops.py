@@ -212,3 +212,24 @@ def q_cost_by_service_literal(spark, sf):
 @query("agg_cost_last30_top10")
 def q_cost_last30(spark, sf):
     return out(AU.cost_by_service(B.billing(spark, sf), as_of=BILLING_AS_OF, days=30, k=10))
+
+
+# ------------------------------------------------------------------ alignment details
+@query("align_next_older")
+def q_align_next_older(spark, sf):
+    up = B.uptime(spark, sf).select("ts", "host", "region", F.col("check_passed").alias("value"))
+    a = TS.align(up, ["host", "region"], "next_older", "60 seconds")
+    return out(TS.carry_forward(a, ["host", "region"], "60 seconds"))
+
+
+@query("reduce_count_false")
+def q_reduce_count_false(spark, sf):
+    up = B.uptime(spark, sf).select("ts", "host", "region", F.col("check_passed").alias("value"))
+    filled = TS.carry_forward(TS.align(up, ["host", "region"], "next_older", "60 seconds"),
+                              ["host", "region"], "60 seconds")
+    return out(TS.reduce_series(filled.where(F.col("value").isNotNull()), ["host"], "count_false"))
+
+
+@query("alert_downtime_literal")
+def q_alert_downtime_literal(spark, sf):
+    return out(AL.downtime(B.uptime(spark, sf), literal=True))

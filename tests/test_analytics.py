@@ -31,10 +31,21 @@ def test_rolling_halo_equals_plain_window_random(spark):
                  else float(rnd.randint(0, 50))) for i in range(size)]
         df = spark.createDataFrame(rows, "n long, x double").repartition(5)
         halo = A.centered_mean(df, ["n"], "x", n, block=block)
-        plain = A.centered_mean(df.withColumn("p", F.lit(1)), ["n"], "x", n, partition=["p"]).drop("p")
+        plain = A.centered_mean(df, ["n"], "x", n, plain=True)
         assert halo.exceptAll(plain).count() == 0 and plain.exceptAll(halo).count() == 0
 
 
+def test_rolling_halo_per_key_with_hot_key(spark):
+    rnd = random.Random(11)
+    # Key "hot" holds most rows; keys must not leak into each other's frames.
+    rows = [("hot" if rnd.random() < 0.7 else rnd.choice(["a", "b", None]), i, float(rnd.randint(0, 9)))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, n long, x double").repartition(3)
+    halo = A.centered_mean(df, ["n"], "x", 10, partition=["k"], block=16)
+    plain = A.centered_mean(df, ["n"], "x", 10, partition=["k"], plain=True)
+    assert halo.exceptAll(plain).count() == 0 and plain.exceptAll(halo).count() == 0
+
+
 def test_bucket_half_even_and_ties(spark):
     rows = [(1, 17), (2, 17.5), (100, 17.25), (150, 17.25), (250, 17.35), (260, 17.35),
             (320, 17.4)]
