@@ -34,6 +34,16 @@ def json_kind(v) -> Column:
     return F.upper(F.regexp_extract(F.schema_of_variant(_c(v)), "^([A-Za-z]+)", 1))
 
 
+def is_object(v, path: str = "$") -> Column:
+    """True when the value at ``path`` is a JSON object (cheap cast test; no
+    schema inference)."""
+    return F.try_variant_get(_c(v), path, "map<string,variant>").isNotNull()
+
+
+def is_array(v, path: str = "$") -> Column:
+    return F.try_variant_get(_c(v), path, "array<variant>").isNotNull()
+
+
 def get_or_default(v, key: str, type_: str, default) -> Column:
     """SCL-11: default only when ``key`` is missing; an explicit null stays NULL."""
     present = F.variant_get(_c(v), "$." + key, "variant").isNotNull()

@@ -92,8 +92,11 @@ def cost_by_service(df: DataFrame, *, lo: str | None = None, hi: str | None = No
         if literal:
             cond = cond & F.col("suffix").between(lo, hi)
         else:
-            day = F.date_format(F.col("usage_ts"), "yyyyMMdd")
-            cond = cond & day.between(lo, hi)
+            # Range on the timestamp itself (pushed down to the scan), not on
+            # a formatted string.
+            start = F.to_timestamp(F.lit(lo), "yyyyMMdd")
+            stop = F.to_timestamp(F.lit(hi), "yyyyMMdd") + F.expr("INTERVAL 1 DAY")
+            cond = cond & (F.col("usage_ts") >= start) & (F.col("usage_ts") < stop)
     if as_of is not None and days is not None:
         cond = cond & (F.col("ingest_date") >= F.date_sub(_day(as_of), days))
     key = F.col("service") if literal else F.col("service.description")

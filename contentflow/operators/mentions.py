@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import get_or_default, json_kind, lenient_json
+from ..functions.jsonx import get_or_default, is_array, is_object, lenient_json
 from ..functions.text import WS_CLASS, collapse_ws, strip_ws
 from ..schemas import ALIASES, MENTION_DEFAULTS, PHRASE, SAYS_CUES
 from .frontier import difference
@@ -52,18 +52,22 @@ def mentions_from_responses(df: DataFrame, raw: str = "raw", *, literal: bool =
     ``literal=True`` also drops the objects after the first bad element of a
     page, as an exception in the middle of the loop would."""
     keys = ["chapter_number", "page_number"]
-    parsed = df.select(*keys, F.col(raw).alias("raw"), lenient_json(F.col(raw)).alias("_v"))
+    # The parsed value is emitted by a (one-element) generator: filters on it
+    # cannot be pushed below a Generate, so the optimizer cannot re-inline the
+    # parse into each predicate and the text is parsed exactly once per row.
+    parsed = df.select(*keys, F.col(raw).alias("raw"),
+                       F.explode(F.array(lenient_json(F.col(raw)))).alias("_v"))
     mentions = F.variant_get(F.col("_v"), "$.mentions", "variant")
     page_reason = (F.when(F.col("_v").isNull(), F.lit("unparseable"))
-                   .when(json_kind(F.col("_v")) != "OBJECT", F.lit("not_object"))
+                   .when(~is_object(F.col("_v")), F.lit("not_object"))
                    .when(mentions.isNull(), F.lit(None))
-                   .when(json_kind(mentions) != "ARRAY", F.lit("mentions_not_array")))
+                   .when(~is_array(F.col("_v"), "$.mentions"), F.lit("mentions_not_array")))
     parsed = parsed.select("*", page_reason.alias("_reason"), mentions.alias("_m"))
 
     elems = (parsed.where(F.col("_reason").isNull() & F.col("_m").isNotNull())
              .select(*keys, "raw", F.posexplode(F.try_variant_get(F.col("_m"), "$", "array<variant>"))
                      .alias("pos", "_e")))
-    elems = elems.withColumn("_ok", json_kind(F.col("_e")) == "OBJECT")
+    elems = elems.withColumn("_ok", is_object(F.col("_e")))
     if literal:
         # Per page: bounded by the mentions of one response.
         first_bad = F.min(F.when(~F.col("_ok"), F.col("pos"))).over(Window.partitionBy(*keys))

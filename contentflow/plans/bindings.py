@@ -281,14 +281,13 @@ def link_pages(spark, sf_dir) -> DataFrame:
     )
     parts = p.select(F.floor(F.col("p_partkey") / 20).alias("page_id"),
                      F.col("p_partkey"), html.alias("frag"))
-    # Bounded group: at most 20 fragments per page.
+    # Bounded group: at most 20 fragments per page, concatenated in key order.
     pages = parts.groupBy("page_id").agg(
-        F.array_sort(F.collect_list(F.struct("p_partkey", "frag"))).alias("fr"))
+        F.expr("listagg(frag, '') WITHIN GROUP (ORDER BY p_partkey)").alias("body"))
     return pages.select(
         F.col("page_id"),
         F.concat(F.lit(HOST + "/index/"), F.col("page_id").cast("string")).alias("url"),
-        F.concat(F.lit("<html><body>"), F.array_join(F.transform("fr", lambda x: x["frag"]), ""),
-                 F.lit("</body></html>")).alias("html"))
+        F.concat(F.lit("<html><body>"), F.col("body"), F.lit("</body></html>")).alias("html"))
 
 
 def image_src(order: Column, line: Column) -> Column:
@@ -306,14 +305,13 @@ def image_pages(spark, sf_dir) -> DataFrame:
         F.concat(F.lit('<img class="lazy" data-src="'),
                  image_src(F.col("l_orderkey"), F.col("l_linenumber")),
                  F.lit('" alt="">')).alias("frag"))
-    # Bounded group: at most 7 lines per order.
+    # Bounded group: at most 7 lines per order, concatenated in line order.
     pages = frags.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "frag"))).alias("fr"))
+        F.expr("listagg(frag, '') WITHIN GROUP (ORDER BY l_linenumber)").alias("body"))
     return pages.select(
         F.col("l_orderkey").alias("page_id"),
         chapter_url(F.col("l_orderkey")).alias("url"),
-        F.concat(F.lit("<html><body>"), F.array_join(F.transform("fr", lambda x: x["frag"]), ""),
-                 F.lit("</body></html>")).alias("html"))
+        F.concat(F.lit("<html><body>"), F.col("body"), F.lit("</body></html>")).alias("html"))
 
 
 def web_pages(spark, sf_dir) -> DataFrame:
