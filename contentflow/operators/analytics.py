@@ -136,6 +136,39 @@ def dense_index(df: DataFrame, order: list[str], name: str = "_i", *,
             .drop("_mid", "_pid", "_off", "_first", *["_k_" + c for c in part]))
 
 
+def running_sum(df: DataFrame, order: list[str], value: str, name: str = "_cum", *,
+                partition: list[str] | None = None) -> DataFrame:
+    """Running total of ``value`` along ``order`` (per ``partition`` key),
+    inclusive of the current row, without a per-key window.
+
+    Rows are range-partitioned on (key, order) -- so even one huge key is
+    spread over many balanced partitions -- and checkpointed to pin the
+    partition boundaries.  Each (partition, key) slice gets its own running
+    sum (a window over one range partition), and the totals of all earlier
+    slices of the same key (a table of at most #partitions + #keys rows,
+    broadcast) are added.  ``order`` must be a total order."""
+    part = list(partition or [])
+    keys = part + list(order)
+    ranged = (df.repartitionByRange(*[F.col(c) for c in keys])
+              .withColumn("_pid", F.spark_partition_id()))
+    ranged = ranged.checkpoint(eager=True)
+    local_w = Window.partitionBy("_pid", *part).orderBy(*order) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_local", F.sum(value).over(local_w))
+    totals = ranged.groupBy("_pid", *part).agg(F.sum(value).alias("_tot"))
+    w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *[F.col(c).alias("_k_" + c) for c in part],
+                            F.coalesce(F.sum("_tot").over(w), F.lit(0).cast(
+                                totals.schema["_tot"].dataType)).alias("_off"))
+    cond = F.col("_pid") == F.col("_o_pid")
+    for c in part:
+        cond = cond & F.col(c).eqNullSafe(F.col("_k_" + c))
+    offsets = F.broadcast(offsets.withColumnRenamed("_pid", "_o_pid"))
+    return (local.join(offsets, cond)
+            .withColumn(name, F.col("_off") + F.col("_local"))
+            .drop("_pid", "_o_pid", "_local", "_off", *["_k_" + c for c in part]))
+
+
 # --------------------------------------------------------------------------
 # JN-04 interval counts
 # --------------------------------------------------------------------------

@@ -3,10 +3,11 @@ STM-22, STM-23, WIN-05)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import decode_base64_text, safe_ratio
+from .analytics import running_sum
 from ..schemas import BUDGET_NOTIFICATION, BUDGET_THRESHOLDS, MONTHLY_BUDGET_AMOUNT
 
 
@@ -35,35 +36,25 @@ def budget_decision(messages: DataFrame, *, dedupe_key: str | None = "message_id
 
 def budget_crossings(spend: DataFrame, *, amount: float = MONTHLY_BUDGET_AMOUNT,
                      thresholds=tuple(BUDGET_THRESHOLDS), ts: str = "ts", cost: str = "cost",
-                     tiebreak: str | None = None, bucket: str = "hour") -> DataFrame:
+                     tiebreak: str | None = None) -> DataFrame:
     """STM-23 / WIN-05: first instant in each calendar month at which the
     month-to-date spend reaches ``t * amount`` (CURRENT_SPEND basis).
 
-    Two-level prefix sum, so no task ever holds a whole month: (1) spend per
-    (month, bucket) with partial aggregation and its running total over the
-    (few) buckets of the month; (2) only the bucket in which a threshold is
-    crossed is re-read row by row.  Spend is summed as DECIMAL(38,2)."""
-    money = F.col(cost).cast("decimal(18,2)")
-    rows = spend.select(F.col(ts).alias("ts"), money.alias("cost"),
-                        *([F.col(tiebreak).alias("_tb")] if tiebreak else [F.lit(0).alias("_tb")]))
-    rows = rows.withColumn("month", F.date_trunc("MONTH", "ts")) \
-        .withColumn("bucket", F.date_trunc(bucket, "ts"))
-    per_bucket = rows.groupBy("month", "bucket").agg(F.sum("cost").alias("b_sum"))
-    wb = Window.partitionBy("month").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    per_bucket = per_bucket.withColumn("b_cum", F.sum("b_sum").over(wb)) \
-        .withColumn("b_before", F.col("b_cum") - F.col("b_sum"))
-    th = spend.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
-    th = th.withColumn("target", (F.col("threshold") * F.lit(float(amount))).cast("decimal(38,2)"))
-    # thresholds: a handful of rows -> broadcast is bounded.
-    hit = (per_bucket.join(F.broadcast(th), F.col("b_cum") >= F.col("target"))
-           .groupBy("month", "threshold", "target").agg(F.min("bucket").alias("bucket")))
-    cand = hit.join(per_bucket.select("month", "bucket", "b_before"), ["month", "bucket"])
-    # At most (#months x #thresholds) buckets: bounded, safe to broadcast.
-    inside = rows.join(F.broadcast(cand.select("month", "bucket").distinct()), ["month", "bucket"])
-    wr = Window.partitionBy("month", "bucket").orderBy("ts", "_tb").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("r_cum", F.sum("cost").over(wr))
-    crossing = (inside.join(cand, ["month", "bucket"])
-                .where(F.col("b_before") + F.col("r_cum") >= F.col("target"))
-                .groupBy("month", "threshold", "target").agg(F.min("ts").alias("crossed_at")))
-    return crossing.select("month", "threshold", F.col("target").cast("double").alias("target_amount"),
-                           "crossed_at")
+    The month-to-date total is a distributed running sum (range-partitioned,
+    so a month or a burst holding most of the spend is still split across
+    tasks); the first crossing per threshold is a partial-aggregating
+    ``min`` with one column per threshold, unpivoted at the end.  Spend is
+    summed as DECIMAL, so the result does not depend on summation order."""
+    rows = spend.select(F.date_trunc("MONTH", F.col(ts)).alias("month"), F.col(ts).alias("ts"),
+                        (F.col(tiebreak) if tiebreak else F.lit(0)).alias("_tb"),
+                        F.col(cost).cast("decimal(18,2)").alias("cost"))
+    cum = running_sum(rows, ["ts", "_tb"], "cost", "cum", partition=["month"])
+    targets = [(float(t), float(t) * float(amount)) for t in thresholds]
+    firsts = cum.groupBy("month").agg(*[
+        F.min(F.when(F.col("cum") >= F.lit(tgt).cast("decimal(38,2)"), F.col("ts"))).alias(f"_c{i}")
+        for i, (_, tgt) in enumerate(targets)])
+    pairs = F.array(*[F.struct(F.lit(t).alias("threshold"), F.lit(tgt).alias("target_amount"),
+                               F.col(f"_c{i}").alias("crossed_at"))
+                      for i, (t, tgt) in enumerate(targets)])
+    return (firsts.select("month", F.inline(pairs))
+            .where(F.col("crossed_at").isNotNull()))

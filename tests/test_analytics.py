@@ -87,3 +87,16 @@ def test_distinct_examples_keep_first(spark):
     df = spark.createDataFrame([(2, 1, "b", True), (1, 2, "a", True), (1, 1, "a", True), (1, 3, "c", False)],
                                "chapter_number long, page_number long, phrase string, luffy_says_it boolean")
     assert [(r.chapter_number, r.phrase) for r in A.distinct_examples(df).collect()] == [(1, "a"), (2, "b")]
+
+
+def test_running_sum_matches_window_with_hot_key(spark):
+    from pyspark.sql import Window
+    rnd = random.Random(3)
+    rows = [("hot" if rnd.random() < 0.8 else rnd.choice(["a", "b"]), i, rnd.randint(0, 9)) for i in range(800)]
+    df = spark.createDataFrame(rows, "k string, n long, v long").repartition(4)
+    got = A.running_sum(df, ["n"], "v", "cum", partition=["k"])
+    w = Window.partitionBy("k").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.withColumn("cum", F.sum("v").over(w))
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    glob = A.running_sum(df, ["n"], "v", "cum")
+    assert glob.agg(F.max("cum")).first()[0] == sum(r[2] for r in rows)

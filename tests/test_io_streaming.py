@@ -53,3 +53,18 @@ def test_incremental_chapter_append(spark):
         q = S.append_by_batch(stream, path, ["chapter_number"], _scratch(spark, "ck"))
         q.awaitTermination()
     assert spark.read.parquet(path).count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+
+
+def test_create_if_absent_and_snapshot(spark):
+    from contentflow.operators.analytics import snapshot
+    from contentflow.schemas import DIALOGUES
+    name = "dialogues_" + uuid.uuid4().hex[:8]
+    path = _scratch(spark, "tbl")
+    IO.create_if_absent(spark, name, DIALOGUES, path)
+    IO.create_if_absent(spark, name, DIALOGUES, path)  # second call is a no-op
+    t = spark.table(name)
+    assert [f.name for f in t.schema.fields] == [f.name for f in DIALOGUES.fields] and t.count() == 0
+    snap = snapshot(B.chapters(spark, SF_SMALL))
+    assert snap.is_cached and snap.count() == snap.count()
+    snap.unpersist()
+    spark.sql(f"DROP TABLE {name}")
