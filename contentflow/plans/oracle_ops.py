@@ -273,4 +273,13 @@ FROM c WHERE period_start + INTERVAL '60 seconds'
     "stream_route_logs": f"""WITH {LOGS}
 SELECT CAST(ts AS DATE) AS log_date, job_name, count(*) AS n_rows FROM logs
 WHERE job_name IN ('job-0', 'job-1', 'job-2') GROUP BY 1, 2""",
+    "stream_incidents": f"""WITH {EXEC},
+m AS (SELECT job_name, date_trunc('minute', ts) AS firing_ts FROM executions WHERE result = 'failed'),
+s AS (SELECT *, CASE WHEN firing_ts - lag(firing_ts) OVER (PARTITION BY job_name ORDER BY firing_ts)
+                     <= INTERVAL '1 hour' THEN 0 ELSE 1 END AS new FROM m),
+t AS (SELECT *, sum(new) OVER (PARTITION BY job_name ORDER BY firing_ts) AS sid FROM s),
+g AS (SELECT job_name, min(firing_ts) AS opened_at, max(firing_ts) AS last_firing,
+             max(firing_ts) + INTERVAL '1 hour' AS closed_at, count(*) AS n_failures
+      FROM t GROUP BY job_name, sid)
+SELECT * FROM g WHERE closed_at <= (SELECT max(firing_ts) FROM m) - INTERVAL '10 minutes'""",
 })

@@ -68,3 +68,11 @@ def q_stream_route_logs(spark, sf):
                           tag="stream-routed")
     return out(res.groupBy("log_date", F.col("resource.labels.job_name").alias("job_name"))
                .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query("stream_incidents")
+def q_stream_incidents(spark, sf):
+    """Incident sessions from the failure stream; a 1-hour auto-close gives
+    sessions that close inside the test month (24 hours keeps them open)."""
+    ex = B.executions_from_events(S.file_stream(spark, sf, "events"))
+    return out(S.run_available(S.incidents_stream(ex, auto_close="1 hour"), tag="stream-incidents"))

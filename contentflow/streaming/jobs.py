@@ -115,3 +115,19 @@ def append_by_batch(stream: DataFrame, path: str, keys: list[str], checkpoint: s
 
     return (stream.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(sink).trigger(availableNow=True).start())
+
+
+def incidents_stream(executions: DataFrame, *, auto_close: str = "24 hours",
+                     delay: str = "10 minutes") -> DataFrame:
+    """STM-21 streaming: failed executions -> their minute (a firing of the
+    job-failure condition) -> ``session_window`` per job with gap
+    ``auto_close``.  An incident is emitted once the watermark passes its
+    close time; the state holds only open incidents."""
+    fired = (executions.where(F.col("result") == "failed")
+             .select("job_name", F.date_trunc("minute", "ts").alias("firing_ts"))
+             .withWatermark("firing_ts", delay))
+    s = F.session_window("firing_ts", auto_close)
+    return (fired.groupBy("job_name", s.alias("_s"))
+            .agg(F.count(F.lit(1)).alias("n_failures"), F.max("firing_ts").alias("last_firing"))
+            .select("job_name", F.col("_s.start").alias("opened_at"), "last_firing",
+                    F.col("_s.end").alias("closed_at"), "n_failures"))
