@@ -114,3 +114,35 @@ def mentions_by_rules(dialogues: DataFrame, phrase: str = PHRASE, cues=tuple(SAY
                     "phrase",
                     says.alias("luffy_says_it"),
                     (alias_hit & ~says).alias("about_luffy")))
+
+
+def page_ledger(responses: DataFrame, raw: str = "raw") -> DataFrame:
+    """T8 ledger: one status row per analysed page, so that pages with zero
+    mentions are not re-analysed and failed pages are retried.
+
+    status: ``failed`` (unparseable / not an object / mentions not an array),
+    ``partial`` (some mention elements malformed), ``mentions`` (at least one
+    mention), ``no_mention`` (parsed, nothing found).  Row-wise: the mention
+    array is inspected with higher-order functions, no explode or shuffle."""
+    keys = ["chapter_number", "page_number"]
+    v = F.col("_v")
+    parsed = responses.select(*keys, F.explode(F.array(lenient_json(F.col(raw)))).alias("_v"))
+    arr = F.coalesce(F.try_variant_get(v, "$.mentions", "array<variant>"),
+                     F.array().cast("array<variant>"))
+    n_ok = F.size(F.filter(arr, lambda e: is_object(e)))
+    n_bad = F.size(F.filter(arr, lambda e: ~is_object(e)))
+    failed = (v.isNull() | ~is_object(v)
+              | (F.variant_get(v, "$.mentions", "variant").isNotNull() & ~is_array(v, "$.mentions")))
+    status = (F.when(failed, F.lit("failed")).when(n_bad > 0, F.lit("partial"))
+              .when(n_ok > 0, F.lit("mentions")).otherwise(F.lit("no_mention")))
+    return parsed.select(*keys, status.alias("status"),
+                         F.when(failed, F.lit(0)).otherwise(n_ok).cast("long").alias("n_mentions"),
+                         F.when(failed, F.lit(0)).otherwise(n_bad).cast("long").alias("n_bad"))
+
+
+def mention_worklist_from_ledger(dialogues: DataFrame, ledger: DataFrame,
+                                 phrase: str = PHRASE) -> DataFrame:
+    """PIP-05 with the ledger: pages with the phrase whose last analysis is
+    not final (never analysed, failed or partial)."""
+    done = ledger.where(F.col("status").isin("mentions", "no_mention"))
+    return mention_worklist(dialogues, done.select("chapter_number", "page_number"), phrase)

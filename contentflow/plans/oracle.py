@@ -287,6 +287,15 @@ SELECT chapter_number, url, image_count, source, language, scraped_at FROM chapt
 SELECT chapter_number, speaker, phrase, luffy_says_it, about_luffy FROM speakers ORDER BY chapter_number""",
 })
 
+SQL.update({
+    "pipe_page_ledger": """SELECT conv_id AS chapter_number, turn + 1 AS page_number,
+       CASE WHEN turn % 5 = 4 THEN 'failed' ELSE 'mentions' END AS status,
+       CAST(CASE WHEN turn % 5 = 4 THEN 0 ELSE 1 END AS BIGINT) AS n_mentions,
+       CAST(0 AS BIGINT) AS n_bad
+FROM conversations""",
+    "pipe_mention_worklist_ledger": SQL["pipe_mention_worklist"],
+})
+
 from .oracle_ops import SQL_OPS  # noqa: E402
 
 SQL.update(SQL_OPS)

@@ -290,3 +290,14 @@ def q_src_chapters(spark, sf):
 def q_src_speakers(spark, sf):
     from ..sources.io import scan_speakers
     return out(scan_speakers(B.speakers(spark, sf)))
+
+
+@query("pipe_page_ledger")
+def q_page_ledger(spark, sf):
+    return out(M.page_ledger(B.mention_responses(spark, sf)))
+
+
+@query("pipe_mention_worklist_ledger")
+def q_worklist_ledger(spark, sf):
+    ledger = M.page_ledger(B.mention_responses(spark, sf))
+    return out(M.mention_worklist_from_ledger(B.dialogues(spark, sf), ledger, TEST_PHRASE))

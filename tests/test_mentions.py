@@ -47,3 +47,12 @@ def test_rule_tagger(spark):
         "chapter_number long, page_number long, extracted_text string")
     r = sorted((x.sidx, x.luffy_says_it, x.about_luffy) for x in M.mentions_by_rules(d).collect())
     assert r == [(0, True, False), (1, False, True)]
+
+
+def test_ledger_statuses(spark):
+    rows = [(1, 1, '{"mentions":[{"phrase":"p"}]}'), (1, 2, '{"mentions":[]}'), (1, 3, '{}'),
+            (1, 4, '{"mentions":[{"phrase":"p"},"x"]}'), (1, 5, 'nope'), (1, 6, '{"mentions":null}')]
+    df = spark.createDataFrame(rows, "chapter_number long, page_number long, raw string")
+    got = {r.page_number: (r.status, r.n_mentions, r.n_bad) for r in M.page_ledger(df).collect()}
+    assert got == {1: ("mentions", 1, 0), 2: ("no_mention", 0, 0), 3: ("no_mention", 0, 0),
+                   4: ("partial", 1, 1), 5: ("failed", 0, 0), 6: ("failed", 0, 0)}
