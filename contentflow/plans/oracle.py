@@ -299,3 +299,7 @@ FROM conversations""",
 from .oracle_ops import SQL_OPS  # noqa: E402
 
 SQL.update(SQL_OPS)
+
+from .oracle_inventory import SQL_INV  # noqa: E402
+
+SQL.update(SQL_INV)

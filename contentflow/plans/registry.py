@@ -301,3 +301,5 @@ def q_page_ledger(spark, sf):
 def q_worklist_ledger(spark, sf):
     ledger = M.page_ledger(B.mention_responses(spark, sf))
     return out(M.mention_worklist_from_ledger(B.dialogues(spark, sf), ledger, TEST_PHRASE))
+
+from . import registry_inventory as _inv  # noqa: E402,F401
