@@ -47,15 +47,22 @@ def build_session(master: str | None = None, app: str = "contentflow",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a local one only if the
     cluster did not configure ``spark.checkpoint.dir``."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext on the client)
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         # Unset: only happens in tests / local runs.
         configured = tempfile.mkdtemp(prefix="contentflow-ckpt-",
                                       dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
