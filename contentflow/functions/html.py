@@ -41,7 +41,11 @@ def unescape_entities(c) -> Column:
 
 
 def attr_values(html, tag: str, attr: str) -> Column:
-    """Array of ``attr`` values of every ``<tag>`` that has it, document order."""
+    """Array of ``attr`` values of every ``<tag>`` that has it, document order.
+
+    Unquoting/decoding is a per-element ``transform``; a variant that joined
+    the values and processed them as one string (no lambda) measured about
+    2x slower at sf0.1, so the lambda stays."""
     raw = F.regexp_extract_all(strip_non_markup(html), F.lit(tag_attr_pattern(tag, attr)),
                                F.lit(1))
     return F.transform(
