@@ -6,6 +6,8 @@ whole-stage code generation; none needs a Python UDF.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,8 +67,12 @@ def mime_type(url) -> Column:
 
 
 def iso_utc(ts) -> Column:
-    """UTC ISO-8601 text with offset, as ``datetime.isoformat()`` prints it (SCL-07)."""
-    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    """UTC ISO-8601 text with offset, as ``datetime.isoformat()`` prints it
+    (SCL-07): the fraction is omitted when the microseconds are zero."""
+    ts = _c(ts)
+    return F.when(F.date_format(ts, "SSSSSS") == F.lit("000000"),
+                  F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")) \
+        .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
 
 
 def bucket_floor(n, width: int = 100) -> Column:
@@ -116,6 +122,73 @@ def safe_ratio(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def percent_text(x) -> Column:
-    """``{:.2%}``."""
-    return F.concat(F.format_string("%.2f", _c(x) * F.lit(100.0)), F.lit("%"))
+def _split(a: Column):
+    """Veltkamp split of a double into two halves of 26 significant bits."""
+    c = a * F.lit(134217729.0)  # 2^27 + 1
+    hi = c - (c - a)
+    return hi, a - hi
+
+
+def fixed_text(x, digits: int = 1) -> Column:
+    """Python ``'%.{digits}f' % x`` (SCL-13).
+
+    Python rounds the exact binary value half-to-even (0.15 -> '0.1',
+    1234.25 -> '1234.2'); Java's formatter, and so ``format_string``, rounds
+    the shortest decimal half-up ('0.2', '1234.3').  The scaled value
+    ``x * 10^digits`` is computed as an exact sum ``p + e`` of two doubles
+    (error-free product); ``rint(p)`` is corrected only when ``p`` lies exactly
+    half-way between two integers, by the sign of ``e``.  Then the integer is
+    printed with integer arithmetic.  Plain IEEE double expressions: stays in
+    code generation."""
+    if not 0 <= digits <= 7:
+        raise ValueError("digits must be within 0..7")
+    x = _c(x).cast("double")
+    scale = 10 ** digits  # < 2^26, so it is its own upper half in the split
+    p = x * F.lit(float(scale))
+    x_hi, x_lo = _split(x)
+    e = (x_hi * F.lit(float(scale)) - p) + x_lo * F.lit(float(scale))
+    n0 = F.rint(p)
+    r = p - n0
+    n_small = (F.when((r == F.lit(0.5)) & (e > 0), n0 + F.lit(1.0))
+               .when((r == F.lit(-0.5)) & (e < 0), n0 - F.lit(1.0))
+               .otherwise(n0)).cast("long")
+    # From 2^52 on, p is an integer and the exact value is p + e: round e
+    # (half-even on p + e) and add it in integer arithmetic.
+    p_long = p.cast("long")
+    odd = (p_long % F.lit(2)) != F.lit(0)
+    e_round = (F.when(F.abs(e) == F.lit(0.5), F.when(odd, F.signum(e)).otherwise(F.lit(0.0)))
+               .otherwise(F.rint(e))).cast("long")
+    n = F.when(F.abs(p) < F.lit(2.0 ** 52), n_small).otherwise(p_long + e_round)
+    mag = F.abs(n).cast("decimal(20,0)")
+    if digits:
+        frac = mag % F.lit(scale)
+        int_part = ((mag - frac) / F.lit(scale)).cast("decimal(20,0)").cast("string")
+        text = F.concat(int_part, F.lit("."), F.lpad(frac.cast("string"), digits, "0"))
+    else:
+        text = mag.cast("string")
+    text = F.when(x < 0, F.concat(F.lit("-"), text)).otherwise(text)
+    return (F.when(F.isnan(x), F.lit("nan"))
+            .when(x == F.lit(float("inf")), F.lit("inf"))
+            .when(x == F.lit(float("-inf")), F.lit("-inf"))
+            # Beyond the long range: Java's formatting (not bit-exact).
+            .when(F.abs(p) >= F.lit(2.0 ** 62), F.format_string(f"%.{digits}f", x))
+            .otherwise(text))
+
+
+def percent_text(x, digits: int = 2) -> Column:
+    """Python ``'{:.2%}'``: the double is multiplied by 100 first, then
+    formatted like ``fixed_text``."""
+    return F.concat(fixed_text(_c(x).cast("double") * F.lit(100.0), digits), F.lit("%"))
+
+
+def render_template(template: str, **values) -> Column:
+    """Fill ``{name}`` placeholders of a fixed text with columns: a ``concat``
+    of literal pieces and column values (no format specifiers to escape)."""
+    parts = []
+    for piece in re.split(r"(\{[a-z_]+\})", template):
+        if re.fullmatch(r"\{[a-z_]+\}", piece):
+            v = values[piece[1:-1]]
+            parts.append((v if isinstance(v, Column) else F.lit(v)).cast("string"))
+        elif piece:
+            parts.append(F.lit(piece))
+    return F.concat(*parts)

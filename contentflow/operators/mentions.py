@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import get_or_default, is_array, is_object, lenient_json
-from ..functions.text import WS_CLASS, collapse_ws, strip_ws
-from ..schemas import ALIASES, MENTION_DEFAULTS, PHRASE, SAYS_CUES
+from ..functions.text import WS_CLASS, collapse_ws, render_template, strip_ws
+from ..schemas import ALIASES, MENTION_DEFAULTS, MENTION_REQUEST_TEMPLATE, PHRASE, SAYS_CUES
 from .frontier import difference
 
 
@@ -24,10 +24,10 @@ def with_phrase(df: DataFrame, phrase: str = PHRASE, text: str = "extracted_text
 
 def request_text(chapter="chapter_number", page="page_number", text="extracted_text",
                  phrase: str = PHRASE):
-    """SCL-17: one request text per page (chapter, page, OCR text)."""
-    return F.format_string(
-        "chapitre %d, page %d\nTrouve toutes les occurrences de \"%s\" dans ce texte.\n\nTEXTE:\n%s",
-        F.col(chapter), F.col(page), F.lit(phrase), F.col(text))
+    """SCL-17: one request text per page: the fixed request template filled
+    with (chapter, page, OCR text, phrase)."""
+    return render_template(MENTION_REQUEST_TEMPLATE, chapter=F.col(chapter), page=F.col(page),
+                           text=F.col(text), phrase=phrase)
 
 
 def mention_worklist(dialogues: DataFrame, speakers: DataFrame, phrase: str = PHRASE) -> DataFrame:

@@ -7,6 +7,10 @@ the expected rows straight from the generating table instead.
 
 from __future__ import annotations
 
+import re
+
+from ..schemas import MENTION_REQUEST_TEMPLATE
+
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 JOBS = "('job-0', 'job-1', 'job-2')"
 WS = "'[\\t\\n\\f\\r ]+'"
@@ -71,6 +75,23 @@ NON_MARKUP = "'(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<!--.*?-
 ANCHOR = """'(?is)<a\\b[^>]*?\\shref\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>"'']+)'"""
 
 
+def template_sql(template: str, **exprs: str) -> str:
+    """A fixed text with ``{name}`` placeholders as a SQL concatenation of
+    quoted literal pieces and the given SQL expressions."""
+    parts = []
+    for piece in re.split(r"(\{[a-z_]+\})", template):
+        if re.fullmatch(r"\{[a-z_]+\}", piece):
+            parts.append(f"CAST({exprs[piece[1:-1]]} AS VARCHAR)")
+        elif piece:
+            parts.append("'" + piece.replace("'", "''") + "'")
+    return "(" + " || ".join(parts) + ")"
+
+
+def request_sql(phrase: str) -> str:
+    return template_sql(MENTION_REQUEST_TEMPLATE, chapter="chapter_number", page="page_number",
+                        text="extracted_text", phrase="'" + phrase.replace("'", "''") + "'")
+
+
 def failures_sql(grain: str = "week", severity: str | None = "IN ('ERROR','CRITICAL','ALERT','EMERGENCY')") -> str:
     sev = f"AND severity {severity}" if severity else ""
     return f"""WITH {LOGS},
@@ -255,10 +276,7 @@ FROM conversations WHERE turn % 5 <> 4""",
 FROM conversations WHERE turn % 5 <> 4""",
 
     "pipe_mention_worklist": f"""WITH {DIALOGUES}
-SELECT chapter_number, page_number, extracted_text,
-       'chapitre ' || CAST(chapter_number AS VARCHAR) || ', page ' || CAST(page_number AS VARCHAR)
-       || chr(10) || 'Trouve toutes les occurrences de "de la" dans ce texte.' || chr(10) || chr(10)
-       || 'TEXTE:' || chr(10) || extracted_text AS request
+SELECT chapter_number, page_number, extracted_text, {request_sql('de la')} AS request
 FROM dialogues
 WHERE lower(regexp_replace(extracted_text, {WS}, ' ', 'g')) LIKE '%de la%'
   AND turn % 5 = 4
@@ -303,3 +321,7 @@ SQL.update(SQL_OPS)
 from .oracle_inventory import SQL_INV  # noqa: E402
 
 SQL.update(SQL_INV)
+
+from .oracle_scalars import SQL_SCL  # noqa: E402
+
+SQL.update(SQL_SCL)

@@ -303,3 +303,4 @@ def q_worklist_ledger(spark, sf):
     return out(M.mention_worklist_from_ledger(B.dialogues(spark, sf), ledger, TEST_PHRASE))
 
 from . import registry_inventory as _inv  # noqa: E402,F401
+from . import registry_scalars as _scl  # noqa: E402,F401

@@ -135,6 +135,50 @@ MENTION_DEFAULTS = {"speaker": "inconnu", "phrase": "", "luffy_says_it": False,
 # The tracked phrase.
 PHRASE = "roi des pirates"
 
+# Request text sent per page to the mention classifier (SCL-17), verbatim;
+# {chapter}, {page}, {text} and {phrase} are filled per row.  With the default
+# phrase the rendered text is the one the pipeline sends.
+MENTION_REQUEST_TEMPLATE = """Tu es un expert du manga One Piece en français.
+Voici le texte extrait par OCR d'une page du manga
+(chapitre {chapter}, page {page}).
+
+CONTEXTE IMPORTANT :
+- Luffy peut être désigné par : "Luffy", "L", "Lu", "Monkey",
+  "Monkey D. Luffy", "le capitaine", "chapeau de paille",
+  ou simplement par "je/moi" dans un dialogue
+- Le texte OCR est souvent fragmenté — les bulles sont
+  séparées par des sauts de ligne
+- "luffy_says_it" = true si Luffy exprime lui-même
+  sa volonté de devenir {phrase}
+  (phrases comme : "je serai", "je vais devenir",
+  "ce sera moi", "je deviendrai", "mon rêve")
+- "about_luffy" = true si quelqu'un d'autre mentionne
+  Luffy comme futur roi, ou si c'est un texte narratif
+  décrivant l'objectif de Luffy
+
+TEXTE:
+{text}
+
+Trouve TOUTES les occurrences où "{phrase}"
+est mentionné dans ce texte.
+
+Réponds UNIQUEMENT en JSON sans markdown :
+{
+  "mentions": [
+    {
+      "speaker": "Luffy ou nom du personnage ou narrateur",
+      "phrase": "phrase exacte contenant {phrase}",
+      "luffy_says_it": true ou false,
+      "about_luffy": true ou false
+    }
+  ]
+}
+
+- luffy_says_it = true si Luffy affirme qu'il sera {phrase}
+- about_luffy = true si quelqu'un d'autre parle de Luffy comme roi
+
+Si aucune mention claire : {"mentions": []}"""
+
 # First-person cues ("the speaker says it") and aliases of the main character,
 # both taken from the classification instructions.
 SAYS_CUES = ["je serai", "je vais devenir", "ce sera moi", "je deviendrai",

@@ -65,3 +65,47 @@ def test_regex_links_match_stdlib_parser(spark):
         p = _Anchors()
         p.feed(r.html)
         assert ours.get(r.page_id, []) == p.hrefs, r.page_id
+
+
+def test_fixed_text_matches_python(spark):
+    """``fixed_text`` / ``percent_text`` print exactly what Python prints,
+    including exact binary ties (half-even) and near-ties (0.15, 2.65)."""
+    import random
+    rnd = random.Random(7)
+    vals = [0.15, 2.65, 17.25, 17.35, 0.125, 0.375, 1234.25, -0.04, -2.5, 0.0, 5e-324,
+            1e15 + 0.5, 123456789.45, 0.05, 0.06, 1.005]
+    vals += [round(rnd.uniform(-1e4, 1e4), rnd.randint(0, 4)) for _ in range(3000)]
+    vals += [rnd.randint(0, 10 ** 6) / 100 for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = df.select("x", TX.fixed_text("x", 1).alias("f1"), TX.fixed_text("x", 0).alias("f0"),
+                    TX.fixed_text("x", 3).alias("f3"), TX.percent_text("x").alias("p")).collect()
+    for r in got:
+        assert r.f1 == "%.1f" % r.x, r
+        assert r.f0 == "%.0f" % r.x, r
+        assert r.f3 == "%.3f" % r.x, r
+        assert r.p == "{:.2%}".format(r.x), r
+    special = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),)], "x double")
+    assert [r[0] for r in special.select(TX.fixed_text("x", 1)).collect()] == ["nan", "inf", "-inf"]
+
+
+def test_iso_utc_like_isoformat(spark):
+    from datetime import timezone
+    ts = [datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4, 5, 120)]
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp")
+    got = [r[0] for r in df.select(TX.iso_utc("ts")).collect()]
+    assert got == [t.replace(tzinfo=timezone.utc).isoformat() for t in ts]
+
+
+def test_request_template_fills_every_placeholder(spark):
+    from contentflow.operators.mentions import request_text
+    from contentflow.schemas import MENTION_REQUEST_TEMPLATE, PHRASE
+    df = spark.createDataFrame([(12, 3, "Je serai le roi des pirates !")],
+                               "chapter_number long, page_number long, extracted_text string")
+    got = df.select(request_text()).first()[0]
+    want = MENTION_REQUEST_TEMPLATE
+    for k, v in (("chapter", "12"), ("page", "3"), ("text", "Je serai le roi des pirates !"),
+                 ("phrase", PHRASE)):
+        want = want.replace("{" + k + "}", v)
+    assert got == want
+    assert "(chapitre 12, page 3)" in got and "TEXTE:\nJe serai le roi des pirates !\n" in got
+    assert "{phrase}" not in got and '{"mentions": []}' in got

@@ -38,7 +38,7 @@ def test_worklist_skips_processed_pages(spark):
     s = spark.createDataFrame([(1, 1)], "chapter_number long, page_number long")
     w = M.mention_worklist(d, s).collect()
     assert [(r.chapter_number, r.page_number) for r in w] == [(1, 2)]
-    assert w[0].request.startswith("chapitre 1, page 2")
+    assert "(chapitre 1, page 2)" in w[0].request and "TEXTE:\nroi des\npirates\n" in w[0].request
 
 
 def test_rule_tagger(spark):
