@@ -134,12 +134,12 @@ def fixed_text(x, digits: int = 1) -> Column:
 
     Python rounds the exact binary value half-to-even (0.15 -> '0.1',
     1234.25 -> '1234.2'); Java's formatter, and so ``format_string``, rounds
-    the shortest decimal half-up ('0.2', '1234.3').  The scaled value
-    ``x * 10^digits`` is computed as an exact sum ``p + e`` of two doubles
-    (error-free product); ``rint(p)`` is corrected only when ``p`` lies exactly
-    half-way between two integers, by the sign of ``e``.  Then the integer is
-    printed with integer arithmetic.  Plain IEEE double expressions: stays in
-    code generation."""
+    the shortest decimal half-up ('0.2', '1234.3').  The scaled value is
+    computed as an exact sum ``p + e`` of two doubles (error-free product),
+    ``n = rint(p) + correction`` where the correction only matters at exact
+    half-integers, and ``n / 10^digits`` is printed as a decimal.  Plain IEEE
+    double and integer expressions, each intermediate referenced a few times
+    only, so the generated code stays small."""
     if not 0 <= digits <= 7:
         raise ValueError("digits must be within 0..7")
     x = _c(x).cast("double")
@@ -149,29 +149,23 @@ def fixed_text(x, digits: int = 1) -> Column:
     e = (x_hi * F.lit(float(scale)) - p) + x_lo * F.lit(float(scale))
     n0 = F.rint(p)
     r = p - n0
-    n_small = (F.when((r == F.lit(0.5)) & (e > 0), n0 + F.lit(1.0))
-               .when((r == F.lit(-0.5)) & (e < 0), n0 - F.lit(1.0))
-               .otherwise(n0)).cast("long")
-    # From 2^52 on, p is an integer and the exact value is p + e: round e
-    # (half-even on p + e) and add it in integer arithmetic.
-    p_long = p.cast("long")
-    odd = (p_long % F.lit(2)) != F.lit(0)
-    e_round = (F.when(F.abs(e) == F.lit(0.5), F.when(odd, F.signum(e)).otherwise(F.lit(0.0)))
-               .otherwise(F.rint(e))).cast("long")
-    n = F.when(F.abs(p) < F.lit(2.0 ** 52), n_small).otherwise(p_long + e_round)
-    mag = F.abs(n).cast("decimal(20,0)")
-    if digits:
-        frac = mag % F.lit(scale)
-        int_part = ((mag - frac) / F.lit(scale)).cast("decimal(20,0)").cast("string")
-        text = F.concat(int_part, F.lit("."), F.lpad(frac.cast("string"), digits, "0"))
-    else:
-        text = mag.cast("string")
-    text = F.when(x < 0, F.concat(F.lit("-"), text)).otherwise(text)
+    # |p| < 2^52: e is below 1/4 and only breaks the tie when p sits on a
+    # half-integer (|r| = 0.5).  |p| >= 2^52: p is an integer, r = 0 and the
+    # value is p + e, rounded half-even (parity matters only for odd p, e = .5).
+    adj = (F.rint(e)
+           + F.when((F.abs(r) == F.lit(0.5)) & (F.signum(e) == F.signum(r)), F.signum(r))
+           .otherwise(F.lit(0.0))
+           + F.when((F.abs(e) == F.lit(0.5)) & (p.cast("long") % F.lit(2) != F.lit(0)), F.signum(e))
+           .otherwise(F.lit(0.0)))
+    n = n0.cast("long") + adj.cast("long")
+    text = (n.cast("decimal(20,0)") / F.lit(scale)).cast(f"decimal(38,{digits})").cast("string")
     return (F.when(F.isnan(x), F.lit("nan"))
             .when(x == F.lit(float("inf")), F.lit("inf"))
             .when(x == F.lit(float("-inf")), F.lit("-inf"))
             # Beyond the long range: Java's formatting (not bit-exact).
             .when(F.abs(p) >= F.lit(2.0 ** 62), F.format_string(f"%.{digits}f", x))
+            # A negative value that rounds to zero keeps its sign, as in Python.
+            .when((x < 0) & (n == F.lit(0)), F.lit("-" + f"{0:.{digits}f}"))
             .otherwise(text))
 
 

@@ -33,15 +33,17 @@ def q_scl_collapse_ws(spark, sf):
 
 @query("scl_strip")
 def q_scl_strip(spark, sf):
-    """Every document split into sentence pieces, each piece stripped."""
+    """Every document split into sentence pieces, each piece stripped.  The
+    arrays are built in their own projections (each is used several times;
+    Catalyst keeps such projections apart instead of re-inlining them)."""
     d = B.table(spark, sf, "documents")
-    pieces = F.transform(F.split(F.col("text"), SENTENCE_SPLIT), lambda p: X.strip_ws(p))
-    raw = F.split(F.col("text"), SENTENCE_SPLIT)
-    return out(d.select(
+    raw = d.select("doc_id", F.split(F.col("text"), SENTENCE_SPLIT).alias("raw"))
+    st = raw.select("doc_id", "raw", F.transform("raw", lambda p: X.strip_ws(p)).alias("pieces"))
+    return out(st.select(
         "doc_id",
-        F.size(F.filter(pieces, lambda p: p != F.lit(""))).alias("n_pieces"),
-        F.aggregate(pieces, F.lit(0).cast("long"), lambda acc, p: acc + F.length(p)).alias("n_chars"),
-        F.size(F.filter(F.arrays_zip(raw.alias("r"), pieces.alias("s")),
+        F.size(F.filter("pieces", lambda p: p != F.lit(""))).alias("n_pieces"),
+        F.length(F.array_join("pieces", "")).cast("long").alias("n_chars"),
+        F.size(F.filter(F.arrays_zip(F.col("raw").alias("r"), F.col("pieces").alias("s")),
                         lambda z: F.length(z["r"]) != F.length(z["s"]))).alias("n_trimmed")))
 
 
@@ -49,13 +51,15 @@ def q_scl_strip(spark, sf):
 def q_scl_is_float(spark, sf):
     """Whitespace tokens of every document; count and range of plain decimals."""
     d = B.table(spark, sf, "documents")
-    toks = F.filter(F.split(F.col("text"), TOKEN_SPLIT), lambda t: t != F.lit(""))
-    nums = F.filter(toks, lambda t: X.is_float_text(t))
-    vals = F.transform(nums, lambda t: X.float_value(t))
-    return out(d.select("doc_id", F.size(toks).alias("n_tokens"),
-                        F.size(nums).alias("n_numeric"),
-                        F.array_min(vals).alias("min_value"),
-                        F.array_max(vals).alias("max_value")))
+    toks = d.select("doc_id", F.filter(F.split(F.col("text"), TOKEN_SPLIT),
+                                       lambda t: t != F.lit("")).alias("toks"))
+    nums = toks.select("doc_id", F.size("toks").alias("n_tokens"),
+                       F.filter("toks", lambda t: X.is_float_text(t)).alias("nums"))
+    vals = nums.select("doc_id", "n_tokens", F.size("nums").alias("n_numeric"),
+                       F.transform("nums", lambda t: X.float_value(t)).alias("vals"))
+    return out(vals.select("doc_id", "n_tokens", "n_numeric",
+                           F.array_min("vals").alias("min_value"),
+                           F.array_max("vals").alias("max_value")))
 
 
 @query("scl_trunc")
