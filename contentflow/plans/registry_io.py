@@ -44,8 +44,8 @@ def q_manifest(spark, sf):
 @query("stream_failures")
 def q_stream_failures(spark, sf):
     logs = S.logs_stream(spark, sf, B.logs_from_events)
-    res = S.run_available(S.failures_stream(logs, B.TEST_JOBS, as_of=B.AS_OF), mode="complete",
-                          tag="stream-failures")
+    res = S.run_available(S.failures_stream(logs, B.TEST_JOBS, as_of=B.AS_OF), mode="update",
+                          keys=["period", "job_name"], tag="stream-failures")
     return out(res)
 
 

@@ -37,10 +37,17 @@ def file_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | No
 
 
 def run_available(df: DataFrame, *, mode: str = "append", partition_by=None, tag: str = "stream",
-                  path: str | None = None) -> DataFrame:
+                  path: str | None = None, keys: list[str] | None = None) -> DataFrame:
     """Run a streaming DataFrame to completion over the data available now
-    and return what the sink holds.  ``mode='complete'`` rewrites the whole
-    result each micro-batch (via ``foreachBatch``)."""
+    and return what the sink holds.
+
+    * ``append``: finalized rows appended as Parquet (optionally partitioned).
+    * ``update``: each micro-batch emits the changed aggregate rows; they are
+      written to the partition ``_epoch=<batch id>`` (dynamic overwrite, so a
+      replayed batch replaces its own output) and the result keeps, per
+      ``keys``, the row of the newest epoch.  With a watermark the streaming
+      state of closed windows is evicted, unlike ``complete`` mode.
+    * ``complete``: the whole result rewritten each micro-batch."""
     spark = df.sparkSession
     out = path or scratch(spark, tag)
     ckpt = scratch(spark, tag + "-ckpt")
@@ -49,6 +56,14 @@ def run_available(df: DataFrame, *, mode: str = "append", partition_by=None, tag
         def sink(batch: DataFrame, _epoch: int):
             batch.write.mode("overwrite").parquet(out)
         q = w.outputMode("complete").foreachBatch(sink).start()
+    elif mode == "update":
+        if not keys:
+            raise ValueError("update mode needs the result keys")
+
+        def sink(batch: DataFrame, epoch: int):
+            (batch.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(out))
+        q = w.outputMode("update").foreachBatch(sink).start()
     else:
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -56,9 +71,20 @@ def run_available(df: DataFrame, *, mode: str = "append", partition_by=None, tag
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    if mode == "update":
+        return latest_by_key(spark.read.parquet(out), keys, "_epoch")
     return spark.read.parquet(out)
 
 
+def latest_by_key(df: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """Per key, the row with the highest ``version`` (partial aggregation;
+    a key has at most one row per micro-batch that touched it)."""
+    rest = [c for c in df.columns if c not in keys and c != version]
+    return (df.groupBy(*keys)
+            .agg(F.max_by(F.struct(*rest), F.col(version)).alias("_r"))
+            .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
+
+
 def logs_stream(spark: SparkSession, sf_dir: str, bind) -> DataFrame:
     """Events file stream mapped to log rows by ``bind`` (a row-wise binding)."""
     return bind(file_stream(spark, sf_dir, "events"))

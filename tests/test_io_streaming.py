@@ -46,6 +46,27 @@ def test_stream_equals_batch(spark):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
+def test_stream_update_mode_over_many_batches(spark):
+    """Four time-ordered event files, one per micro-batch: week windows are
+    updated by several batches; the newest epoch per (period, job) must equal
+    the batch roll-up."""
+    src = _scratch(spark, "events-split")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    # One file per week range, written one after the other: the file stream
+    # takes files in modification order, so no row arrives behind the watermark.
+    bounds = ["2023-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2025-01-01"]
+    for lo, hi in zip(bounds, bounds[1:]):
+        ev.where((ev.ts >= lo) & (ev.ts < hi)).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    logs = B.logs_from_events(stream)
+    out_path = _scratch(spark, "upd")
+    streamed = S.run_available(S.failures_stream(logs, B.TEST_JOBS, as_of=B.AS_OF), mode="update",
+                               keys=["period", "job_name"], path=out_path)
+    assert spark.read.parquet(out_path).select("_epoch").distinct().count() > 1
+    batch = L.failures(B.logs(spark, SF_SMALL), B.TEST_JOBS, as_of=B.AS_OF)
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
 def test_incremental_chapter_append(spark):
     path = _scratch(spark, "by-batch")
     for _ in range(2):
