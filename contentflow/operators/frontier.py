@@ -83,6 +83,12 @@ def image_lists(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.select("url", lazy_image_srcs(F.col(html)).alias("images"))
 
 
+def lazy_images(pages: DataFrame, html: str = "html", needles=("scans", "jpg", "png")) -> DataFrame:
+    """HTM-04 as rows: (url, pos, src) per lazy-loaded image, in document
+    order, duplicates kept; pages without one produce no row."""
+    return pages.select("url", F.posexplode(lazy_image_srcs(F.col(html), needles)).alias("pos", "src"))
+
+
 def build_chapters(front: DataFrame, pages: DataFrame, *, scraped_at) -> DataFrame:
     """PIP-02 + HTM-05 + PRJ-01: chapter rows for the frontier.  A chapter
     whose page is missing gets ``image_count`` 0.  Fractional chapter numbers

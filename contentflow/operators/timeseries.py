@@ -86,10 +86,25 @@ def reduce_series(aligned: DataFrame, by: list[str], how: str) -> DataFrame:
     return (aligned.groupBy("period_start", "period_end", *by).agg(agg.alias("value")))
 
 
+# Name of the cross-series reducer in the target API.
+reduce = reduce_series
+
+
 # --------------------------------------------------------------------------
 # Log-based counters
 # --------------------------------------------------------------------------
 
+def count_metric(df: DataFrame, predicate: Column, labels: list[str] | dict[str, Column],
+                 period: str = "60 seconds", *, ts: str = "ts") -> DataFrame:
+    """Log-based counter (DELTA, INT64): rows matching ``predicate`` counted
+    per ``period`` and label values.  ``labels`` are column names or
+    ``{name: extractor}`` Columns (e.g. a JSON path)."""
+    lab = ({k: F.col(k) for k in labels} if not isinstance(labels, dict) else dict(labels))
+    src = df.where(predicate).select(F.col(ts).alias("ts"), *[c.alias(k) for k, c in lab.items()],
+                                     F.lit(1).alias("value"))
+    return align(src, list(lab), "sum", period)
+
+
 def job_error_counter(logs: DataFrame, period: str = "60 seconds",
                       resource_type: str = "cloud_run_job") -> DataFrame:
     """STM-01: logs with severity >= ERROR (ordinal) counted per period,
@@ -166,6 +181,11 @@ def success_counts(executions: DataFrame, period: str = "1 day") -> DataFrame:
                     (F.col("succeeded") / F.col("total")).alias("success_ratio")))
 
 
+def success_rate(executions: DataFrame, period: str = "1 day") -> DataFrame:
+    """STM-13 in the target signature: succeeded count, total and ratio per period."""
+    return success_counts(executions, period)
+
+
 def duration_mean(executions: DataFrame, period: str = "60 seconds") -> DataFrame:
     """STM-14: mean execution time by job (mean per series, then mean)."""
     a = align(executions.select("ts", "job_name", F.col("execution_time").alias("value")),

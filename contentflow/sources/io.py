@@ -57,6 +57,19 @@ def read_sharded(spark: SparkSession, path_glob: str, *, shard_col: str = "shard
     return df.withColumn(shard_col, F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1))
 
 
+def read_sharded_logs(spark: SparkSession, path_glob: str, suffix_between: tuple[str, str] | None = None,
+                      *, shard_col: str = "shard") -> DataFrame:
+    """SRC-05/06: wildcard scan of log shards with the job name flattened out of
+    ``resource.labels``; ``suffix_between=(lo, hi)`` keeps shards whose name is
+    within the closed string range (on a partition column: folder pruning)."""
+    df = read_sharded(spark, path_glob, shard_col=shard_col)
+    if "resource" in df.columns:
+        df = df.withColumn("job_name", F.col("resource.labels.job_name"))
+    if suffix_between is not None:
+        df = shard_between(df, suffix_between[0], suffix_between[1], shard_col)
+    return df
+
+
 def shard_between(df: DataFrame, lo: str, hi: str, col: str = "suffix") -> DataFrame:
     """SRC-06: ``suffix BETWEEN lo AND hi`` (string compare, closed); on a
     partition column this prunes folders."""
@@ -98,7 +111,12 @@ def write_manifests(chapters: DataFrame, path: str, *, batch: str, total_availab
                   urls.alias("image_urls"), F.col("scraped_at").alias("scraped_at"))
     docs = chapters.groupBy(batch).agg(
         F.array_sort(F.collect_list(ch)).alias("chapters"), F.count(F.lit(1)).alias("_n"))
-    total = F.col("_n") if total_available is None else F.lit(total_available)
+    if total_available is None:
+        total = F.col("_n")
+    elif isinstance(total_available, DataFrame):
+        total = total_available.scalar()  # one aggregate, evaluated once
+    else:
+        total = F.lit(total_available)
     docs.select(F.lit(CRAWL_TITLE).alias("manga"), F.lit(CRAWL_SOURCE).alias("source"),
                 F.lit(CRAWL_LANGUAGE).alias("language"),
                 total.cast("long").alias("total_chapters_available"),
@@ -107,6 +125,20 @@ def write_manifests(chapters: DataFrame, path: str, *, batch: str, total_availab
                 "chapters").write.mode("overwrite").json(path)
 
 
+def write_manifest(chapters: DataFrame, path: str, header: dict | None = None, *,
+                   batch: str | None = None) -> None:
+    """SNK-01 in the target signature: ``header`` may carry ``scraped_at`` and
+    ``total_chapters_available`` (a number or a one-value DataFrame).  Without
+    ``batch`` the chapters are grouped into documents of 1,000 consecutive
+    chapter numbers, so no document holds the whole table."""
+    header = dict(header or {})
+    if batch is None:
+        batch = "_batch"
+        chapters = chapters.withColumn(batch, F.floor(F.col("chapter_number").cast("double") / 1000))
+    write_manifests(chapters, path, batch=batch, total_available=header.get("total_chapters_available"),
+                    scraped_at=header.get("scraped_at"))
+
+
 def create_if_absent(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> None:
     """SNK-04: ``CREATE TABLE IF NOT EXISTS name (...) USING parquet``."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -143,6 +143,14 @@ def append_by_batch(stream: DataFrame, path: str, keys: list[str], checkpoint: s
             .foreachBatch(sink).trigger(availableNow=True).start())
 
 
+def append_by_chapter(stream: DataFrame, name: str, checkpoint: str, *,
+                      keys: tuple[str, ...] = ("chapter_number", "page_number")):
+    """SNK-03 in the target signature: each finished micro-batch (a chapter's
+    pages as they land) is appended to the table at ``name``, idempotently on
+    ``keys``."""
+    return append_by_batch(stream, name, list(keys), checkpoint)
+
+
 def incidents_stream(executions: DataFrame, *, auto_close: str = "24 hours",
                      delay: str = "10 minutes") -> DataFrame:
     """STM-21 streaming: failed executions -> their minute (a firing of the
