@@ -100,3 +100,39 @@ def test_running_sum_matches_window_with_hot_key(spark):
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
     glob = A.running_sum(df, ["n"], "v", "cum")
     assert glob.agg(F.max("cum")).first()[0] == sum(r[2] for r in rows)
+
+
+def _chapters_pandas():
+    from conftest import SF_ORACLE
+    d = pd.read_parquet(f"{SF_ORACLE}/documents.parquet", columns=["doc_id", "n_chars"])
+    return d.rename(columns={"doc_id": "chapter_number", "n_chars": "image_count"}) \
+        .sort_values("chapter_number").reset_index(drop=True)
+
+
+def test_table_rolling_bucket_top10_match_pandas(spark):
+    """WIN-01, AGG-06, SRT-04 over the whole sf0.01 chapters table against the
+    pandas expressions the dashboard uses (pandas is the reference's engine)."""
+    from conftest import SF_ORACLE
+    from contentflow.plans import bindings as B
+    pdf = _chapters_pandas()
+    ch = B.chapters(spark, SF_ORACLE)
+
+    exp_roll = pdf.image_count.rolling(50, center=True).mean()
+    got_roll = {r.chapter_number: r.rolling_mean for r in
+                A.centered_mean(ch.select("chapter_number", "image_count"), ["chapter_number"],
+                                "image_count", 50, block=128).collect()}
+    for n, e in zip(pdf.chapter_number, exp_roll):
+        g = got_roll[n]
+        assert (g is None and pd.isna(e)) or abs(g - e) < 1e-9, (n, g, e)
+
+    b = pdf.assign(bucket=(pdf.chapter_number // 100) * 100)
+    exp_b = b.groupby("bucket").image_count.mean().round(1)
+    got_b = {r.bucket: (r.mean, r.is_max) for r in A.bucket_mean(ch).collect()}
+    assert set(got_b) == set(exp_b.index)
+    for k, v in exp_b.items():
+        assert got_b[k][0] == v and got_b[k][1] == (v == exp_b.max()), (k, got_b[k], v)
+
+    exp_top = pdf.nlargest(10, "image_count").sort_values("image_count")
+    got_top = A.top_k(ch, "image_count", "chapter_number", 10).orderBy("position").collect()
+    assert [r.image_count for r in got_top] == list(exp_top.image_count)
+    assert {r.chapter_number for r in got_top} == set(exp_top.chapter_number)
