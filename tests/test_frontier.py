@@ -79,3 +79,28 @@ def test_anti_join_keeps_duplicates_and_matches_null(spark):
     done = spark.createDataFrame([(None, 2)], "a long, b long")
     out = FR.difference(all_, done, ["a", "b"]).collect()
     assert sorted((r.a, r.b) for r in out) == [(1, 1), (1, 1), (3, 3)]
+
+
+def test_dedupe_first_invariant_under_repartition(spark):
+    """Property: keep-first per key does not depend on how the rows are
+    partitioned or ordered on input (it is an aggregate, not a row order)."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rows_st = st.lists(st.tuples(st.sampled_from(["1", "01", "1.0", "2", "3"]),
+                                 st.integers(0, 3), st.integers(0, 50)),
+                       min_size=1, max_size=40, unique_by=lambda r: (r[1], r[2]))
+
+    @settings(max_examples=15, deadline=None)
+    @given(rows_st, st.integers(1, 6), st.integers(0, 10 ** 6))
+    def check(rows, nparts, seed):
+        df = spark.createDataFrame(rows, "number string, page_id int, pos int")
+        want = {}
+        for num, page, pos in sorted(rows, key=lambda r: (r[1], r[2])):
+            want.setdefault(num, (page, pos))
+        shuffled = df.repartition(nparts).orderBy(F.rand(seed))
+        got = {r.number: (r.page_id, r.pos) for r in
+               FR.dedupe_first(shuffled, "number", ["page_id", "pos"]).collect()}
+        assert got == want
+
+    check()
