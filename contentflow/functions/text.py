@@ -149,23 +149,28 @@ def fixed_text(x, digits: int = 1) -> Column:
     e = (x_hi * F.lit(float(scale)) - p) + x_lo * F.lit(float(scale))
     n0 = F.rint(p)
     r = p - n0
-    # |p| < 2^52: e is below 1/4 and only breaks the tie when p sits on a
+
+    def ind(cond: Column) -> Column:  # 1.0 / 0.0 without a branch
+        return cond.cast("double")
+
+    # |p| < 2^52: |e| < 1/4 and it only breaks the tie when p sits on a
     # half-integer (|r| = 0.5).  |p| >= 2^52: p is an integer, r = 0 and the
-    # value is p + e, rounded half-even (parity matters only for odd p, e = .5).
+    # value is p + e rounded half-even (parity matters only for odd p, e = .5).
+    # Written without CASE branches, so Catalyst evaluates e, r and p once
+    # (subexpression elimination does not share work across branches).
     adj = (F.rint(e)
-           + F.when((F.abs(r) == F.lit(0.5)) & (F.signum(e) == F.signum(r)), F.signum(r))
-           .otherwise(F.lit(0.0))
-           + F.when((F.abs(e) == F.lit(0.5)) & (p.cast("long") % F.lit(2) != F.lit(0)), F.signum(e))
-           .otherwise(F.lit(0.0)))
+           + ind(F.abs(r) == F.lit(0.5)) * ind(F.signum(e) == F.signum(r)) * F.signum(r)
+           + ind(F.abs(e) == F.lit(0.5)) * F.abs(p.cast("long") % F.lit(2)).cast("double") * F.signum(e))
     n = n0.cast("long") + adj.cast("long")
-    text = (n.cast("decimal(20,0)") / F.lit(scale)).cast(f"decimal(38,{digits})").cast("string")
+    digits_text = (F.abs(n).cast("decimal(20,0)") / F.lit(scale)) \
+        .cast(f"decimal(38,{digits})").cast("string")
+    # The sign comes from x, so a negative value that rounds to zero keeps it.
+    text = F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), digits_text)
     return (F.when(F.isnan(x), F.lit("nan"))
             .when(x == F.lit(float("inf")), F.lit("inf"))
             .when(x == F.lit(float("-inf")), F.lit("-inf"))
             # Beyond the long range: Java's formatting (not bit-exact).
             .when(F.abs(p) >= F.lit(2.0 ** 62), F.format_string(f"%.{digits}f", x))
-            # A negative value that rounds to zero keeps its sign, as in Python.
-            .when((x < 0) & (n == F.lit(0)), F.lit("-" + f"{0:.{digits}f}"))
             .otherwise(text))
 
 
