@@ -238,21 +238,28 @@ def stored_pages(spark, sf_dir) -> DataFrame:
 
 def mention_responses(spark, sf_dir) -> DataFrame:
     """One mention per turn as JSON text; fenced when turn is odd; truncated
-    when turn % 5 = 4; speaker missing when turn % 3 = 0, null when turn % 3 = 1."""
+    when turn % 5 = 4; speaker missing when turn % 3 = 0, null when turn % 3 = 1.
+
+    Built in three projections: each text is used by several branches, and a
+    separate projection keeps it computed once instead of re-inlined."""
     c = table(spark, sf_dir, "conversations")
+    keys = [F.col("conv_id").alias("chapter_number"), (F.col("turn") + 1).alias("page_number")]
     base = F.to_json(F.struct(F.col("text").alias("phrase"),
                               (F.col("role") == "user").alias("luffy_says_it"),
                               (F.col("role") == "assistant").alias("about_luffy")))
-    inner = base.substr(F.lit(2), F.length(base))  # without the leading '{'
-    mention = (F.when(F.col("turn") % 3 == 0, base)
+    s1 = c.select(*keys, "turn", "role", base.alias("base"))
+    inner = F.col("base").substr(F.lit(2), F.length("base"))  # without the leading '{'
+    mention = (F.when(F.col("turn") % 3 == 0, F.col("base"))
                .when(F.col("turn") % 3 == 1, F.concat(F.lit('{"speaker":null,'), inner))
                .otherwise(F.concat(F.lit('{"speaker":"'), F.col("role"), F.lit('",'), inner)))
-    doc = F.concat(F.lit('{"mentions":['), mention, F.lit("]}"))
-    doc = F.when(F.col("turn") % 5 == 4, doc.substr(F.lit(1), F.length(doc) - 3)).otherwise(doc)
-    doc = F.when(F.col("turn") % 2 == 1, F.concat(F.lit("```json\n"), doc, F.lit("\n```"))).otherwise(doc)
-    return c.select(F.col("conv_id").alias("chapter_number"),
-                    (F.col("turn") + 1).alias("page_number"),
-                    doc.alias("raw"))
+    s2 = s1.select("chapter_number", "page_number", "turn",
+                   F.concat(F.lit('{"mentions":['), mention, F.lit("]}")).alias("doc"))
+    doc = F.when(F.col("turn") % 5 == 4, F.col("doc").substr(F.lit(1), F.length("doc") - 3)) \
+        .otherwise(F.col("doc"))
+    s3 = s2.select("chapter_number", "page_number", "turn", doc.alias("doc"))
+    raw = F.when(F.col("turn") % 2 == 1, F.concat(F.lit("```json\n"), F.col("doc"), F.lit("\n```"))) \
+        .otherwise(F.col("doc"))
+    return s3.select("chapter_number", "page_number", raw.alias("raw"))
 
 
 # --------------------------------------------------------------------------
