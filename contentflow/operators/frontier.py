@@ -23,6 +23,46 @@ def anchor_links(pages: DataFrame, html: str = "html", page_id: str = "page_id")
                         F.posexplode(anchor_hrefs(F.col(html))).alias("pos", "href"))
 
 
+def anchor_links_parsed(pages: DataFrame, html: str = "html", page_id: str = "page_id") -> DataFrame:
+    """HTM-01 fallback: the same (page_id, pos, href) rows from Python's
+    standard-library HTML parser, per partition through ``mapInPandas`` (Arrow
+    batches; no shuffle).  For markup the regex path does not cover; it is the
+    slow path and also serves as its cross-check."""
+    def parse(batches):
+        import pandas as pd
+        from html.parser import HTMLParser
+
+        class Anchors(HTMLParser):
+            def __init__(self):
+                super().__init__()
+                self.hrefs = []
+
+            def handle_starttag(self, tag, attrs):
+                if tag == "a":
+                    for k, v in attrs:
+                        if k == "href" and v is not None:
+                            self.hrefs.append(v)
+                            break
+
+        for b in batches:
+            ids, pos, hrefs = [], [], []
+            for pid, doc in zip(b["page_id"], b["html"]):
+                if doc is None:
+                    continue
+                p = Anchors()
+                p.feed(doc)
+                p.close()
+                ids += [pid] * len(p.hrefs)
+                pos += range(len(p.hrefs))
+                hrefs += p.hrefs
+            yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"),
+                                "pos": pd.Series(pos, dtype="int32"),
+                                "href": pd.Series(hrefs, dtype="object")})
+
+    return (pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(html).alias("html"))
+            .mapInPandas(parse, "page_id long, pos int, href string"))
+
+
 def chapter_links(links: DataFrame, must=("chapitre", "vf"), sep: str = "chapitre-",
                   end: str = "-vf") -> DataFrame:
     """HTM-02/03: keep hrefs containing every ``must`` word (case-insensitive)
