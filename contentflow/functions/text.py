@@ -55,10 +55,22 @@ def image_ext(url) -> Column:
     return F.when(F.lower(_c(url)).contains("jpg"), F.lit("jpg")).otherwise(F.lit("png"))
 
 
+def zero_pad(n, width: int = 3) -> Column:
+    """``'%0{width}d' % n``: left-pad with zeros, never truncate (``lpad``
+    alone would cut 1234 to 123).  Negative numbers go through
+    ``format_string``; the common case stays a cheap concat."""
+    n = _c(n).cast("long")
+    s = n.cast("string")
+    return (F.when(n < 0, F.format_string(f"%0{width}d", n))
+            .when(F.length(s) < width, F.lpad(s, width, "0"))
+            .otherwise(s))
+
+
 def object_path(chapter, page, url) -> Column:
-    """``chapitre-{n}/page-{p:03d}.{ext}`` (SCL-05); ``%03d`` never truncates."""
-    return F.format_string("chapitre-%d/page-%03d.%s", _c(chapter).cast("long"),
-                           _c(page).cast("long"), image_ext(url))
+    """``chapitre-{n}/page-{p:03d}.{ext}`` (SCL-05); the page number is padded
+    to three digits, never truncated."""
+    return F.concat(F.lit("chapitre-"), _c(chapter).cast("long").cast("string"),
+                    F.lit("/page-"), zero_pad(page, 3), F.lit("."), image_ext(url))
 
 
 def mime_type(url) -> Column:
