@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import zero_pad
+
 # Reference instant for every "now"-relative filter over ``events``.
 AS_OF = "2024-01-31 00:00:00"
 # Job names as bound from events: 'job-' + user_id % 4; three of four are listed.
@@ -100,7 +102,7 @@ def budget_messages_from_events(ev: DataFrame) -> DataFrame:
     """One message per purchase: costAmount = value, budgetAmount = 50, 0 when
     user_id % 10 = 0, key absent when user_id % 10 = 5; base64 of the JSON."""
     ev = ev.where(F.col("event_type") == "purchase")
-    cost = F.format_string("%s", F.col("value").cast("string"))
+    cost = F.col("value").cast("string")
     budget = F.when(F.col("user_id") % 10 == 0, F.lit("0")).otherwise(F.lit("50"))
     body = F.when(F.col("user_id") % 10 == 5,
                   F.concat(F.lit('{"costAmount":'), cost, F.lit("}"))) \
@@ -162,6 +164,17 @@ def chapter_url(key: Column) -> Column:
     return F.concat(F.lit(HOST + "/chapitre-"), key.cast("string"), F.lit("-vf/"))
 
 
+def scan_url(a: Column, b: Column) -> Column:
+    """``/scans/{a}/{b}.jpg`` (concat: cheaper per row than format_string)."""
+    return F.concat(F.lit("/scans/"), a.cast("string"), F.lit("/"), b.cast("string"), F.lit(".jpg"))
+
+
+def page_path(chapter: Column, page: Column) -> Column:
+    """``chapitre-{n}/page-{p:03d}.jpg``."""
+    return F.concat(F.lit("chapitre-"), chapter.cast("string"), F.lit("/page-"), zero_pad(page, 3),
+                    F.lit(".jpg"))
+
+
 def chapters(spark, sf_dir) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select(
@@ -180,8 +193,8 @@ def dialogues(spark, sf_dir) -> DataFrame:
     return c.select(
         F.col("conv_id").alias("chapter_number"),
         page.alias("page_number"),
-        F.format_string("/scans/%d/%d.jpg", F.col("conv_id"), page).alias("image_url"),
-        F.format_string("chapitre-%d/page-%03d.jpg", F.col("conv_id"), page).alias("gcs_path"),
+        scan_url(F.col("conv_id"), page).alias("image_url"),
+        page_path(F.col("conv_id"), page).alias("gcs_path"),
         F.replace(F.col("text"), F.lit(" "), F.lit("\n")).alias("extracted_text"),
         F.lit(AS_OF).cast("timestamp").alias("processed_at"),
     )
@@ -230,9 +243,9 @@ def stored_pages(spark, sf_dir) -> DataFrame:
     return c.select(
         F.col("conv_id").alias("chapter_number"),
         page.alias("page_number"),
-        F.format_string("/scans/%d/%d.jpg", F.col("conv_id"), page).alias("image_url"),
+        scan_url(F.col("conv_id"), page).alias("image_url"),
         F.when(F.col("turn") % 11 == 10, F.lit(None).cast("string"))
-        .otherwise(F.format_string("chapitre-%d/page-%03d.jpg", F.col("conv_id"), page))
+        .otherwise(page_path(F.col("conv_id"), page))
         .alias("gcs_path"))
 
 
@@ -298,8 +311,9 @@ def link_pages(spark, sf_dir) -> DataFrame:
 
 
 def image_src(order: Column, line: Column) -> Column:
-    return F.when(line % 3 == 0, F.format_string("/img/%d/%d.webp", order, line)) \
-        .otherwise(F.format_string("/scans/%d/%d.jpg", order, line))
+    return F.when(line % 3 == 0, F.concat(F.lit("/img/"), order.cast("string"), F.lit("/"),
+                                          line.cast("string"), F.lit(".webp"))) \
+        .otherwise(scan_url(order, line))
 
 
 def image_pages(spark, sf_dir) -> DataFrame:
