@@ -99,6 +99,15 @@ def test_fixed_text_matches_python(spark):
     assert [r[0] for r in special.select(TX.fixed_text("x", 1)).collect()] == ["nan", "inf", "-inf"]
 
 
+def test_zero_pad_and_object_path(spark):
+    vals = [0, 5, 42, 999, 1000, 1234, 123456, -5, -1234]
+    df = spark.createDataFrame([(v,) for v in vals], "p long")
+    assert [r[0] for r in df.select(TX.zero_pad("p", 3)).collect()] == ["%03d" % v for v in vals]
+    r = df.limit(1).select(TX.object_path(F.lit(5), F.lit(7), F.lit("a.JPG")).alias("a"),
+                           TX.object_path(F.lit(5), F.lit(1234), F.lit("a.webp")).alias("b")).first()
+    assert (r.a, r.b) == ("chapitre-5/page-007.jpg", "chapitre-5/page-1234.png")
+
+
 def test_iso_utc_like_isoformat(spark):
     from datetime import timezone
     ts = [datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4, 5, 120)]
