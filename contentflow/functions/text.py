@@ -29,10 +29,18 @@ def collapse_ws(c) -> Column:
     return F.lower(F.regexp_replace(_c(c), F.lit(WS_CLASS + "+"), F.lit(" ")))
 
 
+# The characters Python's ``str.strip()`` removes: derived from
+# ``str.isspace`` over all code points (tab..CR, U+001C..U+001F, space, NEL,
+# NBSP, the Unicode space separators, U+2028/2029, ...), not listed by hand.
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+
+
 def strip_ws(c) -> Column:
-    """Strip leading/trailing Unicode whitespace incl. newlines (SCL-02).
-    SQL ``trim`` removes only spaces, hence the regex."""
-    return F.regexp_replace(_c(c), F.lit("(?U)^\\s+|\\s+$"), F.lit(""))
+    """Strip leading/trailing whitespace exactly as Python's ``str.strip()``
+    (SCL-02), newlines included: the built-in ``trim`` with the
+    ``PY_WHITESPACE`` character set (plain SQL ``trim`` removes only spaces;
+    Java's ``(?U)\\s`` would miss U+001C..U+001F)."""
+    return F.trim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def is_float_text(c) -> Column:

@@ -28,6 +28,14 @@ def test_whitespace_fold_and_strip(spark):
     assert r.st == "A\u000b\tB\n\nC"             # Unicode strip removes NBSP at the edge
 
 
+def test_strip_matches_python_strip(spark):
+    vals = ["  a b  ", "\n\n\ntext\n\n\n", "\x1c\x1fx\x1e", "\u3000\xa0y\u2028", "\x0bz\x0b", "",
+            "   ", "no-edge", "\u200bkeep\u200b"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r[0] for r in df.select(TX.strip_ws("s")).collect()]
+    assert got == [v.strip() for v in vals]
+
+
 def test_labels_and_formats(spark):
     df = spark.createDataFrame([(1234567, 0.12345, 5, datetime(2024, 1, 2, 3, 4, 5, 6))],
                                "n long, r double, b long, ts timestamp")
