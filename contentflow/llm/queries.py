@@ -6,18 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contentflow.llm import ngram_jaccard
+from contentflow.llm import cover_tree, ngram_jaccard
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.cosine_links(_read(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_components(_read(spark, sf_dir, "documents"), n=3, percent=90)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cover_tree": op1_cover_tree,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 ORACLE_SQL: dict[str, str] = {}
