@@ -60,19 +60,17 @@ def words_of(texts: pa.Array, lower: bool = False):
 
     Returns ``(offsets, codes, words)``: the words of text ``i`` are
     ``words[codes[offsets[i]:offsets[i + 1]]]``.  Null texts have no words.
-    ``lower`` folds A-Z only.
+    ``lower`` folds A-Z only, in the list of words (which can then repeat a word).
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if lower:
-        texts = pc.ascii_lower(texts)
-    lists = pc.ascii_split_whitespace(texts)
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
     off = lists.offsets.to_numpy().astype(np.int64)
     flat = lists.values.slice(off[0], off[-1] - off[0])
     off = off - off[0]
     keep = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
     offsets = np.concatenate(([0], np.cumsum(keep)))[off]
     coded = flat.filter(pa.array(keep)).dictionary_encode()
-    return offsets, coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    words = pc.ascii_lower(coded.dictionary) if lower else coded.dictionary
+    return offsets, coded.indices.to_numpy().astype(np.int64), words
 
 
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -86,10 +84,6 @@ def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4 << 20) -> Ite
             yield batch.slice(a, b - a)
 
 
-def text_column(batch: pa.RecordBatch, column: str) -> pa.Array:
-    return batch.column(column)
-
-
 # ---------------------------------------------------------------- bitmaps
 def id_bitmap(df: DataFrame, column: str, bits: int = 1 << 25) -> np.ndarray:
     """Bitmap of fixed size (``bits`` / 8 bytes) over the hashes of an id column.
