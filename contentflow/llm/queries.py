@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contentflow.llm import cover_tree, ngram_jaccard
+from contentflow.llm import cover_tree, length_histogram, line_dedup, ngram_jaccard, token_output
+from contentflow.llm.tokens import vocabulary_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,12 +18,27 @@ def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.cosine_links(_read(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_read(spark, sf_dir, "documents"), max_edits=2, chars_per_edit=10)
+
+
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.token_digests(_read(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=2)
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_components(_read(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram.token_counts(_read(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": op1_cover_tree,
+    "op2_line_dedup": op2_line_dedup,
+    "op4_token_output": op4_token_output,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op10_token_counts": op10_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {}
