@@ -85,18 +85,16 @@ def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4 << 20) -> Ite
 
 
 # ---------------------------------------------------------------- bitmaps
-def id_bitmap(df: DataFrame, column: str, bits: int = 1 << 25) -> np.ndarray:
-    """Bitmap of fixed size (``bits`` / 8 bytes) over the hashes of an id column.
+def slot_bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bitmap of fixed size (``bits`` / 8 bytes) over a column of slots in [0, bits).
 
     Built by Spark's bitmap aggregate; the driver gets ``bits / 32768`` rows of
-    4 KB at most, whatever the input size.  A filter by it has false positives
-    only, so an exact join always follows.
+    4 KB at most, whatever the input size.  (Spark's buckets count slots from 1.)
     """
-    slot = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
-    rows = (df.select(slot.alias("s"))
-              .groupBy(F.bitmap_bucket_number("s").alias("k"))
+    slot = F.col(column) + 1
+    rows = (df.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect())
-    out = np.zeros(bits // 8 + 4096, np.uint8)
+    out = np.zeros(-(-bits // 32768) * 4096, np.uint8)
     for r in rows:
         at = (r["k"] - 1) * 4096
         out[at:at + 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
@@ -104,9 +102,14 @@ def id_bitmap(df: DataFrame, column: str, bits: int = 1 << 25) -> np.ndarray:
 
 
 def bitmap_slot(column: str, bits: int = 1 << 25):
-    """The slot number that ``id_bitmap`` uses (1-based buckets of 32768 bits)."""
-    s = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
-    return ((F.bitmap_bucket_number(s) - 1) * 32768 + F.bitmap_bit_position(s)).alias("slot")
+    """Slot of an id in ``id_bitmap``."""
+    return F.pmod(F.xxhash64(F.col(column)), F.lit(bits)).alias("slot")
+
+
+def id_bitmap(df: DataFrame, column: str, bits: int = 1 << 25) -> np.ndarray:
+    """Bitmap over the hashes of an id column.  A filter by it has false positives
+    only, so an exact join always follows."""
+    return slot_bitmap(df.select(bitmap_slot(column, bits)), "slot", bits)
 
 
 def in_bitmap(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
