@@ -51,9 +51,9 @@ def words(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
-def blocks(text: str, cue: re.Pattern, gap: int = 2, wrapped: int = 120) -> Iterator[tuple[int, str]]:
-    """``(first line, text)`` of runs of lines with licensing words, not more than
-    ``gap`` lines apart; the lines between belong to the run, and so do up to ``gap``
+def blocks(text: str, cue: re.Pattern, gap: int = 2, reach: int = 8, wrapped: int = 120) -> Iterator[tuple[int, str, str]]:
+    """``(first line, text, lines with licensing words)`` of runs of lines with licensing words, not more than
+    ``gap`` lines apart; the lines between belong to the run, and so do up to ``reach``
     lines next to it that look like wrapped text (not blank, ``wrapped`` characters at most)."""
     lines = text.split("\n")
     marked = [i for i, line in enumerate(lines) if cue.search(line)]
@@ -66,13 +66,13 @@ def blocks(text: str, cue: re.Pattern, gap: int = 2, wrapped: int = 120) -> Iter
     floor = 0
     for n, (a, b) in enumerate(runs):
         roof = runs[n + 1][0] if n + 1 < len(runs) else len(lines)
-        for _ in range(gap):
+        for _ in range(reach):
             if a > floor and lines[a - 1].strip() and len(lines[a - 1]) <= wrapped:
                 a -= 1
             if b + 1 < roof and lines[b + 1].strip() and len(lines[b + 1]) <= wrapped:
                 b += 1
         floor = b + 1
-        yield a, "\n".join(lines[a:b + 1])
+        yield a, "\n".join(lines[a:b + 1]), "\n".join(x for x in lines[a:b + 1] if cue.search(x))
 
 
 class Scanner:
@@ -107,19 +107,23 @@ class Scanner:
 
     def scan(self, text: str) -> Iterator[tuple[int, str, float, int, int, int]]:
         """``(first line, license, reduction, words, missing, extra)``."""
-        for first, block in blocks(text, self.cue):
+        for first, block, marked in blocks(text, self.cue):
             have = words(block)
+            core = " ".join(words(marked)[:PIECE])
             step = max(1, PIECE - self.longest)
             for at in range(0, max(1, len(have) - self.longest), step):
-                yield from ((first, *f) for f in self.piece(have[at:at + PIECE]))
+                yield from ((first, *f) for f in self.piece(have[at:at + PIECE], core))
 
-    def piece(self, have: list[str]) -> Iterator[tuple[str, float, int, int, int]]:
+    def piece(self, have: list[str], core: str) -> Iterator[tuple[str, float, int, int, int]]:
         found = True
         while found and have:
             found = False
             best = None
-            # A short notice can be the start of a longer one: the most matched words win.
-            for saved, name in self.ranked(" ".join(have))[:self.tried]:
+            # Ranked on the whole piece and on its marked lines, so that text around a short
+            # notice does not hide it.  A short notice can be the start of a longer one: the
+            # most matched words win.
+            tried = self.ranked(" ".join(have))[:self.tried] + self.ranked(core)[:self.tried]
+            for saved, name in tried:
                 hit = self.confirm(name, have) if saved > 0 else None
                 if hit and (best is None or len(self.words[name]) - hit[0] > len(self.words[best[1]]) - best[2][0]):
                     best = (saved, name, hit)

@@ -37,18 +37,23 @@ TRIGRAMS = 8192  # buckets
 
 @dataclass(frozen=True)
 class Settings:
-    toxic_rows: int = 1200
-    clean_rows: int = 1800
+    toxic_rows: int = 700
+    clean_rows: int = 2200
     max_chars: int = 20000
     vocabulary: int = 2000
     word_dim: int = 8
     char_dim: int = 12
     hidden: int = 12
     attention: int = 8
-    rounds: int = 10
+    rounds: int = 7
     passes: int = 2
     batch: int = 256
     rate: float = 0.01
+    char_scale: float = 0.02
+    decay: float = 0.2
+    others: int = 4
+    trust_after: int = 2
+    doubt: float = 0.25
     seed: int = 7
 
 
@@ -108,7 +113,7 @@ class Network:
         def draw(*shape):
             return (rng.normal(size=shape) / np.sqrt(shape[0])).astype(np.float32)
 
-        self.p = {"words": draw(vocabulary + 1, s.word_dim) * 5, "chars": (rng.normal(size=(TRIGRAMS, s.char_dim)) * 0.3).astype(np.float32),
+        self.p = {"words": draw(vocabulary + 1, s.word_dim) * 5, "chars": (rng.normal(size=(TRIGRAMS, s.char_dim)) * s.char_scale).astype(np.float32),
                   "att": draw(2 * h, a), "att_b": np.zeros(a, np.float32), "att_v": draw(a, 1)[:, 0], "out": draw(2 * h, 1)[:, 0],
                   "bias": np.zeros(1, np.float32)}
         for side in "fb":
@@ -260,6 +265,7 @@ def fit(texts: list[str], labels: list[int], s: Settings = Settings()) -> Model:
     first = np.flatnonzero(np.concatenate(([True], x.doc[1:] != x.doc[:-1])))
     count = np.diff(np.append(first, len(x.doc)))
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())).astype(np.float32)
+    trusted = np.ones(len(texts), bool)
     for turn in range(s.rounds):
         if turn == 0:  # some windows of every text
             pick = np.unique(np.concatenate([first + (rng.random(len(first)) * count).astype(int) for _ in range(4)]))
@@ -267,8 +273,14 @@ def fit(texts: list[str], labels: list[int], s: Settings = Settings()) -> Model:
             net.scores(x)
             order = np.lexsort((-net.window_logits, x.doc))
             best = order[first]
-            pick = np.concatenate((best, (first + (rng.random(len(first)) * count).astype(int))[y == 0]))
-            pick = np.unique(pick)
+            if turn >= s.trust_after:
+                # Labels can be wrong: texts that the network, before it could learn them by
+                # heart, holds to be of the other class take no part in this round.
+                top = sigmoid(net.window_logits[best])
+                trusted = np.where(y == 1, top >= s.doubt, top <= 1 - s.doubt)
+            best = best[trusted]
+            more = [(first + (rng.random(len(first)) * count).astype(int))[trusted & (y == 0)] for _ in range(s.others)]
+            pick = np.unique(np.concatenate([best, *more]))
         rate = s.rate * (1 if turn < s.rounds * 2 // 3 else 0.3)
         for _ in range(s.passes if turn else 1):
             rng.shuffle(pick)
@@ -278,10 +290,7 @@ def fit(texts: list[str], labels: list[int], s: Settings = Settings()) -> Model:
                 # Only the batch's own words take part.
                 used, local = np.unique(words, return_inverse=True)
                 part = _part(x, used[used < x.n_words])
-                if len(used) == 0 or used[-1] < x.n_words:
-                    local = local.reshape(words.shape)
-                else:
-                    local = local.reshape(words.shape)  # the last number is the row for no word
+                local = local.reshape(words.shape)  # the number for no word, if used, comes last
                 _, g = net.gradients(part, net.word_inputs(part), local, mask, y[x.doc[which]], balance[x.doc[which]])
                 step += 1
                 norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
@@ -291,6 +300,8 @@ def fit(texts: list[str], labels: list[int], s: Settings = Settings()) -> Model:
                     v = v * scale
                     m += 0.1 * (v - m)
                     q += 0.01 * (v * v - q)
+                    if k in ("words", "chars"):  # what few windows ask for fades
+                        net.p[k] *= 1 - rate * s.decay
                     net.p[k] -= (rate * (m / (1 - 0.9 ** step)) / (np.sqrt(q / (1 - 0.99 ** step)) + 1e-6)).astype(np.float32)
     return Model(net, known)
 
