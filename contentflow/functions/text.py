@@ -55,8 +55,15 @@ def float_value(c) -> Column:
 
 
 def trunc_long(c) -> Column:
-    """Truncate toward zero, like Python ``int(float(x))`` (SCL-04)."""
-    return _c(c).cast("double").cast("long")
+    """Truncate toward zero, like Python ``int(float(x))`` (SCL-04); NULL for a
+    value outside the BIGINT range (and for nan, inf)."""
+    return _c(c).cast("double").try_cast("long")
+
+
+def trunc_double(c) -> Column:
+    """Truncate toward zero without leaving DOUBLE: any magnitude, for comparisons."""
+    c = _c(c).cast("double")
+    return F.when(F.abs(c) >= F.lit(2.0 ** 53), c).otherwise(F.signum(c) * F.floor(F.abs(c)).cast("double"))
 
 
 def image_ext(url) -> Column:

@@ -3,9 +3,10 @@ WIN-01..03, SRT-04, SRT-06, PRJ-02, SNK-09).
 
 Scale notes
 -----------
-* Every aggregate is a hash aggregate with map-side partial aggregation.
-* Small dimension tables are broadcast only after their row count is checked
-  (``sized_broadcast``); otherwise the range join becomes a bucketed equi-join.
+* Aggregates are partial inside each map task (hash aggregates; ``min`` over a struct,
+  as in the keep-first dedupe, plans as a sort aggregate).
+* Interval counts come from running totals at the interval ends: one plan for any
+  number of intervals, no nested loop, no broadcast.
 * "Whole-frame" values (the maximum bucket mean, the watermark) are scalar
   subqueries (``DataFrame.scalar()``), evaluated once and inlined as literals,
   never a cross join.
@@ -23,18 +24,6 @@ from pyspark.sql import functions as F
 from ..functions.text import (bucket_floor, bucket_label, chap_label, chapter_label,
                               pages_label, range_label, round_half_even)
 
-# Upper bound on the rows of a dimension we are willing to broadcast.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS):
-    """Return (df, True) with a broadcast hint when ``df`` has at most
-    ``max_rows`` rows, else (df, False).  The check reads at most
-    ``max_rows + 1`` rows."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(df) if small else df), small
-
-
 def snapshot(df: DataFrame) -> DataFrame:
     """SNK-09: cache a frame shared by several reports (memory, spill to disk).
     Call ``unpersist()`` when done."""
@@ -45,18 +34,19 @@ def snapshot(df: DataFrame) -> DataFrame:
 # KPIs and explorer
 # --------------------------------------------------------------------------
 
-def kpis(chapters: DataFrame, value: str = "image_count") -> DataFrame:
-    """AGG-02: row count, mean and sum of ``value`` (NULLs skipped)."""
+def kpis(chapters: DataFrame, value: str = "image_count", *, distinct: str | None = None) -> DataFrame:
+    """AGG-02: row count, mean and sum of ``value`` (NULLs skipped).  ``distinct``: a key
+    column of which each value counts once (T13), with its smallest ``value``."""
+    if distinct:
+        chapters = chapters.groupBy(distinct).agg(F.min(value).alias(value))
     return chapters.agg(F.count(F.lit(1)).alias("n_chapters"),
                         F.avg(value).alias("mean_pages"),
                         F.sum(value).alias("total_pages"))
 
 
 def explore(chapters: DataFrame, lo: int = 1, hi: int = 100) -> DataFrame:
-    """PRJ-02: closed range on chapter number, three renamed columns.  The
-    input widget never goes below 1."""
-    lo = max(int(lo), 1)
-    return (chapters.where(F.col("chapter_number").between(lo, int(hi)))
+    """PRJ-02: closed range on chapter number, three renamed columns."""
+    return (chapters.where(F.col("chapter_number").between(int(lo), int(hi)))
             .select(F.col("chapter_number").alias("chapter"),
                     F.col("image_count").alias("pages"),
                     F.col("scraped_at").alias("retrieved_at")))
@@ -101,72 +91,64 @@ def centered_mean(df: DataFrame, order: list[str], value: str, n: int = 50, *,
     return res.where(F.col("_blk") == F.col("_home")).drop("_blk", "_home", "_i")
 
 
+def _slice(df: DataFrame, col: str, slices: int | None) -> Column:
+    """Number of the range slice that a row's ``col`` falls into.
+
+    The cut points are approximate quantiles, taken once and put into the plan as
+    constants: a task that runs again puts each row into the same slice, so nothing
+    has to be copied to pin the ranges."""
+    slices = slices or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = df.agg(F.percentile_approx(col, [i / slices for i in range(1, slices)], 10 * slices)).first()[0]
+    kind = df.schema[col].dataType
+    edges = F.array(*[F.lit(c).cast(kind) for c in sorted(set(cuts or []))]).cast(f"array<{kind.simpleString()}>")
+    return F.coalesce(F.size(F.filter(edges, lambda c: c < F.col(col))), F.lit(-1))
+
+
+def _same(df: DataFrame, other: DataFrame, cols: list[str]) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & df[c].eqNullSafe(other["_o" + c])
+    return cond
+
+
 def dense_index(df: DataFrame, order: list[str], name: str = "_i", *,
-                partition: list[str] | None = None) -> DataFrame:
-    """0-based position of each row in ``order`` (per ``partition`` key)
-    without a single-partition window.
-
-    Range-partition on (key, order) and sort inside partitions, so the rows
-    of a key are contiguous and ordered inside every Spark partition; a
-    monotonically increasing id gives each row's position in its partition.
-    A small table of (partition id, key) -> row count and first id (at most
-    #partitions + #keys rows) yields each key's running offset; it is joined
-    back by broadcast.  The numbered frame is checkpointed (reliably, into
-    ``spark.checkpoint.dir``) so range boundaries and ids stay fixed if tasks
-    are retried or executors are lost."""
+                partition: list[str] | None = None, slices: int | None = None) -> DataFrame:
+    """0-based position of each row in ``order`` (per ``partition`` key) without a
+    window over a whole key.
+
+    Rows are cut into range slices of the first ``order`` column; the counts of
+    (key, slice) give each slice's offset, and a window numbers the rows inside a
+    (key, slice).  A key holding most rows is spread over the slices."""
     part = list(partition or [])
-    keys = part + list(order)
-    ranged = (df.repartitionByRange(*[F.col(c) for c in keys])
-              .sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
-    pid = F.shiftright(F.col("_mid"), 33)
-    counts = ranged.groupBy(pid.alias("_pid"), *part).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    offsets = counts.select("_pid", *part, "_first",
-                            (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
-    offsets_b = F.broadcast(offsets.select("_pid", *[F.col(c).alias("_k_" + c) for c in part],
-                                           "_first", "_off"))
-    cond = pid == F.col("_pid")
-    for c in part:
-        cond = cond & F.col(c).eqNullSafe(F.col("_k_" + c))
-    return (ranged.join(offsets_b, cond)
-            .withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first"))
-            .drop("_mid", "_pid", "_off", "_first", *["_k_" + c for c in part]))
+    cut = df.withColumn("_s", _slice(df, order[0], slices))
+    counts = cut.groupBy("_s", *part).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*part).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias("_o" + c) for c in ["_s", *part]],
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_s", *part).orderBy(*order)) - 1
+    numbered = cut.withColumn("_in", inside)
+    return (numbered.join(offsets, _same(numbered, offsets, ["_s", *part]))
+            .withColumn(name, F.col("_off") + F.col("_in"))
+            .drop("_s", "_in", "_off", *["_o" + c for c in ["_s", *part]]))
 
 
 def running_sum(df: DataFrame, order: list[str], value: str, name: str = "_cum", *,
-                partition: list[str] | None = None) -> DataFrame:
-    """Running total of ``value`` along ``order`` (per ``partition`` key),
-    inclusive of the current row, without a per-key window.
-
-    Rows are range-partitioned on (key, order) -- so even one huge key is
-    spread over many balanced partitions -- and checkpointed to pin the
-    partition boundaries.  Each (partition, key) slice gets its own running
-    sum (a window over one range partition), and the totals of all earlier
-    slices of the same key (a table of at most #partitions + #keys rows,
-    broadcast) are added.  ``order`` must be a total order."""
+                partition: list[str] | None = None, slices: int | None = None) -> DataFrame:
+    """Running total of ``value`` along ``order`` (per ``partition`` key), inclusive of
+    the current row; sliced like ``dense_index``.  ``order`` must be a total order."""
     part = list(partition or [])
-    keys = part + list(order)
-    ranged = (df.repartitionByRange(*[F.col(c) for c in keys])
-              .withColumn("_pid", F.spark_partition_id()))
-    ranged = ranged.checkpoint(eager=True)
-    local_w = Window.partitionBy("_pid", *part).orderBy(*order) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_local", F.sum(value).over(local_w))
-    totals = ranged.groupBy("_pid", *part).agg(F.sum(value).alias("_tot"))
-    w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[F.col(c).alias("_k_" + c) for c in part],
-                            F.coalesce(F.sum("_tot").over(w), F.lit(0).cast(
+    cut = df.withColumn("_s", _slice(df, order[0], slices))
+    totals = cut.groupBy("_s", *part).agg(F.sum(value).alias("_tot"))
+    before = Window.partitionBy(*part).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(c).alias("_o" + c) for c in ["_s", *part]],
+                            F.coalesce(F.sum("_tot").over(before), F.lit(0).cast(
                                 totals.schema["_tot"].dataType)).alias("_off"))
-    cond = F.col("_pid") == F.col("_o_pid")
-    for c in part:
-        cond = cond & F.col(c).eqNullSafe(F.col("_k_" + c))
-    offsets = F.broadcast(offsets.withColumnRenamed("_pid", "_o_pid"))
-    return (local.join(offsets, cond)
-            .withColumn(name, F.col("_off") + F.col("_local"))
-            .drop("_pid", "_o_pid", "_local", "_off", *["_k_" + c for c in part]))
+    local = F.sum(value).over(Window.partitionBy("_s", *part).orderBy(*order)
+                              .rowsBetween(Window.unboundedPreceding, 0))
+    summed = cut.withColumn("_local", local)
+    return (summed.join(offsets, _same(summed, offsets, ["_s", *part]))
+            .withColumn(name, F.col("_off") + F.coalesce("_local", F.lit(0)))
+            .drop("_s", "_local", "_off", *["_o" + c for c in ["_s", *part]]))
 
 
 # --------------------------------------------------------------------------
@@ -174,32 +156,30 @@ def running_sum(df: DataFrame, order: list[str], value: str, name: str = "_cum",
 # --------------------------------------------------------------------------
 
 def interval_counts(df: DataFrame, intervals: DataFrame, key: str = "chapter_number", *,
-                    distinct: bool = False, bucket_width: int = 1000) -> DataFrame:
+                    distinct: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``key`` lies in each closed interval [lo, hi]; every
-    interval is kept (0 when empty).  ``intervals``: name, lo, hi, family.
+    interval is kept (0 when empty), names may repeat.  ``intervals``: name, lo, hi, family.
 
-    The data side is first reduced to one row per key value (partial
-    aggregation), so the range join works on distinct keys only."""
-    per_key = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k"))
+    The data side is reduced to one row per key value.  Keys and interval ends are put
+    into one order; an interval's count is the running total at its upper end less the
+    one before its lower end."""
+    per_key = df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("double").alias("_at"))
     per_key = per_key.agg((F.lit(1) if distinct else F.count(F.lit(1))).cast("long").alias("_n"))
-    dim, small = sized_broadcast(intervals.select("name", "lo", "hi"))
-    if small:
-        hits = per_key.join(dim, F.col("_k").between(F.col("lo"), F.col("hi")))
-    else:
-        # Large dimension: bucketed equi-join (each interval exploded into the
-        # buckets it covers) followed by the exact range predicate.
-        b = bucket_width
-        dim_b = intervals.select("name", "lo", "hi", F.explode(
-            F.sequence(F.floor(F.col("lo") / b), F.floor(F.col("hi") / b))).alias("_b"))
-        hits = (per_key.withColumn("_b", F.floor(F.col("_k") / b))
-                .join(dim_b, "_b").where(F.col("_k").between(F.col("lo"), F.col("hi"))))
-    counted = hits.groupBy("name").agg(F.sum("_n").alias("_cnt"))
-    # One row per interval at most: broadcast when the dimension is small.
-    counted = F.broadcast(counted) if small else counted
-    return (intervals.join(counted, "name", "left")
+    ident = ["name", "family", "lo", "hi"]
+    named = intervals.groupBy(*ident).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    # At one place: a lower end comes before the key, an upper end after it.
+    ends = named.select(*ident, "_copies", F.explode(F.array(
+        F.struct(F.col("lo").cast("double").alias("_at"), F.lit(0).alias("_kind")),
+        F.struct(F.col("hi").cast("double").alias("_at"), F.lit(2).alias("_kind")))).alias("_e"))
+    ends = ends.select(*ident, "_copies", "_e.*", F.lit(0).cast("long").alias("_n"))
+    keys = per_key.select("_at", F.lit(1).alias("_kind"), "_n")
+    line = keys.unionByName(ends, allowMissingColumns=True)
+    cum = running_sum(line, ["_at", "_kind", *ident], "_n", "_cum").where("_kind <> 1")
+    counted = cum.groupBy(*ident, "_copies").agg(F.sum(F.when(F.col("_kind") == 2, F.col("_cum")).otherwise(-F.col("_cum"))).alias("_c"))
+    n = F.greatest(F.col("_c"), F.lit(0)).cast("long")  # lo > hi holds nothing
+    return (counted.select(*ident, n.alias("_cnt"), F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_x"))
             .select("name", "family", "lo", "hi", range_label(F.col("lo"), F.col("hi")).alias("label"),
-                    F.coalesce(F.col("_cnt"), F.lit(0)).cast("long").alias("n_chapters"),
-                    chap_label(F.coalesce(F.col("_cnt"), F.lit(0))).alias("text")))
+                    F.col("_cnt").alias("n_chapters"), chap_label(F.col("_cnt")).alias("text")))
 
 
 # --------------------------------------------------------------------------

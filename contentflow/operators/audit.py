@@ -3,6 +3,9 @@ tiering (SNK-06..08, AUD-01..04, SRT-05, FLT-06, AGG-11/12, SRC-06/07)."""
 
 from __future__ import annotations
 
+import re
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +36,9 @@ def audit_latest(df: DataFrame, *, as_of, k: int = 100) -> DataFrame:
     """AUD-01 / SRT-05: the newest ``k`` entries ingested on day ``as_of``.
     The day filter is on the ingest partition column (partition pruning)."""
     today = df.where(F.col("ingest_date") == _day(as_of))
-    return (_audit_cols(today, ["principal", "service", "method", "resource"])
-            .orderBy(F.col("ts").desc()).limit(k))
+    cols = ["principal", "service", "method", "resource"]
+    # Equal times: by the other columns, so that the cut at k is always the same.
+    return _audit_cols(today, cols).orderBy(F.col("ts").desc(), *[F.col(c).asc_nulls_first() for c in cols]).limit(k)
 
 
 def audit_access(df: DataFrame, *, resource_like: str | None = None, method_like: str | None = None,
@@ -60,6 +64,23 @@ def retain(df: DataFrame, ts: str, days: int, *, as_of) -> DataFrame:
         F.lit(0), F.lit(0), F.lit(0), F.lit(days))))
 
 
+def expire_partitions(spark, path: str, days: int, *, as_of, column: str = "ingest_date") -> list[str]:
+    """SNK-07 as the store does it: delete the day partitions ``column=yyyy-mm-dd`` under
+    ``path`` that are ``days`` old or older at ``as_of``.  Only folder names are listed.
+    Returns the days deleted."""
+    cut = (date.fromisoformat(str(as_of)[:10]) - timedelta(days=days)).isoformat()
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for entry in fs.listStatus(root):
+        key, _, day = entry.getPath().getName().partition("=")
+        if key == column and re.fullmatch(r"\d{4}-\d\d-\d\d", day) and day < cut:
+            fs.delete(entry.getPath(), True)
+            gone.append(day)
+    return sorted(gone)
+
+
 def tier_report(objects: DataFrame, *, as_of, created: str = "created_at", size: str = "size_bytes",
                 rules=tuple(TIER_RULES)) -> DataFrame:
     """SNK-08: storage class by age (oldest rule first, default STANDARD),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import anchor_hrefs, lazy_image_srcs, link_number_text
 from ..functions.jsonx import first_annotation_text
-from ..functions.text import float_value, is_float_text, mime_type, object_path, trunc_long
+from ..functions.text import float_value, mime_type, object_path, trunc_double, trunc_long
 from ..schemas import CRAWL_LANGUAGE, CRAWL_SOURCE
 
 
@@ -39,10 +39,8 @@ def anchor_links_parsed(pages: DataFrame, html: str = "html", page_id: str = "pa
 
             def handle_starttag(self, tag, attrs):
                 if tag == "a":
-                    for k, v in attrs:
-                        if k == "href" and v is not None:
-                            self.hrefs.append(v)
-                            break
+                    found = [v for k, v in attrs if k == "href" and v is not None]
+                    self.hrefs += found[-1:]  # of a repeated attribute the last counts
 
         for b in batches:
             ids, pos, hrefs = [], [], []
@@ -74,8 +72,21 @@ def chapter_links(links: DataFrame, must=("chapitre", "vf"), sep: str = "chapitr
         cond = cond & low.contains(m)
     num = link_number_text(F.col("href"), sep, end)
     return (links.where(cond).withColumn("number", num)
-            .where(is_float_text(F.col("number")))
-            .withColumn("value", float_value(F.col("number"))))
+            .withColumn("value", float_value(F.col("number")))
+            .where(F.col("value").isNotNull()))
+
+
+def link_quarantine(links: DataFrame, must=("chapitre", "vf"), sep: str = "chapitre-",
+                    end: str = "-vf") -> DataFrame:
+    """Hrefs that pass the word test of ``chapter_links`` but carry no usable number:
+    ``reason`` is ``no_number`` (the separators do not occur) or ``not_decimal``."""
+    low = F.lower(F.col("href"))
+    cond = F.lit(True)
+    for m in must:
+        cond = cond & low.contains(m)
+    out = links.where(cond).withColumn("number", link_number_text(F.col("href"), sep, end))
+    out = out.withColumn("_v", float_value(F.col("number"))).where(F.col("_v").isNull()).drop("_v")
+    return out.withColumn("reason", F.when(F.col("number").isNull(), F.lit("no_number")).otherwise(F.lit("not_decimal")))
 
 
 def dedupe_first(df: DataFrame, key: list[str] | str, order: list[str]) -> DataFrame:
@@ -113,14 +124,19 @@ def frontier(pages: DataFrame, chapters: DataFrame | None, *, limit: int = 0,
     else:
         wm = (chapters.select(F.coalesce(F.max("chapter_number"), F.lit(0)).cast("long")).scalar()
               if chapters is not None else F.lit(0))
-        past = (F.col("value") > wm) if strict else (trunc_long(F.col("value")) > wm)
+        past = (F.col("value") > wm) if strict else (trunc_double(F.col("value")) > wm)
         out = uniq.where(past).orderBy(*ordered_cols)
     return out.select("number", "value", F.col("href").alias("url"), "page_id", "pos")
 
 
-def image_lists(pages: DataFrame, html: str = "html") -> DataFrame:
-    """HTM-04: (url, images) per landed chapter page."""
-    return pages.select("url", lazy_image_srcs(F.col(html)).alias("images"))
+def image_lists(pages: DataFrame, html: str = "html", wanted: DataFrame | None = None) -> DataFrame:
+    """HTM-04: (url, images) per chapter url: those of its latest landing (the largest
+    ``page_id``, where there is one).  ``wanted``: only pages whose url it holds are parsed."""
+    if wanted is not None:
+        pages = pages.join(wanted.select("url").distinct(), "url", "left_semi")
+    landing = F.col("page_id") if "page_id" in pages.columns else F.lit(0)
+    found = pages.select("url", landing.alias("_at"), lazy_image_srcs(F.col(html)).alias("images"))
+    return found.groupBy("url").agg(F.max_by("images", "_at").alias("images"))
 
 
 def lazy_images(pages: DataFrame, html: str = "html", needles=("scans", "jpg", "png")) -> DataFrame:
@@ -129,18 +145,19 @@ def lazy_images(pages: DataFrame, html: str = "html", needles=("scans", "jpg", "
     return pages.select("url", F.posexplode(lazy_image_srcs(F.col(html), needles)).alias("pos", "src"))
 
 
-def build_chapters(front: DataFrame, pages: DataFrame, *, scraped_at) -> DataFrame:
+def build_chapters(front: DataFrame, pages: DataFrame, *, scraped_at, landed_only: bool = False) -> DataFrame:
     """PIP-02 + HTM-05 + PRJ-01: chapter rows for the frontier.  A chapter
-    whose page is missing gets ``image_count`` 0.  Fractional chapter numbers
-    keep their text in ``chapter_label``; ``chapter_number`` is NULL for them
-    (they cannot be stored as integers)."""
-    counts = pages.select("url", F.size(lazy_image_srcs(F.col("html"))).alias("n_img"))
-    j = front.join(counts, "url", "left")
-    integral = F.col("value") == F.floor(F.col("value"))
+    whose page is missing gets ``image_count`` 0, or no row with ``landed_only``;
+    of several landings of a page the latest counts.  Chapter numbers that are
+    fractional, or beyond BIGINT, keep their text in ``chapter_label``;
+    ``chapter_number`` is NULL for them."""
+    counts = image_lists(pages, wanted=front).select("url", F.size("images").alias("n_img"))
+    j = front.join(counts, "url", "inner" if landed_only else "left")
+    integral = F.col("value") == trunc_double(F.col("value"))
     return j.select(
         F.lit(scraped_at).cast("timestamp").alias("scraped_at"),
         F.col("number").alias("chapter_label"),
-        F.when(integral, F.col("value").cast("long")).alias("chapter_number"),
+        F.when(integral, trunc_long(F.col("value"))).alias("chapter_number"),
         F.lit(CRAWL_SOURCE).alias("source"),
         F.lit(CRAWL_LANGUAGE).alias("language"),
         F.col("url"),
@@ -190,8 +207,22 @@ def page_tasks(chapters: DataFrame, dialogues: DataFrame, pages: DataFrame, *,
     """PIP-03 + WIN-04 + SCL-05/06: one row per page image of every chapter not
     yet processed.  Page numbers are 1-based positions in the filtered image
     list; chapters with no image produce no row."""
-    todo = chapters_to_process(chapters, dialogues, limit=limit)
-    imgs = image_lists(pages)
+    return _tasks(chapters_to_process(chapters, dialogues, limit=limit), pages)
+
+
+def open_page_tasks(chapters: DataFrame, dialogues: DataFrame, pages: DataFrame, *,
+                    limit: int = 0) -> DataFrame:
+    """T8: the page images without a dialogue row, of every chapter that has fewer
+    dialogue rows than images; a failed page is planned again."""
+    done = dialogues.groupBy("chapter_number").agg(F.count_distinct("page_number").alias("_done"))
+    todo = chapters.join(done, "chapter_number", "left").where(F.coalesce("_done", F.lit(0)) < F.col("image_count"))
+    todo = todo.select("chapter_number", "url").orderBy("chapter_number")
+    tasks = _tasks(todo.limit(limit) if limit > 0 else todo, pages)
+    return difference(tasks, dialogues.select("chapter_number", "page_number"), ["chapter_number", "page_number"])
+
+
+def _tasks(todo: DataFrame, pages: DataFrame) -> DataFrame:
+    imgs = image_lists(pages, wanted=todo)
     j = todo.join(imgs, "url", "inner")
     ex = j.select("chapter_number", F.posexplode("images").alias("pos", "image_url"))
     page = (F.col("pos") + 1).cast("long")

@@ -7,6 +7,8 @@ works on VARIANT values so that "key missing" and "key is null" stay distinct.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +43,8 @@ def mention_worklist(dialogues: DataFrame, speakers: DataFrame, phrase: str = PH
             .orderBy("chapter_number", "page_number"))
 
 
-def mentions_from_responses(df: DataFrame, raw: str = "raw", *, literal: bool = False):
+def mentions_from_responses(df: DataFrame, raw: str = "raw", *, literal: bool = False,
+                            says: str = "luffy_says_it", about: str = "about_luffy", position: bool = False):
     """PIP-06: response text -> ``speakers`` rows, plus a quarantine frame.
 
     A page is quarantined when its text is not JSON even after removing code
@@ -50,7 +53,8 @@ def mentions_from_responses(df: DataFrame, raw: str = "raw", *, literal: bool =
     array element that is an object becomes a row (missing keys take the
     defaults, explicit nulls stay NULL); other elements are quarantined.
     ``literal=True`` also drops the objects after the first bad element of a
-    page, as an exception in the middle of the loop would."""
+    page, as an exception in the middle of the loop would.  ``says`` / ``about`` name the
+    flags; ``position`` adds ``pos``, the element's place in its page's array."""
     keys = ["chapter_number", "page_number"]
     # The parsed value is emitted by a (one-element) generator: filters on it
     # cannot be pushed below a Generate, so the optimizer cannot re-inline the
@@ -78,8 +82,9 @@ def mentions_from_responses(df: DataFrame, raw: str = "raw", *, literal: bool =
         *keys,
         get_or_default(e, "speaker", "string", MENTION_DEFAULTS["speaker"]).alias("speaker"),
         get_or_default(e, "phrase", "string", MENTION_DEFAULTS["phrase"]).alias("phrase"),
-        get_or_default(e, "luffy_says_it", "boolean", MENTION_DEFAULTS["luffy_says_it"]).alias("luffy_says_it"),
-        get_or_default(e, "about_luffy", "boolean", MENTION_DEFAULTS["about_luffy"]).alias("about_luffy"))
+        get_or_default(e, says, "boolean", MENTION_DEFAULTS["luffy_says_it"]).alias(says),
+        get_or_default(e, about, "boolean", MENTION_DEFAULTS["about_luffy"]).alias(about),
+        *(["pos"] if position else []))
 
     bad_pages = parsed.where(F.col("_reason").isNotNull()).select(
         *keys, "raw", F.col("_reason").alias("reason"), F.lit(None).cast("int").alias("pos"))
@@ -88,20 +93,30 @@ def mentions_from_responses(df: DataFrame, raw: str = "raw", *, literal: bool =
     return rows, bad_pages.unionByName(bad_elems)
 
 
+# Private-use stand-ins for the sentence stops inside an alias.
+HIDE = {ord("."): 0xE000, ord("!"): 0xE001, ord("?"): 0xE002}
+
+
 def _alias_pattern(aliases) -> str:
     alts = "|".join(a.replace(".", "\\.") for a in aliases)
     return "(^|[^\\p{L}\\p{N}])(" + alts + ")($|[^\\p{L}\\p{N}])"
 
 
 def mentions_by_rules(dialogues: DataFrame, phrase: str = PHRASE, cues=tuple(SAYS_CUES),
-                      aliases=tuple(ALIASES), text: str = "extracted_text") -> DataFrame:
+                      aliases=tuple(ALIASES), text: str = "extracted_text", subject: str = "Luffy") -> DataFrame:
     """PIP-07: deterministic stand-in for the mention classifier.  Text is split
-    into sentences on ``.``, ``!`` and ``?``; every sentence containing the
+    into sentences on ``.``, ``!`` and ``?`` (not inside an alias); every sentence containing the
     phrase (whitespace-folded, case-insensitive) is a mention.  ``says`` when a
-    first-person cue occurs; ``about`` when an alias occurs and no cue does.
+    first-person cue occurs (the speaker is then ``subject``); ``about`` when an alias
+    occurs and no cue does.
     This is a rule tagger, not equivalent to a language model."""
+    # Stops inside an alias ("D.") do not end a sentence: they are kept out of the split.
+    kept = F.col(text)
+    for a in sorted({a for a in aliases if re.search("[.!?]", a)}, key=lambda a: (-len(a), a)):
+        kept = F.replace(kept, F.lit(a), F.lit(a.translate(HIDE)))
     sent = dialogues.select("chapter_number", "page_number",
-                            F.posexplode(F.split(F.col(text), "[.!?]+")).alias("sidx", "s"))
+                            F.posexplode(F.split(kept, "[.!?]+")).alias("sidx", "s"))
+    sent = sent.withColumn("s", F.translate("s", "".join(map(chr, HIDE.values())), "".join(map(chr, HIDE))))
     folded = strip_ws(F.regexp_replace(F.col("s"), F.lit(WS_CLASS + "+"), F.lit(" ")))
     sent = sent.select("chapter_number", "page_number", "sidx", folded.alias("phrase"))
     low = F.lower(F.col("phrase"))
@@ -110,7 +125,7 @@ def mentions_by_rules(dialogues: DataFrame, phrase: str = PHRASE, cues=tuple(SAY
     alias_hit = F.col("phrase").rlike(_alias_pattern(aliases))
     return (sent.where(low.contains(phrase.lower()))
             .select("chapter_number", "page_number", "sidx",
-                    F.when(says, F.lit("Luffy")).otherwise(F.lit(MENTION_DEFAULTS["speaker"])).alias("speaker"),
+                    F.when(says, F.lit(subject)).otherwise(F.lit(MENTION_DEFAULTS["speaker"])).alias("speaker"),
                     "phrase",
                     says.alias("luffy_says_it"),
                     (alias_hit & ~says).alias("about_luffy")))

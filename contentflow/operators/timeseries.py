@@ -37,8 +37,8 @@ def align(df: DataFrame, series: list[str], how: str, period: str, *, value: str
     """Per-series aligner over tumbling ``period`` windows.
 
     how: ``sum`` | ``rate`` (sum / period seconds) | ``mean`` | ``count`` |
-    ``fraction_true`` | ``next_older`` (latest sample of the window; use
-    ``carry_forward`` to fill windows without samples).
+    ``fraction_true`` | ``next_older`` (latest sample of the window, of equal times
+    the largest value; use ``carry_forward`` to fill windows without samples).
     Output: period_start, period_end, *series, value."""
     v = F.col(value)
     agg = {
@@ -47,7 +47,7 @@ def align(df: DataFrame, series: list[str], how: str, period: str, *, value: str
         "mean": F.avg(v),
         "count": F.count(v),
         "fraction_true": F.avg(v.cast("double")),
-        "next_older": F.max_by(v, F.col(ts)),
+        "next_older": F.max(F.struct(F.col(ts).alias("t"), v.alias("v")))["v"],
     }[how]
     w = _window(ts, period)
     return (df.groupBy(w.alias("_w"), *series).agg(agg.alias("value"))
@@ -61,20 +61,29 @@ def carry_forward(aligned: DataFrame, series: list[str], period: str, *,
     series' first period (or ``start``) and its last (or ``end``); periods
     without a sample take the latest earlier value.
 
-    The per-series window runs over periods, not raw samples, so its size is
-    bounded by the time span / period length."""
+    Each aligned row is repeated up to the period before the next one: one scan, one
+    window over the aligned rows (not raw samples), no grid and no join."""
     secs = period_seconds(period)
-    bounds = aligned.groupBy(*series).agg(F.min("period_start").alias("_lo"),
-                                          F.max("period_start").alias("_hi"))
-    lo = F.col("_lo") if start is None else F.lit(start).cast("timestamp")
-    hi = F.col("_hi") if end is None else F.lit(end).cast("timestamp")
-    grid = bounds.select(*series, F.explode(F.sequence(lo, hi, F.expr(f"INTERVAL {secs} SECONDS")))
-                         .alias("period_start"))
-    j = grid.join(aligned.select(*series, "period_start", "value"), [*series, "period_start"], "left")
-    w = Window.partitionBy(*series).orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)
-    return j.select(*series, "period_start",
-                    (F.col("period_start") + F.expr(f"INTERVAL {secs} SECONDS")).alias("period_end"),
-                    F.last("value", ignorenulls=True).over(w).alias("value"))
+    step = F.expr(f"INTERVAL {secs} SECONDS")
+    order = Window.partitionBy(*series).orderBy("period_start")
+    whole = Window.partitionBy(*series)
+    hi = F.max("period_start").over(whole) if end is None else F.lit(end).cast("timestamp")
+    nxt = F.lead("period_start").over(order)
+    rows = aligned.select(*series, "period_start", F.coalesce(nxt - step, hi).alias("_last"), "value")
+    if start is not None:
+        # Periods before the first sample have no value yet.
+        lo = F.lit(start).cast("timestamp")
+        lead_in = aligned.groupBy(*series).agg(F.min("period_start").alias("_f")).where(F.col("_f") > lo).select(
+            *series, lo.alias("period_start"), (F.col("_f") - step).alias("_last"),
+            F.lit(None).cast(aligned.schema["value"].dataType).alias("value"))
+        rows = rows.unionByName(lead_in)
+    filled = rows.where(F.col("_last") >= F.col("period_start")).select(
+        *series, F.explode(F.sequence("period_start", "_last", step)).alias("period_start"), "value")
+    # A period whose own value is NULL takes the one before it, too.
+    value = F.last("value", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    if start is not None:
+        filled = filled.where(F.col("period_start") >= F.lit(start).cast("timestamp"))
+    return filled.select(*series, "period_start", (F.col("period_start") + step).alias("period_end"), value.alias("value"))
 
 
 def reduce_series(aligned: DataFrame, by: list[str], how: str) -> DataFrame:
@@ -137,15 +146,14 @@ def _ones(df: DataFrame, cond: Column | None = None) -> DataFrame:
 
 def executions_rate(executions: DataFrame, result: str, period: str = "60 seconds") -> DataFrame:
     """STM-09: executions per second by job for one result."""
-    a = align(_ones(executions, F.col("result") == result), ["job_name", "result"], "rate", period)
-    return reduce_series(a, ["job_name"], "sum")
+    # One result: the aligned series are the reduced ones.
+    return align(_ones(executions, F.col("result") == result), ["job_name"], "rate", period)
 
 
 def error_rate(logs: DataFrame, period: str = "60 seconds") -> DataFrame:
     """STM-10: error logs per second by (job, severity)."""
     c = job_error_counter(logs, period)
-    rate = c.withColumn("value", F.col("value") / F.lit(float(period_seconds(period))))
-    return reduce_series(rate, ["job_name", "severity"], "sum")
+    return c.withColumn("value", F.col("value") / F.lit(float(period_seconds(period))))
 
 
 # FIXED VALUES: availability levels drawn on the uptime chart.
@@ -188,15 +196,13 @@ def success_rate(executions: DataFrame, period: str = "1 day") -> DataFrame:
 
 def duration_mean(executions: DataFrame, period: str = "60 seconds") -> DataFrame:
     """STM-14: mean execution time by job (mean per series, then mean)."""
-    a = align(executions.select("ts", "job_name", F.col("execution_time").alias("value")),
-              ["job_name"], "mean", period)
-    return reduce_series(a, ["job_name"], "mean")
+    return align(executions.select("ts", "job_name", F.col("execution_time").alias("value")),
+                 ["job_name"], "mean", period)
 
 
 def results_by_job(executions: DataFrame, period: str = "7 days") -> DataFrame:
     """STM-16: executions per job and result per period."""
-    return reduce_series(align(_ones(executions), ["job_name", "result"], "sum", period),
-                         ["job_name", "result"], "sum")
+    return align(_ones(executions), ["job_name", "result"], "sum", period)
 
 
 # FIXED VALUES: execution results.

@@ -99,9 +99,8 @@ def budget_messages(spark, sf_dir) -> DataFrame:
 
 
 def budget_messages_from_events(ev: DataFrame) -> DataFrame:
-    """One message per purchase: costAmount = value, budgetAmount = 50, 0 when
+    """One message per event: costAmount = value, budgetAmount = 50, 0 when
     user_id % 10 = 0, key absent when user_id % 10 = 5; base64 of the JSON."""
-    ev = ev.where(F.col("event_type") == "purchase")
     cost = F.col("value").cast("string")
     budget = F.when(F.col("user_id") % 10 == 0, F.lit("0")).otherwise(F.lit("50"))
     body = F.when(F.col("user_id") % 10 == 5,

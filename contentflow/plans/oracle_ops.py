@@ -90,7 +90,7 @@ FROM t GROUP BY job_name, sid"""
 
 
 NEXT_OLDER = f"""{UPTIME},
-a AS (SELECT host, region, {bucket(60)} AS m, arg_max(check_passed, ts) AS v FROM uptime GROUP BY 1, 2, 3),
+a AS (SELECT host, region, {bucket(60)} AS m, max({{'t': ts, 'v': check_passed}}).v AS v FROM uptime GROUP BY 1, 2, 3),
 b AS (SELECT host, region, min(m) AS lo, max(m) AS hi FROM a GROUP BY 1, 2),
 g AS (SELECT host, region, unnest(generate_series(lo, hi, INTERVAL '60 seconds')) AS m FROM b),
 f AS (SELECT g.host, g.region, g.m,
@@ -191,18 +191,18 @@ FROM f WHERE v IS NOT NULL GROUP BY 1, 2, 3""",
 
     "src_budget_messages": """SELECT event_id AS message_id, value AS cost_amount,
        CASE WHEN user_id % 10 IN (0, 5) THEN CAST(0 AS DOUBLE) ELSE CAST(50 AS DOUBLE) END AS budget_amount
-FROM events WHERE event_type = 'purchase'""",
+FROM events""",
 
     "budget_decision": """SELECT event_id AS message_id, ts, value AS cost_amount,
        CASE WHEN user_id % 10 IN (0, 5) THEN CAST(0 AS DOUBLE) ELSE CAST(50 AS DOUBLE) END AS budget_amount,
        CASE WHEN user_id % 10 IN (0, 5) THEN NULL ELSE value / CAST(50 AS DOUBLE) END AS ratio,
        CASE WHEN user_id % 10 IN (0, 5) THEN 'SKIP'
             WHEN value / CAST(50 AS DOUBLE) < 1 THEN 'OK' ELSE 'BREACH' END AS decision
-FROM events WHERE event_type = 'purchase'""",
+FROM events""",
 
     "budget_thresholds": """WITH p AS (
   SELECT ts, event_id, CAST(value AS DECIMAL(18,2)) AS c, date_trunc('month', ts) AS month
-  FROM events WHERE event_type = 'purchase'),
+  FROM events),
 r AS (SELECT *, sum(c) OVER (PARTITION BY month ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS cum FROM p),
 th(threshold) AS (VALUES (0.5), (0.9), (1.0))
 SELECT CAST(month AS TIMESTAMP) AS month, CAST(threshold AS DOUBLE) AS threshold,
@@ -211,7 +211,7 @@ FROM r JOIN th ON r.cum >= th.threshold * 50000 GROUP BY 1, 2, 3""",
 
     "audit_today": f"""WITH {AUDIT}
 SELECT ts, principal, service, method, resource FROM audit
-WHERE ingest_date = DATE '2024-01-30' ORDER BY ts DESC LIMIT 100""",
+WHERE ingest_date = DATE '2024-01-30' ORDER BY ts DESC, principal, service, method, resource LIMIT 100""",
 
     "audit_secret_access": f"""WITH {AUDIT}
 SELECT ts, principal FROM audit WHERE resource LIKE '%gemini-api-key%' ORDER BY ts DESC""",
@@ -247,6 +247,8 @@ FROM o GROUP BY 1""",
 
 from .oracle import SQL as _BASE  # noqa: E402
 
+_BASE_OPS = SQL_OPS
+
 SQL_OPS.update({
     "src_sharded_logs": f"""WITH {LOGS}
 SELECT CAST(ts AS DATE) AS log_date, job_name, count(*) AS n_rows FROM logs
@@ -261,12 +263,7 @@ FROM documents""",
 
     "stream_failures": _BASE["agg_weekly_failures"],
 
-    "stream_job_errors": f"""WITH {LOGS},
-c AS (SELECT {bucket(60)} AS period_start, job_name, severity, count(*) AS value
-      FROM logs WHERE severity IN {SEV_ERR} GROUP BY 1, 2, 3)
-SELECT period_start, period_start + INTERVAL '60 seconds' AS period_end, job_name, severity, value
-FROM c WHERE period_start + INTERVAL '60 seconds'
-      <= (SELECT max(ts) FROM logs WHERE severity IN {SEV_ERR}) - INTERVAL '10 minutes'""",
+    "stream_job_errors": _BASE_OPS["ts_job_errors"],
 
     "stream_budget_decisions": SQL_OPS["budget_decision"],
 
@@ -281,5 +278,5 @@ t AS (SELECT *, sum(new) OVER (PARTITION BY job_name ORDER BY firing_ts) AS sid
 g AS (SELECT job_name, min(firing_ts) AS opened_at, max(firing_ts) AS last_firing,
              max(firing_ts) + INTERVAL '1 hour' AS closed_at, count(*) AS n_failures
       FROM t GROUP BY job_name, sid)
-SELECT * FROM g WHERE closed_at <= (SELECT max(firing_ts) FROM m) - INTERVAL '10 minutes'""",
+SELECT *, closed_at > (SELECT max(firing_ts) FROM m) AS is_open FROM g""",
 })

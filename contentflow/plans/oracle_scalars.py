@@ -11,7 +11,7 @@ from .oracle import CHAPTERS, DIALOGUES, LOGS, WS, request_sql
 STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 PLAIN_DECIMAL = "'^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*$'"
 IMAGE_IS_WEBP = "l_linenumber % 3 = 0"
-PURCHASES = "FROM events WHERE event_type = 'purchase'"
+MESSAGES = "FROM events"
 
 SQL_SCL: dict[str, str] = {
     "scl_collapse_ws": f"""SELECT conv_id AS chapter_number, turn + 1 AS page_number,
@@ -78,7 +78,7 @@ FROM conversations WHERE turn % 5 <> 4""",
        '{{"costAmount":' || CAST(value AS VARCHAR)
        || CASE WHEN user_id % 10 = 5 THEN '}}'
                ELSE ',"budgetAmount":' || CASE WHEN user_id % 10 = 0 THEN '0' ELSE '50' END || '}}' END AS body
-{PURCHASES}""",
+{MESSAGES}""",
 
     "scl_number_format": """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
        printf('%.1f', l_extendedprice) AS price_text,
@@ -88,7 +88,7 @@ FROM lineitem""",
 
     "scl_ratio": f"""SELECT event_id AS message_id,
        CASE WHEN user_id % 10 IN (0, 5) THEN NULL ELSE value / 50.0 END AS ratio
-{PURCHASES}""",
+{MESSAGES}""",
 
     "scl_first_annotation": f"""SELECT conv_id AS chapter_number, turn + 1 AS page_number,
        CASE WHEN turn % 5 = 0 OR turn % 7 = 0 THEN '' ELSE {STRIP.format(x='text')} END AS text

@@ -126,7 +126,11 @@ def q_snk_route_logs(spark, sf):
 @query("snk_snapshot")
 def q_snk_snapshot(spark, sf):
     snap = A.snapshot(B.chapters(spark, sf))
-    return out(A.kpis(snap))
+    try:  # one row of figures; the cached rows go at once
+        kpi = A.kpis(snap)
+        return out(spark.createDataFrame(kpi.collect(), kpi.schema))
+    finally:
+        snap.unpersist()
 
 
 # ------------------------------------------------------------------ html / filters

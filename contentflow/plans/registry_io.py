@@ -22,9 +22,9 @@ def q_sharded_logs(spark, sf):
     back, prune to one week of partitions, count per day and job."""
     path = S.scratch(spark, "routed-logs")
     L.write_routed_logs(B.logs(spark, sf), path, B.TEST_JOBS)
-    back = spark.read.parquet(path)
-    week = back.where(F.col("log_date").between(*SHARD_WEEK))
-    return out(week.groupBy("log_date", F.col("resource.labels.job_name").alias("job_name"))
+    week = IO.read_sharded_logs(spark, f"{path}/log_date=*/*.parquet", tuple(f"log_date={d}" for d in SHARD_WEEK))
+    day = F.to_date(F.substring("shard", len("log_date=") + 1, 10)).alias("log_date")
+    return out(week.groupBy(day, "job_name")
                .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -52,13 +52,15 @@ def q_stream_failures(spark, sf):
 @query("stream_job_errors")
 def q_stream_job_errors(spark, sf):
     logs = S.logs_stream(spark, sf, B.logs_from_events)
-    return out(S.run_available(S.job_errors_stream(logs), tag="stream-job-errors"))
+    res = S.run_available(S.job_errors_stream(logs), mode="update", tag="stream-job-errors",
+                          keys=["period_start", "period_end", "job_name", "severity"])
+    return out(res)
 
 
 @query("stream_budget_decisions")
 def q_stream_budget(spark, sf):
     msgs = B.budget_messages_from_events(S.file_stream(spark, sf, "events"))
-    return out(S.run_available(S.budget_decisions_stream(msgs), tag="stream-budget"))
+    return out(S.run_available(S.budget_decisions_stream(msgs, delay="1 hour"), tag="stream-budget"))
 
 
 @query("stream_route_logs")
@@ -72,7 +74,8 @@ def q_stream_route_logs(spark, sf):
 
 @query("stream_incidents")
 def q_stream_incidents(spark, sf):
-    """Incident sessions from the failure stream; a 1-hour auto-close gives
-    sessions that close inside the test month (24 hours keeps them open)."""
+    """Firings from the failure stream, then incident sessions over them, the open ones
+    included; a 1-hour auto-close gives sessions that close inside the test month."""
     ex = B.executions_from_events(S.file_stream(spark, sf, "events"))
-    return out(S.run_available(S.incidents_stream(ex, auto_close="1 hour"), tag="stream-incidents"))
+    firings = S.run_available(S.firings_stream(ex), mode="update", keys=["job_name", "firing_ts"], tag="stream-firings")
+    return out(S.incidents_of(firings, auto_close="1 hour"))

@@ -149,8 +149,7 @@ def q_budget_decision(spark, sf):
 
 @query("budget_thresholds")
 def q_budget_thresholds(spark, sf):
-    ev = B.table(spark, sf, "events").where(F.col("event_type") == "purchase") \
-        .select(F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("cost"), "event_id")
+    ev = B.table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("cost"), "event_id")
     return out(BU.budget_crossings(ev, amount=SPEND_BUDGET, tiebreak="event_id"))
 
 

@@ -44,27 +44,62 @@ LEDGER = T.StructType([
     T.StructField("analysed_at", T.TimestampType()),
 ])
 
+CRAWL_LEDGER = T.StructType([
+    T.StructField("number", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("url", T.StringType()),
+    T.StructField("page_id", T.LongType()),
+    T.StructField("pos", T.IntegerType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("seen_at", T.TimestampType()),
+])
+
+SPEAKERS_STORED = T.StructType([*SPEAKERS.fields, T.StructField("pos", T.IntegerType()),
+                                T.StructField("chapter_block", T.LongType())])
+
+QUARANTINE = T.StructType([
+    T.StructField("chapter_number", T.LongType()),
+    T.StructField("page_number", T.LongType()),
+    T.StructField("raw", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("pos", T.IntegerType()),
+])
+
 FINAL = ("mentions", "no_mention")
 
 
 def crawl(spark: SparkSession, index_pages: DataFrame, chapter_pages: DataFrame, chapters_path: str, *,
-          scraped_at, limit: int = 0, strict: bool = False) -> None:
+          scraped_at, limit: int = 0, strict: bool = False, ledger_path: str | None = None) -> None:
     """Frontier past the chapters table's watermark (or the first ``limit``
     chapters), image counts from the landed chapter pages, appended keyed on
-    the chapter's number text."""
+    the chapter's number text.
+
+    A chapter whose page has not landed gets no row; the ledger (``ledger_path``, by
+    default next to the chapters) keeps it as ``missing``, and later runs look for its
+    page again even when the watermark has passed it."""
+    ledger_path = ledger_path or f"{chapters_path.rstrip('/')}_ledger"
     chapters = IO.optional_table(spark, chapters_path, CHAPTER_TABLE)
-    front = FR.frontier(index_pages, chapters, limit=limit, strict=strict)
-    rows = FR.build_chapters(front, chapter_pages, scraped_at=scraped_at)
+    ledger = IO.optional_table(spark, ledger_path, CRAWL_LEDGER)
+    cols = ["number", "value", "url", "page_id", "pos"]
+    front = FR.frontier(index_pages, chapters, limit=limit, strict=strict).select(*cols)
+    stored = chapters.select(F.col("chapter_label").alias("number"))
+    waiting = FR.difference(ledger.where(F.col("status") == "missing").select(*cols), stored, ["number"])
+    front = FR.dedupe_first(front.unionByName(waiting), "number", ["page_id", "pos"])
+    # Written before the chapters: a run that fails between the two appends repeats both.
+    rows = FR.build_chapters(front, chapter_pages, scraped_at=scraped_at, landed_only=True)
+    absent = FR.difference(front, chapter_pages.select("url"), ["url"])
+    IO.append(absent.withColumn("status", F.lit("missing")).withColumn("seen_at", F.lit(scraped_at).cast("timestamp"))
+              .select(*CRAWL_LEDGER.fieldNames()), ledger_path, keys=["number", "status"])
     IO.append(rows.select(*CHAPTER_TABLE.fieldNames()), chapters_path, keys=["chapter_label"])
 
 
 def plan_pages(spark: SparkSession, chapters_path: str, dialogues_path: str, chapter_pages: DataFrame, *,
                limit: int = 0) -> DataFrame:
-    """Page tasks (one per image) of the chapters with no dialogue yet."""
+    """Page tasks (one per image) without a dialogue yet, also of chapters that have some."""
     chapters = IO.optional_table(spark, chapters_path, CHAPTER_TABLE) \
         .where(F.col("chapter_number").isNotNull())
     dialogues = IO.optional_table(spark, dialogues_path, DIALOGUES)
-    return FR.page_tasks(chapters, dialogues, chapter_pages, limit=limit)
+    return FR.open_page_tasks(chapters, dialogues, chapter_pages, limit=limit)
 
 
 def extract_dialogues(stored: DataFrame, responses: DataFrame, dialogues_path: str, *,
@@ -88,21 +123,34 @@ def plan_mentions(spark: SparkSession, dialogues_path: str, ledger_path: str, *,
 def load_mentions(spark: SparkSession, responses: DataFrame, speakers_path: str, ledger_path: str, *,
                   analysed_at, quarantine_path: str | None = None) -> None:
     """Classifier responses of pages not yet final -> speakers rows (well-formed
-    mentions), ledger rows (one status per page and run) and quarantined
-    pages / elements.
+    mentions, with their place ``pos``), ledger rows (one status per page and run) and
+    quarantined pages / elements (keyed, so a rerun adds none).
 
-    Speakers rows are written per page, once: rows of a page that already
-    has rows are skipped (all mentions of a new page are kept, duplicates
-    included), so a run that failed between the two appends can be re-run.
-    A ``partial`` page stays on the worklist; its retry updates the ledger."""
+    A page's speakers rows are replaced as a whole: a retried page holds what its last
+    answer said.  The table is partitioned by blocks of 100 chapters, and only the
+    blocks of answered pages are rewritten (staged first, then overwritten).  The ledger
+    is written last, so a run that fails before it is simply repeated."""
     keys = ["chapter_number", "page_number"]
     ledger = IO.optional_table(spark, ledger_path, LEDGER)
     done = ledger.where(F.col("status").isin(*FINAL)).select(*keys)
     todo = FR.difference(responses, done, keys)
-    rows, bad = M.mentions_from_responses(todo)
-    written = IO.optional_table(spark, speakers_path, SPEAKERS).select(*keys)
-    IO.append(FR.difference(rows.select(*SPEAKERS.fieldNames()), written, keys), speakers_path)
+    rows, bad = M.mentions_from_responses(todo, position=True)
+    block = F.floor(F.col("chapter_number") / 100).cast("long")
+    # A page that answers nothing readable keeps what it had.
     status = M.page_ledger(todo).withColumn("analysed_at", F.lit(analysed_at).cast("timestamp"))
-    IO.append(status.select(*LEDGER.fieldNames()), ledger_path, keys=[*keys, "status"])
+    answered = status.where(F.col("status") != "failed").select(*keys)
+    touched = answered.select(block.alias("chapter_block")).distinct()
+    old = IO.optional_table(spark, speakers_path, SPEAKERS_STORED)
+    kept = FR.difference(old.join(touched, "chapter_block", "left_semi"), answered, keys)
+    new = rows.withColumn("chapter_block", block)
+    staged = f"{speakers_path.rstrip('/')}_staged"
+    cols = SPEAKERS_STORED.fieldNames()
+    kept.select(*cols).unionByName(new.select(*cols)).write.mode("overwrite").parquet(staged)
+    # Static overwrite of a staged folder, dynamic overwrite of the table's touched blocks.
+    (spark.read.schema(SPEAKERS_STORED).parquet(staged).repartition("chapter_block").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("chapter_block").parquet(speakers_path))
     if quarantine_path:
-        IO.append(bad, quarantine_path)
+        old_bad = IO.optional_table(spark, quarantine_path, QUARANTINE)
+        fresh = FR.difference(bad.select(*QUARANTINE.fieldNames()).distinct(), old_bad, QUARANTINE.fieldNames())
+        IO.append(fresh, quarantine_path)
+    IO.append(status.select(*LEDGER.fieldNames()), ledger_path, keys=[*keys, "status"])

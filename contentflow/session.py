@@ -2,13 +2,15 @@
 
 The library never hard-codes a machine-local scratch path: lineage is cut with
 ``DataFrame.checkpoint()`` into whatever shared folder the cluster names in
-``spark.checkpoint.dir``.  Only when that setting is absent (tests, local runs)
-do we point it at a fresh temporary directory.
+``spark.checkpoint.dir``.  Only when that setting is absent and the master is
+``local`` (tests, local runs) do we point it at a fresh temporary directory; on a
+cluster its absence is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,7 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return current
         configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: only happens in tests / local runs.
+        # A folder of this machine serves only where driver and tasks are one process.
+        master = sc.master if sc is not None else ""
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="contentflow-ckpt-",
                                       dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is not None:

@@ -50,10 +50,24 @@ def scan_speakers(df: DataFrame) -> DataFrame:
         .orderBy("chapter_number")
 
 
-def read_sharded(spark: SparkSession, path_glob: str, *, shard_col: str = "shard") -> DataFrame:
+def shard_files(spark: SparkSession, path_glob: str, between: tuple[str, str] | None = None) -> list[str]:
+    """Paths that match the wildcard, those whose parent folder's name lies in the closed
+    string range.  Only names are listed, no file is opened."""
+    jvm = spark.sparkContext._jvm
+    glob = jvm.org.apache.hadoop.fs.Path(path_glob)
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.globStatus(glob) or []]
+    return sorted(p.toString() for p in found if between is None or between[0] <= p.getParent().getName() <= between[1])
+
+
+def read_sharded(spark: SparkSession, path_glob: str, *, between: tuple[str, str] | None = None,
+                 shard_col: str = "shard") -> DataFrame:
     """SRC-05: wildcard scan over many shard folders; the shard name (the
-    matched file's parent folder) becomes a column."""
-    df = spark.read.parquet(path_glob)
+    matched file's parent folder) becomes a column.  With ``between`` the shards are
+    chosen before the scan: others are never read."""
+    schema = spark.read.parquet(path_glob).schema
+    paths = shard_files(spark, path_glob, between)
+    df = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
     return df.withColumn(shard_col, F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1))
 
 
@@ -61,12 +75,10 @@ def read_sharded_logs(spark: SparkSession, path_glob: str, suffix_between: tuple
                       *, shard_col: str = "shard") -> DataFrame:
     """SRC-05/06: wildcard scan of log shards with the job name flattened out of
     ``resource.labels``; ``suffix_between=(lo, hi)`` keeps shards whose name is
-    within the closed string range (on a partition column: folder pruning)."""
-    df = read_sharded(spark, path_glob, shard_col=shard_col)
+    within the closed string range; the others are not scanned."""
+    df = read_sharded(spark, path_glob, between=suffix_between, shard_col=shard_col)
     if "resource" in df.columns:
         df = df.withColumn("job_name", F.col("resource.labels.job_name"))
-    if suffix_between is not None:
-        df = shard_between(df, suffix_between[0], suffix_between[1], shard_col)
     return df
 
 
@@ -134,7 +146,11 @@ def write_manifest(chapters: DataFrame, path: str, header: dict | None = None, *
     header = dict(header or {})
     if batch is None:
         batch = "_batch"
-        chapters = chapters.withColumn(batch, F.floor(F.col("chapter_number").cast("double") / 1000))
+        # Fractional chapters have no number: they are dealt by their text instead.
+        label = F.col("chapter_label") if "chapter_label" in chapters.columns else F.col("url")
+        spread = F.concat(F.lit("x"), F.pmod(F.xxhash64(label), F.lit(1024)).cast("string"))
+        by_number = F.floor(F.col("chapter_number").cast("double") / 1000).cast("string")
+        chapters = chapters.withColumn(batch, F.coalesce(by_number, spread))
     write_manifests(chapters, path, batch=batch, total_available=header.get("total_chapters_available"),
                     scraped_at=header.get("scraped_at"))
 
@@ -156,7 +172,10 @@ def append(df: DataFrame, path: str, keys: list[str] | None = None, *, partition
         new = df.dropDuplicates(keys)
         spark = df.sparkSession
         try:
-            done = spark.read.parquet(path).select(*keys)
+            done = spark.read.parquet(path)
+            if partition_by:  # only the partitions that the new rows fall into are read
+                done = done.join(df.select(*partition_by).distinct(), list(partition_by), "left_semi")
+            done = done.select(*keys)
             cond = None
             for k in keys:
                 c = new[k].eqNullSafe(done[k])

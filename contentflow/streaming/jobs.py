@@ -110,16 +110,16 @@ def failures_stream(logs: DataFrame, jobs: list[str], *, as_of, delay: str = "1
 
 
 def job_errors_stream(logs: DataFrame, *, period: str = "60 seconds", delay: str = "10 minutes") -> DataFrame:
-    """STM-01 streaming: error counter per (period, job, severity), emitted in
-    append mode once the watermark passes the window end.  The severity filter
-    is pushed below the watermark, so the watermark follows the newest error
-    log (windows ending after max(error ts) - delay stay open)."""
+    """STM-01 streaming: error counter per (period, job, severity).  Run it in update
+    mode with the keys (period_start, job_name, severity): open windows are there, too,
+    and the state of a window goes when the watermark passes it."""
     return TS.job_error_counter(logs.withWatermark("ts", delay), period)
 
 
-def budget_decisions_stream(messages: DataFrame, *, delay: str = "1 hour") -> DataFrame:
+def budget_decisions_stream(messages: DataFrame, *, delay: str) -> DataFrame:
     """STM-22 streaming: at-least-once messages deduplicated on ``message_id``
-    within the watermark, then decided."""
+    within the watermark, then decided.  ``delay`` is how late a repeated delivery
+    can be: the ids of that span are the state, a later repeat decides again."""
     dedup = messages.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["message_id"])
     return BU.budget_decision(dedup, dedupe_key=None)
 
@@ -151,17 +151,23 @@ def append_by_chapter(stream: DataFrame, name: str, checkpoint: str, *,
     return append_by_batch(stream, name, list(keys), checkpoint)
 
 
-def incidents_stream(executions: DataFrame, *, auto_close: str = "24 hours",
-                     delay: str = "10 minutes") -> DataFrame:
-    """STM-21 streaming: failed executions -> their minute (a firing of the
-    job-failure condition) -> ``session_window`` per job with gap
-    ``auto_close``.  An incident is emitted once the watermark passes its
-    close time; the state holds only open incidents."""
-    fired = (executions.where(F.col("result") == "failed")
-             .select("job_name", F.date_trunc("minute", "ts").alias("firing_ts"))
-             .withWatermark("firing_ts", delay))
+def firings_stream(executions: DataFrame, *, delay: str = "10 minutes") -> DataFrame:
+    """STM-21 streaming: failed executions counted per (job, minute), the firings of the
+    job-failure condition.  Run it in update mode with the keys (job_name, firing_ts): a
+    job with most of the failures is one row per minute."""
+    failed = executions.where(F.col("result") == "failed").withWatermark("ts", delay)
+    w = F.window("ts", "1 minute")
+    return (failed.groupBy("job_name", w.alias("_w")).agg(F.count(F.lit(1)).alias("n"))
+            .select("job_name", F.col("_w.start").alias("firing_ts"), "n"))
+
+
+def incidents_of(firings: DataFrame, *, auto_close: str = "24 hours") -> DataFrame:
+    """STM-21: incidents over the firings written so far: sessions per job with gap
+    ``auto_close``.  An incident is open (``is_open``) while the newest firing of all
+    jobs has not passed its close time."""
     s = F.session_window("firing_ts", auto_close)
-    return (fired.groupBy("job_name", s.alias("_s"))
-            .agg(F.count(F.lit(1)).alias("n_failures"), F.max("firing_ts").alias("last_firing"))
+    now = firings.select(F.max("firing_ts")).scalar()
+    return (firings.groupBy("job_name", s.alias("_s"))
+            .agg(F.sum("n").alias("n_failures"), F.max("firing_ts").alias("last_firing"))
             .select("job_name", F.col("_s.start").alias("opened_at"), "last_firing",
-                    F.col("_s.end").alias("closed_at"), "n_failures"))
+                    F.col("_s.end").alias("closed_at"), "n_failures", (F.col("_s.end") > now).alias("is_open")))
