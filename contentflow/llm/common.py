@@ -117,35 +117,50 @@ def in_bitmap(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- components
+def _parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(a, b)`` sorted, a > b: every a keeps its smallest b (``extra`` 0), its
+    other b are tied to that one (``extra`` 1)."""
+    last_a = last_b = low = None
+    for batch in batches:
+        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if len(a) == 0:
+            continue
+        new = np.ones(len(a), bool)
+        new[1:] = a[1:] != a[:-1]
+        again = np.zeros(len(a), bool)
+        again[1:] = ~new[1:] & (b[1:] == b[:-1])
+        new[0] = last_a is None or a[0] != last_a
+        again[0] = not new[0] and b[0] == last_b
+        start = np.maximum.accumulate(np.where(new, np.arange(len(a)), -1))
+        least = b[np.maximum(start, 0)]
+        if low is not None:
+            least = np.where(start < 0, low, least)
+        last_a, last_b, low = a[-1], b[-1], least[-1]
+        more = ~new & ~again & (b != least)
+        keep = new | more
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.where(new, a, b)[keep]), pa.array(least[keep]), pa.array(more[keep].astype(np.int32))], ["a", "b", "extra"])
+
+
 def connected_components(edges: DataFrame, tag: str, rounds: int = 60) -> DataFrame:
     """``(node, comp)`` for every node of ``edges(a, b)``; comp = smallest node.
 
-    Alternating large-star and small-star steps: every step is a partially
-    aggregated minimum and an equi-join, and rewrites the edges as a table in
-    the shared folder.  The driver sees two numbers per step.
+    Each round gathers a node's smaller neighbours (one shuffle, streamed in sorted
+    order), keeps the smallest as its parent, ties the others to that one, and then
+    replaces every edge's end by that end's parent (an equi-join, whose hot hubs the
+    planner splits), so paths halve.  It ends when all edges point at roots.  Every
+    round is a table in the shared folder; the driver sees one number per round.
     """
-    e = save(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                  .where("a != b").distinct(), f"{tag}-cc")
-    seen = None
+    e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
     for _ in range(rounds):
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a != b").distinct())
-        large = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(
-            F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
-            F.struct(F.col("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
-        e = save(small.where("a != b").distinct(), f"{tag}-cc")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if tuple(now) == seen:
-            break
-        seen = tuple(now)
-    else:
-        raise RuntimeError("connected components did not settle")
-    return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(
-        e.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+        tied = save(e.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_parents, "a long, b long, extra int"), f"{tag}-cc")
+        parent = tied.where("extra = 0").select(F.col("a").alias("p"), F.col("b").alias("pp"))
+        jumped = tied.join(parent, tied["b"] == parent["p"], "left")
+        if jumped.where("extra = 1 or p is not null").limit(1).count() == 0:
+            star = tied.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+            return star.unionByName(star.select(F.col("comp").alias("node"), "comp").distinct())
+        e = save(jumped.select("a", F.coalesce("pp", "b").alias("b")), f"{tag}-cc")
+    raise RuntimeError("connected components did not settle")
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
@@ -207,7 +222,7 @@ def sketch_rows(column: pa.Array, words: int) -> np.ndarray:
 
 def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
                   admissible: Callable, verify: Callable[[DataFrame], DataFrame],
-                  tag: str, block: int = 2048, first: int = 1) -> DataFrame:
+                  tag: str, block: int = 2048, first: int = 64) -> DataFrame:
     """Components ``(node, comp)`` of the links among nodes that share a bucket.
 
     ``buckets(bucket, hub, node)`` from ``shared_buckets``; ``nodes(node, size,
@@ -217,8 +232,8 @@ def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
 
     Pairs are not all listed.  First each node is checked against its buckets'
     hubs.  Then, as long as a bucket holds nodes of different components, the
-    admissible pairs between two components are verified best first: 1, 16,
-    256 ... pairs per pair of components, until none is left unchecked.  Pairs
+    admissible pairs between two components are verified best first: ``first``, then
+    64 times as many ... pairs per pair of components, until none is left unchecked.  Pairs
     inside a component need no check, so the result is exact.  Buckets of more
     than ``block`` nodes are dealt out as pairs of blocks.
     """
@@ -258,15 +273,15 @@ def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
                          "mine", "node", "comp"))
         dealt = save(dealt.join(nodes, "node"), f"{tag}-dealt")
         found = save(_cross_pairs(dealt, words, admissible, limit), f"{tag}-cross")
-        if found.select("more").groupBy().agg(F.count("*")).first()[0] == 0:
+        n, more = found.agg(F.count("*"), F.max("more")).first()
+        if n == 0:
             return comps
-        more = found.agg(F.max("more")).first()[0]
         pairs = found.select("a", "b").distinct()
         links = save(links.unionByName(verify(save(pairs, f"{tag}-try"))), f"{tag}-links")
         if not more:
             # Every admissible pair between components was listed and verified.
             return save(connected_components(links, tag), f"{tag}-comps")
-        limit *= 16
+        limit *= 64
 
 
 def _cross_pairs(dealt: DataFrame, words: int, admissible: Callable, limit: int) -> DataFrame:
