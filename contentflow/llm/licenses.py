@@ -53,13 +53,19 @@ def words(text: str) -> list[str]:
 
 def blocks(text: str, cue: re.Pattern, gap: int = 2, reach: int = 8, wrapped: int = 120) -> Iterator[tuple[int, str, str]]:
     """``(first line, text, lines with licensing words)`` of runs of lines with licensing words, not more than
-    ``gap`` lines apart; the lines between belong to the run, and so do up to ``reach``
+    ``gap`` lines apart (``reach``, if those between look like wrapped text); the lines
+    between belong to the run, and so do up to ``reach``
     lines next to it that look like wrapped text (not blank, ``wrapped`` characters at most)."""
     lines = text.split("\n")
     marked = [i for i, line in enumerate(lines) if cue.search(line)]
     runs = []
+
+    def joined(a: int, b: int) -> bool:
+        between = lines[a + 1:b]
+        return len(between) <= gap or len(between) <= reach and all(x.strip() and len(x) <= wrapped for x in between)
+
     for i in marked:
-        if runs and i - runs[-1][1] <= gap + 1:
+        if runs and joined(runs[-1][1], i):
             runs[-1][1] = i
         else:
             runs.append([i, i])
