@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentflow.llm.common import save, text_slices
-from contentflow.llm.tokens import WordEncoder
+from contentflow.llm.tokens import encoder
 
 SPECIAL = re.compile(r"[\\<>]")
 ESCAPED = re.compile(r"\\(.)", re.S)
@@ -110,11 +110,11 @@ class Windows:
 
 def _count_tokens(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        words = encoder(path)
         for whole in batches:
             for batch in text_slices(whole, "text", 1 << 20):
                 made = pa.array([render(r, t)[0] for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist())], pa.string())
-                offsets, _ = encoder.encode(made)
+                offsets, _ = words.encode(made)
                 yield batch.append_column("tokens", pa.array(np.diff(offsets), pa.int64()))
     return run
 

@@ -22,16 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from contentflow.llm.common import save, text_slices
-from contentflow.llm.tokens import WordEncoder
+from contentflow.llm.tokens import encoder
 
 
 def encoded_lengths(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Map-side histogram rows ``length, n`` of whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        words = encoder(vocabulary)
         for whole in batches:
-            for batch in text_slices(whole, "text", 1 << 20):
-                offsets, _ = encoder.encode(batch.column("text"))
+            for batch in text_slices(whole, "text", 4 << 20):
+                offsets, _ = words.encode(batch.column("text"))
                 size, n = np.unique(np.diff(offsets), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(size.astype(np.int64)), pa.array(n.astype(np.int64))], ["length", "n"])
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contentflow.llm.common import save, scratch, text_slices
-from contentflow.llm.tokens import WordEncoder
+from contentflow.llm.tokens import encoder, release
 
 PRECISION = 20
 LANES = 1024
@@ -162,10 +162,10 @@ def crc_join(first: int, second: int, length: int) -> int:
 
 def _encode_texts(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        words = encoder(path)
         for whole in batches:
-            for batch in text_slices(whole, "text", 1 << 20):
-                offsets, ids = encoder.encode(batch.column("text"), end_id)
+            for batch in text_slices(whole, "text", 4 << 20):
+                offsets, ids = words.encode(batch.column("text"), end_id)
                 raw = ids.astype("<u2" if ids.dtype == np.uint16 else "<u4").tobytes()
                 w = ids.dtype.itemsize
                 cells = [raw[a * w:b * w] for a, b in zip(offsets[:-1], offsets[1:])]
@@ -189,6 +189,7 @@ def _histogram(width: int):
 
 def _write_blocks(freq, width: int, block: int, lanes: int, every: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         coder = Coder(freq.value)
         names = ["file", "block", "first", "n_ids", "docs", "rows", "parts", "sizes", "crc", "data", "states", "places"]
         file, number, first = None, 0, 0
@@ -245,10 +246,10 @@ def write_tokens(docs: DataFrame, out: str, vocabulary: str, end_id: int = 2, pe
     ``per_file``: about so many ids go to one file (a range of doc_ids).
     """
     spark = docs.sparkSession
-    probe = WordEncoder(vocabulary)
+    probe = encoder(vocabulary)
     if end_id >= probe.vocab:
         raise ValueError("end_id is not an id of the vocabulary")
-    width = probe.ids.dtype.itemsize
+    width = np.dtype(probe.type).itemsize
     kept = save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _encode_texts(vocabulary, end_id), "doc_id long, ids binary, n long"), "token-ids")
     # Shared frequencies: one row per id of the vocabulary at most.
@@ -289,6 +290,7 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
     precision, lanes, every = head["precision"], head["lanes"], head["every"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         coder = Coder(freq.value, precision)
         for batch in batches:
             for r in range(batch.num_rows):
@@ -319,10 +321,12 @@ def documents_of(pieces: DataFrame) -> DataFrame:
     joined by (doc_id, row), the rest stays where it is.
     """
     key = ["doc_id", "file", "row"]
+
     @F.udf("long")
     def joined(parts):
-        crc = 0
-        for p in sorted(parts, key=lambda p: p["part"]):
+        parts = sorted(parts, key=lambda p: p["part"])
+        crc = parts[0]["crc"]
+        for p in parts[1:]:
             crc = crc_join(crc, p["crc"], 4 * p["n"])
         return crc
 

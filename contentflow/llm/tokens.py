@@ -1,14 +1,21 @@
 """Token ids of whole texts, by a public vocabulary file and the tokenizers library.
 
-The vocabulary drops white space and never joins characters across it, so a text's
-ids are those of its words (parts between ASCII white space) one after another.
-Each distinct word of a run of texts is encoded once.
+The vocabulary folds case, drops white space and splits letters from punctuation before
+it merges anything.  So a text's ids are those of its words (parts between ASCII white
+space) one after another, and a word's ids are those of its lower-case form without
+trailing ``.,;:!?`` (after a letter or digit) and then those of that punctuation.  Each distinct form of a task is
+encoded once; words of letters only are encoded many to a call, and told apart by
+the vocabulary's word-end marks.  Words that hold ``<|`` (special tokens) are left whole.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from contentflow.llm.common import words_of
 
@@ -19,58 +26,163 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+TAIL = ".,;:!?"
+# A letter or digit before the tail; after other characters punctuation is one run with them.
+BEFORE_TAIL = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]$"
+
+
+def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indexes of all elements of the runs ``starts[i] : starts[i] + sizes[i]``."""
+    done = np.cumsum(sizes)
+    n = int(done[-1]) if len(done) else 0
+    kind = np.int32 if n < 1 << 31 and (len(starts) == 0 or starts.max() < 1 << 31) else np.int64
+    return np.arange(n, dtype=kind) + np.repeat((starts - (done - sizes)).astype(kind), sizes)
+
+
+class FormTable:
+    """Numbers of word forms, by a 128-bit hash (two 64-bit ones) instead of the text: a
+    sorted main part and a small recent part, as plain arrays."""
+
+    KEYS = "0123456789abcdef", "fedcba9876543210"
+
+    def __init__(self):
+        self.main = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int32))
+        self.recent = self.main
+
+    @classmethod
+    def hashes(cls, forms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(pd.util.hash_array(forms, hash_key=k, categorize=False) for k in cls.KEYS)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Number of every form, -1 for those not there."""
+        out = np.full(len(a), -1, np.int64)
+        for ka, kb, number in (self.main, self.recent):
+            if len(ka):
+                at = np.minimum(np.searchsorted(ka, a), len(ka) - 1)
+                hit = (ka[at] == a) & (kb[at] == b)
+                out[hit] = number[at[hit]]
+        return out
+
+    def add(self, a: np.ndarray, b: np.ndarray, numbers: np.ndarray):
+        merged = [np.concatenate(x) for x in zip(self.recent, (a, b, numbers.astype(np.int32)))]
+        full = len(merged[0]) > max(50_000, len(self.main[0]) // 8)
+        if full:
+            merged = [np.concatenate(x) for x in zip(self.main, merged)]
+        order = np.argsort(merged[0], kind="stable")
+        merged = tuple(x[order] for x in merged)
+        if full:
+            self.main, self.recent = merged, tuple(x[:0] for x in merged)
+        else:
+            self.recent = merged
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> WordEncoder:
+    """The worker process's encoder: its cache outlives a task."""
+    return WordEncoder(path)
+
+
+def release() -> None:
+    """Give back the memory of earlier tasks' encoders and of Arrow's pool."""
+    encoder.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 class WordEncoder:
-    """Encodes columns of texts; words seen before come from a bounded cache."""
+    """Encodes columns of texts; word forms seen before come from a bounded cache."""
 
-    def __init__(self, path: str, cache: int = 1 << 18):
+    def __init__(self, path: str, cache: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocab = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.type = np.uint16 if self.vocab <= 1 << 16 else np.uint32
+        self.last = np.zeros(self.vocab, bool)  # ids that end a word
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.last[i] = token.endswith("</w>")
         self.limit = cache
-        self.known: dict[str, int] = {}
         self._reset()
 
     def _reset(self):
-        self.known = {}
-        self.ids = np.zeros(1 << 16, np.uint16 if self.vocab <= 1 << 16 else np.uint32)
-        self.ends = [0]
-
-    def _learn(self, words: list[str]):
-        for a in range(0, len(words), 4096):
-            part = words[a:a + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                ids = e.ids
-                at = self.ends[-1]
-                if at + len(ids) > len(self.ids):
-                    self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), len(ids)), self.ids.dtype)))
-                self.ids[at:at + len(ids)] = ids
-                self.known[w] = len(self.ends) - 1
-                self.ends.append(at + len(ids))
+        self.table = FormTable()
+        self.ids = np.zeros(1 << 16, self.type)
+        self.ends = np.zeros(1 << 12, np.int64)  # form k has ids[ends[k - 1]:ends[k]]; form 0 is empty
+        self.forms = 1
+
+    def _store(self, ids: np.ndarray, sizes: np.ndarray):
+        at, n = int(self.ends[self.forms - 1]), len(sizes)
+        while at + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(len(self.ids) // 2, self.type)))
+        while self.forms + n > len(self.ends):
+            self.ends = np.concatenate((self.ends, np.zeros(len(self.ends) // 2, np.int64)))
+        self.ids[at:at + len(ids)] = ids
+        self.ends[self.forms:self.forms + n] = at + np.cumsum(sizes)
+        self.forms += n
+
+    def _learn(self, forms: list[str]) -> np.ndarray:
+        """Encode the forms; their numbers."""
+        plain = np.array([f.isalpha() for f in forms], bool)
+        numbers = np.zeros(len(forms), np.int64)
+        letters, other = np.flatnonzero(plain), [np.flatnonzero(~plain)]
+        for a in range(0, len(letters), 1024):
+            part = letters[a:a + 1024]
+            ids = np.array(self.tokenizer.encode(" ".join([forms[i] for i in part]), add_special_tokens=False).ids, np.int64)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                numbers[part] = self.forms + np.arange(len(part))
+                self._store(ids, np.diff(ends, prepend=0))
+            else:  # some form is not one word to the vocabulary
+                other.append(part)
+        other = np.concatenate(other)
+        for a in range(0, len(other), 1024):
+            part = other[a:a + 1024]
+            ids = [e.ids for e in self.tokenizer.encode_batch([forms[i] for i in part], add_special_tokens=False)]
+            numbers[part] = self.forms + np.arange(len(part))
+            self._store(np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids], np.int64))
+        return numbers
+
+    def _slots(self, forms: pa.Array) -> np.ndarray:
+        """Number of every form of the column."""
+        coded = forms.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        a, b = FormTable.hashes(distinct) if len(distinct) else (np.zeros(0, np.uint64),) * 2
+        slot = self.table.find(a, b)
+        fresh = np.flatnonzero(slot < 0)
+        if len(fresh):
+            slot[fresh] = self._learn(distinct[fresh].tolist())
+            self.table.add(a[fresh], b[fresh], slot[fresh])
+        return slot[coded.indices.to_numpy()]
 
     def encode(self, texts: pa.Array, end_id: int | None = None):
         """``(offsets, ids)`` of all texts; ``end_id`` closes every text."""
         offsets, codes, words = words_of(texts)
-        words = words.to_pylist()
-        if len(self.known) + len(words) > self.limit:
+        special = pc.match_substring(words, "<|")
+        form = pc.if_else(special, words, pc.ascii_lower(words))
+        stem = pc.utf8_rtrim(form, characters=TAIL)
+        stem = pc.if_else(pc.or_(special, pc.invert(pc.match_substring_regex(stem, BEFORE_TAIL))), form, stem)
+        cut = pc.binary_length(stem).to_numpy(zero_copy_only=False) < pc.binary_length(form).to_numpy(zero_copy_only=False)
+        if self.forms + len(words) > self.limit:
             self._reset()
-        self._learn([w for w in words if w not in self.known])
-        slot = np.array([self.known[w] for w in words], np.int64)
-        ends = np.array(self.ends, np.int64)
+        first = self._slots(stem)
+        second = np.zeros(len(words), np.int64)
+        at = np.flatnonzero(cut)
+        if len(at):
+            pairs = zip(form.take(pa.array(at)).to_pylist(), stem.take(pa.array(at)).to_pylist())
+            second[at] = self._slots(pa.array([f[len(s):] for f, s in pairs], pa.string()))
+        # Ids of this run's distinct words, one after another; the end id stands last.
+        starts = np.concatenate(([0], self.ends[:self.forms]))
+        both = np.stack((first, second), axis=1).ravel()
+        size2 = starts[both + 1] - starts[both]
+        own = self.ids[gather(starts[both], size2)]
+        size = size2.reshape(-1, 2).sum(axis=1) if len(words) else np.zeros(0, np.int64)
+        start = np.cumsum(size) - size
         n = len(offsets) - 1
-        if end_id is not None:  # one more piece after each text's words, kept at the end of the id store
-            at = self.ends[-1]
-            if at + 1 > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros(1, self.ids.dtype)))
-            self.ids[at] = end_id
-            ends = np.append(ends, at + 1)
-            pieces = np.full(len(codes) + n, len(ends) - 2, np.int64)
-            spot = np.arange(len(codes)) + np.repeat(np.arange(n), np.diff(offsets))
-            pieces[spot] = slot[codes]
-            offsets = offsets + np.arange(n + 1)
-        else:
-            pieces = slot[codes]
-        size = (ends[1:] - ends[:-1])[pieces]
-        done = np.concatenate(([0], np.cumsum(size)))
-        index = np.arange(done[-1]) + np.repeat(ends[pieces] - done[:-1], size)
-        return done[offsets], self.ids[index]
+        if end_id is not None:  # one more piece after each text's words
+            own = np.append(own, self.type(end_id))
+            start, size = np.append(start, len(own) - 1), np.append(size, 1)
+            pieces = np.full(len(codes) + n, len(size) - 1, np.int64)
+            pieces[np.arange(len(codes)) + np.repeat(np.arange(n), np.diff(offsets))] = codes
+            codes, offsets = pieces, offsets + np.arange(n + 1)
+        sizes = size[codes]
+        done = np.concatenate(([0], np.cumsum(sizes)))
+        return done[offsets], own[gather(start[codes], sizes)]
