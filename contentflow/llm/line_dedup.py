@@ -33,6 +33,7 @@ from contentflow.llm.common import (U64, bitmap_slot, id_bitmap, in_bitmap, mix6
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 BASE_INV = pow(BASE, -1, 1 << 64)
+SKETCH_WORDS = 4  # 256 bits
 
 
 def threshold(length: int, max_edits: int, chars_per_edit: int) -> int:
@@ -117,12 +118,12 @@ def mix(x: int) -> int:
 
 
 def pair_sketch(line: str) -> bytes:
-    """64 parities of the line's character pairs: an edit changes four at most."""
+    """256 parities of the line's character pairs: an edit changes four at most."""
     c = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
     if len(c) < 2:
-        return bytes(8)
-    h = mix64(c[:-1] * U64(0x100000001B3) + c[1:]) >> U64(58)
-    bits = np.bincount(h.astype(np.int64), minlength=64) & 1
+        return bytes(8 * SKETCH_WORDS)
+    h = mix64(c[:-1] * U64(0x100000001B3) + c[1:]) >> U64(56)
+    bits = np.bincount(h.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
@@ -284,7 +285,7 @@ def line_classes(lines: DataFrame, max_edits: int = 2, chars_per_edit: int = 10)
             text.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
         return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
-    return resolve_links(buckets, nodes, 1, admissible, verify, "line")
+    return resolve_links(buckets, nodes, SKETCH_WORDS, admissible, verify, "line")
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
