@@ -148,18 +148,19 @@ def connected_components(edges: DataFrame, tag: str, rounds: int = 60) -> DataFr
     Each round gathers a node's smaller neighbours (one shuffle, streamed in sorted
     order), keeps the smallest as its parent, ties the others to that one, and then
     replaces every edge's end by that end's parent (an equi-join, whose hot hubs the
-    planner splits), so paths halve.  It ends when all edges point at roots.  Every
-    round is a table in the shared folder; the driver sees one number per round.
+    planner splits), so paths halve.  It ends when no edge moved: all point at roots.
+    Every round is a table in the shared folder; the driver sees one number per round.
     """
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
     for _ in range(rounds):
-        tied = save(e.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_parents, "a long, b long, extra int"), f"{tag}-cc")
+        tied = e.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_parents, "a long, b long, extra int")
         parent = tied.where("extra = 0").select(F.col("a").alias("p"), F.col("b").alias("pp"))
-        jumped = tied.join(parent, tied["b"] == parent["p"], "left")
-        if jumped.where("extra = 1 or p is not null").limit(1).count() == 0:
-            star = tied.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+        jumped = tied.join(parent, tied["b"] == parent["p"], "left").select(
+            "a", F.coalesce("pp", "b").alias("b"), (F.col("p").isNotNull() | (F.col("extra") == 1)).alias("moved"))
+        e = save(jumped, f"{tag}-cc")
+        if e.where("moved").limit(1).count() == 0:
+            star = e.select(F.col("a").alias("node"), F.col("b").alias("comp"))
             return star.unionByName(star.select(F.col("comp").alias("node"), "comp").distinct())
-        e = save(jumped.select("a", F.coalesce("pp", "b").alias("b")), f"{tag}-cc")
     raise RuntimeError("connected components did not settle")
 
 
@@ -237,7 +238,6 @@ def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
     inside a component need no check, so the result is exact.  Buckets of more
     than ``block`` nodes are dealt out as pairs of blocks.
     """
-    spark = buckets.sparkSession
     buckets = save(buckets, f"{tag}-buckets")
     star = buckets.where("hub != node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     na = nodes.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("ka"))
@@ -254,10 +254,13 @@ def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     star = star.join(nb, "b").join(na, "a").mapInArrow(sift, "a long, b long")
-    links = save(verify(save(star, f"{tag}-try")), f"{tag}-links")
-    limit = first
+    star = save(star, f"{tag}-try")
+    links = save(verify(star), f"{tag}-links")
+    tried = star
+    limit, comps = first, None
     while True:
-        comps = save(connected_components(links, tag), f"{tag}-comps")
+        if comps is None:
+            comps = save(connected_components(links, tag), f"{tag}-comps")
         seen = buckets.select("bucket", "node").join(comps, "node", "left").withColumn(
             "comp", F.coalesce("comp", "node"))
         open_ = seen.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
@@ -271,16 +274,15 @@ def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
                          "mine", "node", "comp"))
-        dealt = save(dealt.join(nodes, "node"), f"{tag}-dealt")
-        found = save(_cross_pairs(dealt, words, admissible, limit), f"{tag}-cross")
-        n, more = found.agg(F.count("*"), F.max("more")).first()
-        if n == 0:
-            return comps
-        pairs = found.select("a", "b").distinct()
-        links = save(links.unionByName(verify(save(pairs, f"{tag}-try"))), f"{tag}-links")
-        if not more:
-            # Every admissible pair between components was listed and verified.
-            return save(connected_components(links, tag), f"{tag}-comps")
+        found = save(_cross_pairs(dealt.join(nodes, "node"), words, admissible, limit), f"{tag}-cross")
+        more = bool(found.agg(F.max("more")).first()[0])  # pairs were left for a larger limit
+        fresh = save(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), f"{tag}-try")
+        right = save(verify(fresh), f"{tag}-links") if fresh.limit(1).count() else fresh
+        if right.limit(1).count():
+            links, tried = links.unionByName(right), tried.unionByName(fresh)
+            comps = None
+        if not more:  # every admissible pair between components was verified
+            return comps if comps is not None else save(connected_components(links, tag), f"{tag}-comps")
         limit *= 64
 
 
@@ -307,7 +309,8 @@ def _cross_pairs(dealt: DataFrame, words: int, admissible: Callable, limit: int)
                 ok &= rows[:, None] < right[None, :]
             x, y = np.nonzero(ok)
             # Keep per pair of components the best ones so far (bounded by the components met).
-            a_.append(rows[x]), b_.append(right[y]), d_.append(d[x, y])
+            share = d[x, y] / (size[rows[x]] + size[right[y]])
+            a_.append(rows[x]), b_.append(right[y]), d_.append(share)
             if sum(map(len, a_)) > 1 << 20:
                 a, b, d, _ = _best(np.concatenate(a_), np.concatenate(b_), np.concatenate(d_), comp, limit + 1)
                 a_, b_, d_ = [a], [b], [d]
@@ -324,7 +327,7 @@ def _cross_pairs(dealt: DataFrame, words: int, admissible: Callable, limit: int)
 
 
 def _best(a, b, d, comp, limit):
-    """The ``limit`` pairs with the fewest differing bits per pair of components."""
+    """The ``limit`` pairs with the smallest share of differing bits per pair of components."""
     ca, cb = np.minimum(comp[a], comp[b]), np.maximum(comp[a], comp[b])
     order = np.lexsort((b, a, d, cb, ca))
     a, b, d, ca, cb = a[order], b[order], d[order], ca[order], cb[order]
