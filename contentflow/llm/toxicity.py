@@ -12,8 +12,7 @@ labelled rows at most, of texts up to ``Settings.max_chars``, drawn by a hash of
 from the rows that are not held out.  A document's label is that of its windows' maximum, so
 the steps train the windows that score highest.  Scoring covers every text in full.
 
-Defined cases: null, empty and blank texts are one empty window (the score of no
-words); rows without label are scored only; rows that repeat a doc_id are scored each; a
+Defined cases: null, empty and blank texts have no word that could be toxic and score 0; rows without label are scored only; rows that repeat a doc_id are scored each; a
 doc_id with two labels counts as toxic; without both classes among the training rows
 every score is the share of toxic ones (0 without rows).
 """
@@ -47,6 +46,7 @@ class Settings:
     attention: int = 8
     rounds: int = 7
     passes: int = 2
+    steps: int = 16
     batch: int = 256
     rate: float = 0.01
     char_scale: float = 0.02
@@ -241,7 +241,8 @@ class Model:
     def score(self, texts: pa.Array) -> np.ndarray:
         if self.net is None:
             return np.full(len(texts), self.constant)
-        return sigmoid(self.net.scores(Inputs(texts, self.known)).astype(np.float64))
+        x = Inputs(texts, self.known)
+        return np.where(np.diff(x.offsets) > 0, sigmoid(self.net.scores(x).astype(np.float64)), 0.0)
 
 
 def fit(texts: list[str], labels: list[int], s: Settings = Settings()) -> Model:
@@ -282,7 +283,9 @@ def fit(texts: list[str], labels: list[int], s: Settings = Settings()) -> Model:
             more = [(first + (rng.random(len(first)) * count).astype(int))[trusted & (y == 0)] for _ in range(s.others)]
             pick = np.unique(np.concatenate([best, *more]))
         rate = s.rate * (1 if turn < s.rounds * 2 // 3 else 0.3)
-        for _ in range(s.passes if turn else 1):
+        # Small samples are gone through more often, for ``steps`` updates a round at least.
+        batches = -(-len(pick) // s.batch)
+        for _ in range(max(s.passes if turn else 1, -(-s.steps // max(1, batches)))):
             rng.shuffle(pick)
             for a in range(0, len(pick), s.batch):
                 which = pick[a:a + s.batch]
