@@ -30,7 +30,7 @@ def encoded_lengths(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(vocabulary)
         for whole in batches:
-            for batch in text_slices(whole, "text", 4 << 20):
+            for batch in text_slices(whole, "text", 2 << 20):
                 offsets, _ = words.encode(batch.column("text"))
                 size, n = np.unique(np.diff(offsets), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(size.astype(np.int64)), pa.array(n.astype(np.int64))], ["length", "n"])

@@ -91,7 +91,7 @@ def release() -> None:
 class WordEncoder:
     """Encodes columns of texts; word forms seen before come from a bounded cache."""
 
-    def __init__(self, path: str, cache: int = 1_500_000):
+    def __init__(self, path: str, cache: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
