@@ -1,22 +1,24 @@
 """License scans by conditional compression.
 
-Blocks of lines around licensing words are candidates.  Each is compressed alone and
-with every template as a zstandard raw dictionary; what the dictionary saves, over the
-size alone, ranks the templates.  The best ones are confirmed by the exact difference in
-wording: the words of the template, in order, that the block lacks.  A confirmed
-template's words are taken out and the rest of the block is looked at again, so a block
-can hold several licenses.
-
-Defined cases: null and empty texts have no block; ties in size reduction go to the
-larger template, then to the name; the same license in two blocks of a document gives
+Blocks of lines around licensing words are candidates.  Every template is looked for in
+the whole block: a notice is a span of at most twice the template's words that holds
+``covered`` of them in order (longest common subsequence).  Only spans that hold that
+many of its words in any order are compared, which loses none.  Of spans that overlap,
+the one with the most words in place wins, then the fewest missing ones, then the
+shortest; then what the template saves as a zstandard raw dictionary, over the span's
+compressed size alone, ranks them (``reduction``).  A notice's words are taken out and
+the rest of the block is looked at again, so a block can hold several licenses.
+
+Defined cases: null and empty texts have no block; last ties go to the name; the same license in two blocks of a document gives
 two rows; rows that share a doc_id are reported each.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import pyarrow as pa
 import zstandard
@@ -44,15 +46,14 @@ TEMPLATES = {
 }
 CUES = "licen[cs]|copyright|permission|permitted|warrant|redistribut|public domain|creative commons|free software"
 WORDS = re.compile(r"[a-z0-9]+(?:[.+][0-9]+)*")
-PIECE = 2048  # words of a block that are compared at once; pieces overlap by the longest template
 
 
 def words(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
-def blocks(text: str, cue: re.Pattern, gap: int = 2, reach: int = 8, wrapped: int = 120) -> Iterator[tuple[int, str, str]]:
-    """``(first line, text, lines with licensing words)`` of runs of lines with licensing words, not more than
+def blocks(text: str, cue: re.Pattern, gap: int = 2, reach: int = 8, wrapped: int = 120) -> Iterator[tuple[int, str]]:
+    """``(first line, text)`` of runs of lines with licensing words, not more than
     ``gap`` lines apart (``reach``, if those between look like wrapped text); the lines
     between belong to the run, and so do up to ``reach``
     lines next to it that look like wrapped text (not blank, ``wrapped`` characters at most)."""
@@ -78,73 +79,118 @@ def blocks(text: str, cue: re.Pattern, gap: int = 2, reach: int = 8, wrapped: in
             if b + 1 < roof and lines[b + 1].strip() and len(lines[b + 1]) <= wrapped:
                 b += 1
         floor = b + 1
-        yield a, "\n".join(lines[a:b + 1]), "\n".join(x for x in lines[a:b + 1] if cue.search(x))
+        yield a, "\n".join(lines[a:b + 1])
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], covered: float, tried: int):
+    """``tried`` limits nothing: every template is compared (kept for callers that give it)."""
+
+    def __init__(self, templates: dict[str, str], covered: float, tried: int | None = None):
         self.cue = re.compile(CUES, re.I)
         self.plain = zstandard.ZstdCompressor(level=3)
-        self.words = {k: words(v) for k, v in templates.items()}
-        normal = {k: " ".join(v) for k, v in self.words.items()}
+        self.words = {k: w for k, w in ((k, words(v)) for k, v in templates.items()) if w}
         self.with_dict = {k: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(
-            v.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k, v in normal.items()}
-        self.covered, self.tried = covered, tried
-        self.longest = max(map(len, self.words.values()), default=0)
-
-    def ranked(self, text: str) -> list[tuple[float, str]]:
-        """Templates by the share of the compressed size that they save."""
-        data = text.encode()
+            " ".join(v).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k, v in self.words.items()}
+        self.count = {k: Counter(v) for k, v in self.words.items()}
+        self.need = {k: max(1, math.ceil(covered * len(v) - 1e-9)) for k, v in self.words.items()}
+        # The first word in place is one of these.
+        self.heads = {k: set(v[:len(v) - self.need[k] + 1]) for k, v in self.words.items()}
+        self.bits = {}
+        for k, v in self.words.items():
+            bits = self.bits[k] = {}
+            for i, w in enumerate(v):
+                bits[w] = bits.get(w, 0) | 1 << i
+
+    def reduction(self, name: str, have: list[str]) -> float:
+        """Share of the compressed size of the words that the template saves."""
+        data = " ".join(have).encode()
         alone = len(self.plain.compress(data))
-        saved = [((alone - len(c.compress(data))) / alone, k) for k, c in self.with_dict.items()]
-        return sorted(saved, key=lambda s: (-s[0], -len(self.words[s[1]]), s[1]))
-
-    def confirm(self, name: str, have: list[str]) -> tuple[int, int, list[tuple[int, int]]] | None:
-        """``(missing words, extra words inside, matched runs)`` if the template is there."""
-        want = self.words[name]
-        runs = [m for m in SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks() if m.size]
-        same = sum(m.size for m in runs)
-        if not runs or same < self.covered * len(want):
-            return None
-        inside = runs[-1].b + runs[-1].size - runs[0].b
-        if inside > 2 * len(want):  # scattered words, no notice
-            return None
-        return len(want) - same, inside - same, [(m.b, m.b + m.size) for m in runs]
+        return (alone - len(self.with_dict[name].compress(data))) / alone
+
+    def rows(self, name: str, have: list[str]) -> list[int]:
+        """Bit rows of the longest common subsequence with the template: the template's
+        first i words and ``have[:j]`` share as many words, in order, as row j has zeros
+        among its i low bits."""
+        bits, full = self.bits[name], (1 << len(self.words[name])) - 1
+        out = [full]
+        for w in have:
+            v = out[-1]
+            u = v & bits[w]
+            out.append(((v + u) | (v - u)) & full)
+        return out
+
+    def spans(self, name: str, have: list[str], places: dict[str, list[int]]) -> Iterator[tuple[int, int, int]]:
+        """``(words in place, start, end)`` of the spans of at most twice the template's
+        words that hold enough of its words in order: for each start the shortest one
+        with the most.  Spans that lack the words in any order are not compared."""
+        count, need, reach = self.count[name], self.need[name], 2 * len(self.words[name])
+        if sum(min(n, len(places.get(w, ()))) for w, n in count.items()) < need:
+            return
+        at = sorted(p for w in count for p in places.get(w, ()))
+        held, total, j = Counter(), 0, 0
+        for i, p in enumerate(at):
+            while j < len(at) and at[j] < p + reach:
+                w = have[at[j]]
+                held[w] += 1
+                total += held[w] <= count[w]
+                j += 1
+            if total >= need and have[p] in self.heads[name]:
+                rows = self.rows(name, [have[q] for q in at[i:j]])
+                most = len(self.words[name]) - rows[-1].bit_count()
+                if most >= need:
+                    last = next(k for k, v in enumerate(rows) if len(self.words[name]) - v.bit_count() == most)
+                    yield most, p, at[i + last - 1] + 1
+            total -= held[have[p]] <= count[have[p]]
+            held[have[p]] -= 1
+
+    def matched(self, name: str, have: list[str], start: int, end: int) -> list[int]:
+        """Places of the template's words in the span."""
+        at = [p for p in range(start, end) if have[p] in self.bits[name]]
+        rows = self.rows(name, [have[p] for p in at])
+
+        def shared(j: int, i: int) -> int:
+            return i - (rows[j] & ((1 << i) - 1)).bit_count()
+
+        out, i = [], len(self.words[name])
+        for j in range(len(at), 0, -1):
+            if shared(j, i) > shared(j - 1, i):
+                while shared(j, i - 1) == shared(j, i):
+                    i -= 1
+                i -= 1
+                out.append(at[j - 1])
+        return out
 
     def scan(self, text: str) -> Iterator[tuple[int, str, float, int, int, int]]:
         """``(first line, license, reduction, words, missing, extra)``."""
-        for first, block, marked in blocks(text, self.cue):
-            have = words(block)
-            core = " ".join(words(marked)[:PIECE])
-            step = max(1, PIECE - self.longest)
-            for at in range(0, max(1, len(have) - self.longest), step):
-                yield from ((first, *f) for f in self.piece(have[at:at + PIECE], core))
-
-    def piece(self, have: list[str], core: str) -> Iterator[tuple[str, float, int, int, int]]:
-        found = True
-        while found and have:
-            found = False
-            best = None
-            # Ranked on the whole piece and on its marked lines, so that text around a short
-            # notice does not hide it.  A short notice can be the start of a longer one: the
-            # most matched words win.
-            tried = self.ranked(" ".join(have))[:self.tried] + self.ranked(core)[:self.tried]
-            for saved, name in tried:
-                hit = self.confirm(name, have) if saved > 0 else None
-                if hit and (best is None or len(self.words[name]) - hit[0] > len(self.words[best[1]]) - best[2][0]):
-                    best = (saved, name, hit)
-            if best:
-                saved, name, (missing, extra, runs) = best
-                yield name, saved, len(self.words[name]), missing, extra
-                gone = {i for a, b in runs for i in range(a, b)}
-                have = [w for i, w in enumerate(have) if i not in gone]
-                found = True
+        for first, block in blocks(text, self.cue):
+            yield from ((first, *f) for f in self.block(words(block)))
+
+    def block(self, have: list[str]) -> Iterator[tuple[str, float, int, int, int]]:
+        while True:
+            places: dict[str, list[int]] = {}
+            for i, w in enumerate(have):
+                places.setdefault(w, []).append(i)
+            hits = []
+            for name, want in self.words.items():
+                for same, a, b in self.spans(name, have, places):
+                    # A short notice can be the start of a longer one: the most matched words win.
+                    hits.append((-same, len(want) - same, b - a, -self.reduction(name, have[a:b]), name, a, b))
+            if not hits:
+                return
+            gone, used = set(), bytearray(len(have))
+            for same, missing, size, saved, name, a, b in sorted(hits):
+                if any(used[a:b]):  # looked at again without the words that are gone
+                    continue
+                used[a:b] = b"\1" * size
+                yield name, -saved, len(self.words[name]), missing, size + same
+                gone.update(self.matched(name, have, a, b))
+            have = [w for i, w in enumerate(have) if i not in gone]
 
 
 def license_findings(docs: DataFrame, templates: dict[str, str] | None = None, covered: float = 0.9, tried: int = 4) -> DataFrame:
     """``doc_id, first_line, license, reduction, n_words, missing, extra``: a row per
     notice found.  ``covered``: share of the template's words that must be there, in
-    order; ``tried``: so many of the best-ranked templates are compared word by word."""
+    order; ``tried`` is without effect, all templates are compared word by word."""
     templates = TEMPLATES if templates is None else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """op9: planted notices, and every notice line of the driver's table."""
 
+import random
 import re
 
 from contentflow.llm.licenses import TEMPLATES, Scanner, license_findings
@@ -36,6 +37,53 @@ def test_long_block():
     assert [f[1] for f in found(text)] == ["MPL-2.0"]
 
 
+def prose(rng, n):
+    return " ".join(rng.choices("the of any this program is work under to in software license version free copy and a sea".split(), k=n))
+
+
+def test_exact_notices_in_one_long_line():
+    rng = random.Random(6)
+    for name, text in TEMPLATES.items():
+        for before, after in ((300, 700), (1000, 1000), (5000, 3000)):
+            hits = [f[1:] for f in found(f"{prose(rng, before)} {text} {prose(rng, after)}")]
+            assert (name, 0) in hits, (name, before)
+
+
+def test_overlapping_notices_are_told_once():
+    text = " ".join([TEMPLATES["MIT-line"], TEMPLATES["GPL-3.0-notice"], TEMPLATES["CC-BY-4.0"]] * 40)
+    hits = [f[1] for f in found(text)]
+    assert {k: hits.count(k) for k in set(hits)} == {"MIT-line": 40, "GPL-3.0-notice": 40, "CC-BY-4.0": 40}
+
+
+def test_every_place_against_plain_dynamic_programming():
+    rng = random.Random(7)
+    scanner = Scanner({"x": "a b c d e f g h i j"}, 0.8, 4)
+    for _ in range(200):
+        have = rng.choices("abcdefghijklm", k=rng.randrange(40))
+        if rng.random() < 0.7:
+            have[5:5] = [w for w in "abcdefghij" if rng.random() < 0.9]
+        want = set()
+        for a in range(len(have)):
+            row = [0] * 11
+            lengths = [0]
+            for w in have[a:a + 20]:
+                old = row[:]
+                for i, x in enumerate("abcdefghij", 1):
+                    row[i] = old[i - 1] + 1 if w == x else max(old[i], row[i - 1])
+                lengths.append(row[10])
+            if lengths[-1] >= 8 and have[a] in "abc":
+                want.add((lengths[-1], a, a + lengths.index(lengths[-1])))
+        places = {}
+        for i, w in enumerate(have):
+            places.setdefault(w, []).append(i)
+        spans = set(scanner.spans("x", have, places))
+        assert spans == want
+        for same, a, b in spans:
+            at = scanner.matched("x", have, a, b)
+            got = [have[p] for p in sorted(at)]
+            assert len(at) == same and got == sorted(got)
+
+
 def test_whole_table(spark):
     lines = {TEMPLATES[k]: k for k in ("MIT-line", "Apache-2.0-line", "GPL-3.0-line", "CC-BY-NC-4.0-line")}
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
