@@ -49,6 +49,15 @@ def test_exact_notices_in_one_long_line():
             assert (name, 0) in hits, (name, before)
 
 
+def test_changed_first_words_after_prose():
+    rng = random.Random(9)
+    for name, first in (("GPL-3.0-notice", "Foo is"), ("AGPL-3.0-notice", "Foo is"), ("GPL-2.0-notice", "Foo is"), ("MPL-2.0", "That")):
+        text = " ".join([first, *TEMPLATES[name].split()[2:]])
+        for before in (150, 400, 1500):
+            hits = [f[1:] for f in found(f"{prose(rng, before)} {text} {prose(rng, 200)}")]
+            assert name in [h[0] for h in hits] and all(h[1] <= 2 for h in hits if h[0] == name), (name, before)
+
+
 def test_overlapping_notices_are_told_once():
     text = " ".join([TEMPLATES["MIT-line"], TEMPLATES["GPL-3.0-notice"], TEMPLATES["CC-BY-4.0"]] * 40)
     hits = [f[1] for f in found(text)]
