@@ -14,8 +14,9 @@ line number) stays, later ones go.
 
 Defined cases: blank lines (only white space) are never dropped; a null text stays
 null, an empty one empty; equal lines are one node, so repeated lines of a document
-and repeated rows drop too (of rows that share doc_id and line number one stays,
-by text order); rows without doc_id come last.
+and repeated rows drop too (of rows that share doc_id and line number one stays, by
+the hash of the text, and one of equal rows); rows without doc_id come last.  Rows that
+share a doc_id, or have none, are judged each by itself.
 """
 
 from __future__ import annotations
@@ -288,28 +289,38 @@ def line_classes(lines: DataFrame, max_edits: int = 2, chars_per_edit: int = 10)
     return resolve_links(buckets, nodes, SKETCH_WORDS, admissible, verify, "line")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a number of its own for every row (stable only once saved)."""
+    return docs.withColumn("_row", F.monotonically_increasing_id())
+
+
 def split_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line, node``; node is null for blank lines."""
+    """``doc_id, row, text_key, line_no, line, node`` of ``numbered`` documents; node is null
+    for blank lines."""
     return docs.where("text is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), F.xxhash64("text").alias("text_key"),
+        F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn(
         "node", F.when(F.length(F.btrim("line", F.lit(" \t\n\x0b\f\r"))) > 0, F.xxhash64("line")))
 
 
 def dedup_lines(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10) -> tuple[DataFrame, DataFrame]:
-    """``(lines, classes)``: the kept or dropped state of every line, ``doc_id,
-    line_no, node, comp, kept``, and the classes of linked lines ``(node, comp)``."""
-    lines = split_lines(docs)
+    """``(lines, classes)``: the kept or dropped state of every line, ``doc_id, row,
+    line_no, node, comp, kept``, and the classes of linked lines ``(node, comp)``.
+    ``row`` tells rows with one doc_id, or none, apart."""
+    lines = split_lines(docs if "_row" in docs.columns else numbered(docs))
     if lines.where("node is not null").groupBy("node").agg(
             (F.max(F.xxhash64(F.lit("b"), "line")) != F.min(F.xxhash64(F.lit("b"), "line"))).alias("clash")).where("clash").limit(1).count():
         raise ValueError("two different lines share a 64-bit key")
     classes = save(line_classes(lines.where("node is not null").select("node", "line"), max_edits, chars_per_edit), "line-classes")
-    placed = lines.select("doc_id", "line_no", "node").join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    # Saved, so that both uses below see the same row numbers.
+    placed = save(lines.select("doc_id", "row", "text_key", "line_no", "node"), "line-places")
+    placed = placed.join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     # Ids that are null sort last: (false, id) < (true, null).
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "line_no")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "line_no", "text_key", "row")
     first = placed.where("comp is not null").groupBy("comp").agg(F.min(place).alias("first"))
     out = placed.join(first, "comp", "left").withColumn(
-        "kept", F.col("comp").isNull() | ((F.col("first.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("first.line_no") == F.col("line_no"))))
-    return out.select("doc_id", "line_no", "node", "comp", "kept"), classes
+        "kept", F.col("comp").isNull() | ((F.col("first.row") == F.col("row")) & (F.col("first.line_no") == F.col("line_no"))))
+    return out.select("doc_id", "row", "line_no", "node", "comp", "kept"), classes
 
 
 def line_report(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10) -> DataFrame:
@@ -333,9 +344,10 @@ def line_report(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10) -
 
 def without_repeated_lines(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``; other columns as they are."""
-    lines, _ = dedup_lines(docs, max_edits, chars_per_edit)
-    gone = lines.where(~F.col("kept")).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    out = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"]), "left").drop(gone["doc_id"])
+    rows = save(numbered(docs), "line-docs")
+    lines, _ = dedup_lines(rows, max_edits, chars_per_edit)
+    gone = lines.where(~F.col("kept")).groupBy(F.col("row").alias("_row")).agg(F.collect_set("line_no").alias("_gone"))
+    out = rows.join(gone, "_row", "left")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(
         F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n"))
     return out.withColumn("text", text).select(*docs.columns)

@@ -135,5 +135,20 @@ def test_query_equals_brute_force_on_equal_and_near_lines(spark, tmp_path):
     assert got == {d: (sum(k[0] == d for k in want), sum(k[0] == d and not v for k, v in want.items())) for d, _ in rows}
 
 
+def test_rows_with_one_id_or_none(spark):
+    copy = "one line that is copied\nand a second one of them"
+    rows = [(None, copy)] * 40 + [(5, copy)] * 40 + [
+        (None, "alpha alone here\nbeta alone here\ngamma alone here"), (None, "x y z\n\n" + copy.split("\n")[0]),
+        (8, "delta stands here\n" + copy.split("\n")[1]), (8, "unlike all others\nepsilon, only in this row")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, i int").repartition(5)
+    out = [(r["doc_id"], r["text"]) for r in without_repeated_lines(df).collect()]
+    assert sorted(map(str, out)) == sorted(map(str, [(None, "")] * 40 + [(5, "")] * 39 + [
+        (5, copy), rows[80], (None, "x y z\n"), (8, "delta stands here"), rows[83]]))
+    report = {r["doc_id"]: r.asDict() for r in line_report(df).collect()}
+    assert [report[5][k] for k in ("n_lines", "n_dropped", "n_kept")] == [80, 78, 2]
+    assert [report[None][k] for k in ("n_lines", "n_blank", "n_dropped", "n_kept")] == [86, 1, 81, 4]
+    assert report[5]["first_dropped_class"] is not None
+
+
 def test_empty_table(spark):
     assert line_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
