@@ -9,7 +9,11 @@ document and item; along it, the best run of equal words with substitutions (a
 different word costs two equal ones) is measured on the words themselves.
 
 A document is contaminated by an item if that run has ``min_equal`` equal words (or all
-words of a shorter item) and at least ``identity`` of its words are equal.
+words of a shorter item) and at least ``identity`` of its words are equal.  With
+``every_run`` (the query and the pipeline) also if any other run along the alignment does,
+or, for an item of 10 to 19 words, if at least ``identity`` of the item's words are in
+place.  An alignment needs a hit: changes that touch every window of an item under every
+mask hide it.
 
 Defined cases: null and empty texts match nothing; items of fewer than ``min_item``
 words are not searched (they are common phrases), items shorter than a mask are searched
@@ -33,6 +37,7 @@ from contentflow.llm.common import (U64, bitmap_slot, hash_strings, id_bitmap, i
 
 MASKS = ("1110111011", "1101101111", "1011110111", "1111011101")
 SPAN = 10
+SHORT = 20  # items of fewer words are also judged as a whole
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’‘…–—¿¡"
 BITS = 1 << 25
 
@@ -78,6 +83,42 @@ def best_run(equal: np.ndarray) -> tuple[int, int, int]:
     return start, end - start, int(equal[start:end].sum())
 
 
+def any_run(equal: np.ndarray, min_equal: int, identity: float) -> tuple[int, int, int] | None:
+    """``(start, length, equal words)`` of the run with the most equal words among all with
+    ``min_equal`` or more that are ``identity`` of its words; None if there is none."""
+    same = np.concatenate(([0], np.cumsum(equal)))
+    score = same - identity * np.arange(len(same))
+    low = np.minimum.accumulate(score)
+    # The longest run up to each end starts where the running minimum first lets it.
+    start = np.searchsorted(-low, -(score + 1e-9), "left")
+    held = same - same[start]
+    if held.max() < max(1, min_equal):
+        return None
+    # Without unequal words around it; the shortest, then the first of those with the most.
+    best = []
+    for end in np.flatnonzero(held == held.max()):
+        at = start[end] + np.flatnonzero(equal[start[end]:end])
+        best.append((int(at[-1] - at[0] + 1), int(at[0])))
+    size, first = min(best)
+    return first, size, int(held.max())
+
+
+def accepted(equal: np.ndarray, n_item: int, min_equal: int, identity: float, every_run: bool) -> tuple[int, int, int] | None:
+    """The run on which an alignment is accepted: the best one if that has enough equal words;
+    with ``every_run`` else any, or, for a short item, the item's words in place if ``identity``
+    of them are equal."""
+    start, n, same = best_run(equal)
+    if same >= min(min_equal, n_item) and same >= identity * n:
+        return start, n, same
+    if every_run and n_item >= SPAN:
+        if n_item < SHORT and equal.sum() >= identity * n_item - 1e-9:
+            at = np.flatnonzero(equal)
+            return int(at[0]), int(at[-1] - at[0] + 1), len(at)
+        if n_item >= min_equal:
+            return any_run(equal, min_equal, identity)
+    return None
+
+
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in text_slices(whole, "text"):
@@ -131,7 +172,7 @@ def _doc_words(bitmap):
     return run
 
 
-def _verify(min_equal: int, identity: float):
+def _verify(min_equal: int, identity: float, every_run: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["row", "item", "doc_start", "item_start", "n_words", "n_equal"]
         for batch in batches:
@@ -142,8 +183,9 @@ def _verify(min_equal: int, identity: float):
                 best = None
                 for shift in batch.column("shifts")[r].as_py():  # document place - item place
                     a, b = max(0, -shift), min(len(item), len(doc) - shift)
-                    start, n, same = best_run(item[a:b] == doc[a + shift:b + shift])
-                    if same >= min(min_equal, len(item)) and same >= identity * n:
+                    hit = accepted(item[a:b] == doc[a + shift:b + shift], len(item), min_equal, identity, every_run) if b > a else None
+                    if hit:
+                        start, n, same = hit
                         found = (same, -n, -(a + start + shift), a + start)
                         best = max(best, found) if best else found
                 if best:
@@ -153,7 +195,8 @@ def _verify(min_equal: int, identity: float):
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, min_equal: int = 13, identity: float = 0.8, min_item: int = 5) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, min_equal: int = 13, identity: float = 0.8, min_item: int = 5,
+                  every_run: bool = False) -> DataFrame:
     """``row, doc_id, item_id, doc_start, item_start, n_words, n_equal``: a row per
     document text and item that contaminates it, with the longest run; places count
     normalised words.  ``row`` is ``xxhash64(doc_id, text)``."""
@@ -179,7 +222,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_equal: int = 13, id
     words = docs.select("row", "text", bitmap_slot("row")).mapInArrow(_doc_words(need), "row long, doc_words binary").join(
         ids, "row").dropDuplicates(["row"])
     checked = pairs.join(words, "row").join(items.select("item", "words"), "item").select("row", "item", "shifts", "doc_words", "words")
-    found = checked.mapInArrow(_verify(min_equal, identity), "row long, item long, doc_start long, item_start long, n_words long, n_equal long")
+    found = checked.mapInArrow(_verify(min_equal, identity, every_run), "row long, item long, doc_start long, item_start long, n_words long, n_equal long")
     found = save(found, "decon-found")
     named = found.join(items.select("item", "item_id"), "item")
     rows = docs.select("row", "doc_id").join(found.select("row").distinct(), "row").distinct()

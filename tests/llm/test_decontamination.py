@@ -2,8 +2,11 @@
 
 import random
 
-from contentflow.llm.decontamination import PUNCTUATION, contaminated_documents, without_contaminated
+import numpy as np
+
+from contentflow.llm.decontamination import PUNCTUATION, any_run, contaminated_documents, without_contaminated
 from contentflow.llm.queries import QUERIES
+from corpus_pipeline import drop_contaminated
 
 SF = "/root/testdata/sf0.01"
 
@@ -88,6 +91,39 @@ def test_planted(spark):
     assert left == sorted(str(d) + str(t) for d, t in docs if (d not in bad and d is not None) or t == "other text")
 
 
+def test_any_run_against_all_runs():
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        equal = rng.random(rng.integers(1, 40)) < rng.choice([0.5, 0.75, 0.9])
+        runs = [(int(equal[i:j].sum()), i - j, -i) for i in range(len(equal)) for j in range(i + 1, len(equal) + 1)
+                if equal[i:j].sum() >= 8 and equal[i:j].sum() >= 0.8 * (j - i) - 1e-9]
+        want = max(runs, default=None)
+        assert any_run(equal, 8, 0.8) == (want and (-want[2], -want[1], want[0]))
+
+
+def test_changed_short_items_and_a_verbatim_part(spark, tmp_path):
+    rng = random.Random(11)
+    say = lambda n, c: [f"{c}{rng.randrange(10 ** 6)}" for _ in range(n)]
+    items = {n: say(n, "i") for n in (10, 11, 12, 13, 14, 16, 19, 100)}
+    docs, hit = [], set()
+
+    def put(doc, n, changed, found=True):
+        w = ["zz" if k in changed else x for k, x in enumerate(items[n])]
+        docs.append((doc, " ".join([*say(20, "d"), *w, *say(20, "d")])))
+        if found:
+            hit.add((doc, n))
+
+    put(1, 10, {3}), put(2, 11, {0}), put(3, 12, {11}), put(4, 13, {5}), put(5, 14, {3, 10})
+    put(6, 16, {2, 13}), put(7, 19, {4, 9, 16}), put(8, 13, {0, 1, 12}, False), put(9, 10, {3, 7, 9}, False)
+    put(10, 100, {k for k in range(15, 95) if k % 4 == 3} | set(range(95, 100)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    assert {(r["doc_id"], r["item_id"]) for r in QUERIES["op5_decontamination"](spark, str(tmp_path)).collect()} == hit
+    assert [r["doc_id"] for r in drop_contaminated(spark, df, str(tmp_path)).orderBy("doc_id").collect()] == [8, 9]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
