@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from contentflow.session import build_session  # noqa: E402
 
@@ -13,7 +14,3 @@ def spark():
     s = build_session("local[4]", app="contentflow-tests", shuffle_partitions=4)
     yield s
     s.stop()
-
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"

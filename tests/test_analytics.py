@@ -103,7 +103,7 @@ def test_running_sum_matches_window_with_hot_key(spark):
 
 
 def _chapters_pandas():
-    from conftest import SF_ORACLE
+    from table_dirs import SF_ORACLE
     d = pd.read_parquet(f"{SF_ORACLE}/documents.parquet", columns=["doc_id", "n_chars"])
     return d.rename(columns={"doc_id": "chapter_number", "n_chars": "image_count"}) \
         .sort_values("chapter_number").reset_index(drop=True)
@@ -112,7 +112,7 @@ def _chapters_pandas():
 def test_table_rolling_bucket_top10_match_pandas(spark):
     """WIN-01, AGG-06, SRT-04 over the whole sf0.01 chapters table against the
     pandas expressions the dashboard uses (pandas is the reference's engine)."""
-    from conftest import SF_ORACLE
+    from table_dirs import SF_ORACLE
     from contentflow.plans import bindings as B
     pdf = _chapters_pandas()
     ch = B.chapters(spark, SF_ORACLE)

@@ -12,7 +12,7 @@ from contentflow.session import ensure_checkpoint_dir
 from contentflow.sources import io as IO
 from contentflow.streaming import jobs as S
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 
 
 def _scratch(spark, tag):

@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from codegen_report import JIT_LIMIT, max_method_size  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from table_dirs import SF_SMALL  # noqa: E402
 
 
 @pytest.mark.parametrize("name", ["scl_number_format", "pipe_mentions_from_responses",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from contentflow.functions import text as TX
 from contentflow.operators import frontier as FR
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 
 
 def test_float_text_rules(spark):
@@ -78,7 +78,7 @@ def test_regex_links_match_stdlib_parser(spark):
 def test_parser_fallback_equals_regex_on_whole_table(spark):
     """HTM-01: the regex extraction and the stdlib-parser fallback give the
     same rows on every page of the sf0.01 table (distributed comparison)."""
-    from conftest import SF_ORACLE
+    from table_dirs import SF_ORACLE
     pages = spark.read.parquet(f"{SF_ORACLE}/pages.parquet")
     a = FR.anchor_links(pages).select(F.col("page_id").cast("long"), "pos", "href")
     b = FR.anchor_links_parsed(pages)

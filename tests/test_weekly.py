@@ -9,7 +9,7 @@ from contentflow.plans import bindings as B
 from contentflow.plans import weekly as W
 from contentflow.session import ensure_checkpoint_dir
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 
 
 def _scratch(spark, tag):
