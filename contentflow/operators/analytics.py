@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import (bucket_floor, bucket_label, chap_label, chapter_label,
                               pages_label, range_label, round_half_even)
@@ -91,17 +92,40 @@ def centered_mean(df: DataFrame, order: list[str], value: str, n: int = 50, *,
     return res.where(F.col("_blk") == F.col("_home")).drop("_blk", "_home", "_i")
 
 
-def _slice(df: DataFrame, col: str, slices: int | None) -> Column:
-    """Number of the range slice that a row's ``col`` falls into.
+SAMPLES_PER_SLICE = 16
+MAX_SLICES = 1024
 
-    The cut points are approximate quantiles, taken once and put into the plan as
-    constants: a task that runs again puts each row into the same slice, so nothing
-    has to be copied to pin the ranges."""
+
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return all(_hashable(f.dataType) for f in kind.fields) if isinstance(kind, T.StructType) else True
+
+
+def _sliced(df: DataFrame, part: list[str], order: list[str], slices: int | None) -> tuple[DataFrame, list[Column]]:
+    """``df`` with the number ``_s`` of its range slice, and the order inside a slice.
+
+    The slices cut the whole composite order (``part``, ``order``, then a hash of the
+    row), so neither a key nor an order value that holds most rows stays in one.  The
+    edges come from the rows with the smallest hashes (a fixed number of them): a
+    scalar subquery that runs with the query, always gives the same edges for the same
+    rows, and is searched by halving."""
     slices = slices or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = df.agg(F.percentile_approx(col, [i / slices for i in range(1, slices)], 10 * slices)).first()[0]
-    kind = df.schema[col].dataType
-    edges = F.array(*[F.lit(c).cast(kind) for c in sorted(set(cuts or []))]).cast(f"array<{kind.simpleString()}>")
-    return F.coalesce(F.size(F.filter(edges, lambda c: c < F.col(col))), F.lit(-1))
+    slices = min(slices, MAX_SLICES)
+    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)])
+    keyed = df.withColumn("_tie", row)
+    place = F.struct(*part, *order, "_tie")
+    drawn = keyed.select(place.alias("p")).orderBy(F.xxhash64(F.lit(17), "p._tie"), "p._tie").limit(slices * SAMPLES_PER_SLICE)
+    ends = drawn.agg(F.sort_array(F.collect_list("p")).alias("e")).select(F.transform(
+        F.sequence(F.lit(1), F.lit(slices - 1)),
+        lambda i: F.get("e", F.floor(i * F.size("e") / F.lit(slices)).cast("int"))).alias("x"))
+    steps = [1 << i for i in reversed(range((slices - 1).bit_length()))]
+    found = F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda at, step: at + F.when(
+        F.coalesce(F.get("_edges", at + step - 1) <= place, F.lit(False)), step).otherwise(0))
+    cut = keyed.withColumn("_edges", ends.scalar()).withColumn("_s", found).drop("_edges")
+    return cut, [*[F.col(c) for c in order], F.col("_tie")]
 
 
 def _same(df: DataFrame, other: DataFrame, cols: list[str]) -> Column:
@@ -114,41 +138,41 @@ def _same(df: DataFrame, other: DataFrame, cols: list[str]) -> Column:
 def dense_index(df: DataFrame, order: list[str], name: str = "_i", *,
                 partition: list[str] | None = None, slices: int | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (per ``partition`` key) without a
-    window over a whole key.
+    window over a whole key or a whole order value.
 
-    Rows are cut into range slices of the first ``order`` column; the counts of
-    (key, slice) give each slice's offset, and a window numbers the rows inside a
-    (key, slice).  A key holding most rows is spread over the slices."""
+    Rows are cut into range slices of the composite order; the counts of (key, slice)
+    give each slice's offset, and a window numbers the rows inside a (key, slice).
+    Rows with equal order are numbered by a hash of the row (equal rows share a slice)."""
     part = list(partition or [])
-    cut = df.withColumn("_s", _slice(df, order[0], slices))
+    cut, inner = _sliced(df, part, order, slices)
     counts = cut.groupBy("_s", *part).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*[F.col(c).alias("_o" + c) for c in ["_s", *part]],
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = F.row_number().over(Window.partitionBy("_s", *part).orderBy(*order)) - 1
+    inside = F.row_number().over(Window.partitionBy("_s", *part).orderBy(*inner)) - 1
     numbered = cut.withColumn("_in", inside)
     return (numbered.join(offsets, _same(numbered, offsets, ["_s", *part]))
             .withColumn(name, F.col("_off") + F.col("_in"))
-            .drop("_s", "_in", "_off", *["_o" + c for c in ["_s", *part]]))
+            .drop("_s", "_tie", "_in", "_off", *["_o" + c for c in ["_s", *part]]))
 
 
 def running_sum(df: DataFrame, order: list[str], value: str, name: str = "_cum", *,
                 partition: list[str] | None = None, slices: int | None = None) -> DataFrame:
     """Running total of ``value`` along ``order`` (per ``partition`` key), inclusive of
-    the current row; sliced like ``dense_index``.  ``order`` must be a total order."""
+    the current row; sliced like ``dense_index``.  ``order`` should be a total order."""
     part = list(partition or [])
-    cut = df.withColumn("_s", _slice(df, order[0], slices))
+    cut, inner = _sliced(df, part, order, slices)
     totals = cut.groupBy("_s", *part).agg(F.sum(value).alias("_tot"))
     before = Window.partitionBy(*part).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*[F.col(c).alias("_o" + c) for c in ["_s", *part]],
                             F.coalesce(F.sum("_tot").over(before), F.lit(0).cast(
                                 totals.schema["_tot"].dataType)).alias("_off"))
-    local = F.sum(value).over(Window.partitionBy("_s", *part).orderBy(*order)
+    local = F.sum(value).over(Window.partitionBy("_s", *part).orderBy(*inner)
                               .rowsBetween(Window.unboundedPreceding, 0))
     summed = cut.withColumn("_local", local)
     return (summed.join(offsets, _same(summed, offsets, ["_s", *part]))
             .withColumn(name, F.col("_off") + F.coalesce("_local", F.lit(0)))
-            .drop("_s", "_local", "_off", *["_o" + c for c in ["_s", *part]]))
+            .drop("_s", "_tie", "_local", "_off", *["_o" + c for c in ["_s", *part]]))
 
 
 # --------------------------------------------------------------------------
