@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contentflow.llm import (chat_format, cover_tree, decontamination, length_histogram, licenses, line_dedup, merkle, mixing,
+from contentflow.llm import (chat_format, cover_tree, decontamination, graph_search, length_histogram, licenses, line_dedup, merkle, mixing,
                              ngram_jaccard, prefix_trie, token_output, toxicity)
 from contentflow.llm.tokens import vocabulary_path
 
@@ -67,8 +67,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(_read(spark, sf_dir, "documents"))
 
 
+def op13_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(_read(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_cover_tree, op2_line_dedup, op3_mixing, op4_token_output, op5_decontamination,
-                            op6_chat_format, op7_toxicity, op8_ngram_jaccard, op9_licenses, op10_token_counts, op11_prefix_trie, op12_merkle_manifest)
+                            op6_chat_format, op7_toxicity, op8_ngram_jaccard, op9_licenses, op10_token_counts, op11_prefix_trie, op12_merkle_manifest, op13_graph_search)
 }
 ORACLE_SQL: dict[str, str] = {"op3_mixing": mixing.ORACLE}
