@@ -156,23 +156,24 @@ def dense_index(df: DataFrame, order: list[str], name: str = "_i", *,
             .drop("_s", "_tie", "_in", "_off", *["_o" + c for c in ["_s", *part]]))
 
 
-def running_sum(df: DataFrame, order: list[str], value: str, name: str = "_cum", *,
+def running_sum(df: DataFrame, order: list[str], value: str | list[str], name: str | list[str] = "_cum", *,
                 partition: list[str] | None = None, slices: int | None = None) -> DataFrame:
     """Running total of ``value`` along ``order`` (per ``partition`` key), inclusive of
-    the current row; sliced like ``dense_index``.  ``order`` should be a total order."""
+    the current row; sliced like ``dense_index``.  ``order`` should be a total order.
+    Lists of values and names give several totals in one pass."""
     part = list(partition or [])
+    values, names = ([value], [name]) if isinstance(value, str) else (value, name)
     cut, inner = _sliced(df, part, order, slices)
-    totals = cut.groupBy("_s", *part).agg(F.sum(value).alias("_tot"))
+    totals = cut.groupBy("_s", *part).agg(*[F.sum(v).alias(f"_tot{i}") for i, v in enumerate(values)])
     before = Window.partitionBy(*part).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*[F.col(c).alias("_o" + c) for c in ["_s", *part]],
-                            F.coalesce(F.sum("_tot").over(before), F.lit(0).cast(
-                                totals.schema["_tot"].dataType)).alias("_off"))
-    local = F.sum(value).over(Window.partitionBy("_s", *part).orderBy(*inner)
-                              .rowsBetween(Window.unboundedPreceding, 0))
-    summed = cut.withColumn("_local", local)
+    offsets = totals.select(*[F.col(c).alias("_o" + c) for c in ["_s", *part]], *[
+        F.coalesce(F.sum(f"_tot{i}").over(before), F.lit(0).cast(totals.schema[f"_tot{i}"].dataType)).alias(f"_off{i}") for i in range(len(values))])
+    sofar = Window.partitionBy("_s", *part).orderBy(*inner).rowsBetween(Window.unboundedPreceding, 0)
+    summed = cut.withColumns({f"_local{i}": F.sum(v).over(sofar) for i, v in enumerate(values)})
+    each = [(n, f"_off{i}", f"_local{i}") for i, n in enumerate(names)]
     return (summed.join(offsets, _same(summed, offsets, ["_s", *part]))
-            .withColumn(name, F.col("_off") + F.coalesce("_local", F.lit(0)))
-            .drop("_s", "_tie", "_local", "_off", *["_o" + c for c in ["_s", *part]]))
+            .withColumns({n: F.col(off) + F.coalesce(local, F.lit(0)) for n, off, local in each})
+            .drop("_s", "_tie", *[c for _, off, local in each for c in (off, local)], *["_o" + c for c in ["_s", *part]]))
 
 
 # --------------------------------------------------------------------------
