@@ -139,14 +139,15 @@ def burst(rows: DataFrame, container: int, tag: str) -> tuple[DataFrame, DataFra
                               "at": F.lit(0), "path": F.array().cast("array<binary>")})
     calm, heads = [], []
     while True:
-        large = open_.groupBy("key").agg(F.sum(F.col("n") - F.col("at") + 1).alias("turns"), F.count(F.lit(1)).alias("c")) \
-            .where((F.col("turns") > container) & (F.col("c") > 1)).select("key")
-        marked = save(open_.join(large.withColumn("big", F.lit(True)), "key", "left"), f"{tag}-burst")
-        calm.append(marked.where("big IS NULL").drop("big"))
-        over = marked.where("big").drop("big")
-        if over.limit(1).count() == 0:
+        large = save(open_.groupBy("key").agg(F.sum(F.col("n") - F.col("at") + 1).alias("turns"), F.count(F.lit(1)).alias("c"))
+                     .where((F.col("turns") > container) & (F.col("c") > 1)).select("key", F.lit(True).alias("big")), f"{tag}-large")
+        if large.limit(1).count() == 0:
+            calm.append(open_)
             break
-        through = over.withColumn("nxt", F.when(F.col("n") > F.col("at"), _step(F.col("key"), F.col("at"))))
+        marked = save(open_.join(large, "key", "left"), f"{tag}-burst")
+        calm.append(marked.where("big IS NULL").drop("big"))
+        through = marked.where("big").drop("big")
+        through = through.withColumn("nxt", F.when(F.col("n") > F.col("at"), _step(F.col("key"), F.col("at"))))
         heads.append(through)
         open_ = through.where("nxt IS NOT NULL").withColumns({
             "path": F.concat("path", F.array("key")), "at": F.col("at") + 1, "key": F.col("nxt")}).drop("nxt")
@@ -160,12 +161,13 @@ def burst(rows: DataFrame, container: int, tag: str) -> tuple[DataFrame, DataFra
 
 
 NODE = ("key binary, path array<binary>, k long, at int, level int, conv long, parent long, n_convs long, n_children long, "
-        "chars long, leaves long, saved long, ending binary")
+        "chars long, leaves long, saved long, ending binary, owners array<long>")
 
 
 def sweep(layer: int, batch_turns: int):
     """``mapInArrow`` over rows sorted by (key, ids): the nodes of whole containers."""
-    kinds = {"binary": pa.binary(), "array<binary>": pa.list_(pa.binary()), "long": pa.int64(), "int": pa.int32()}
+    kinds = {"binary": pa.binary(), "array<binary>": pa.list_(pa.binary()), "array<long>": pa.list_(pa.int64()), "long": pa.int64(),
+             "int": pa.int32()}
     schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in NODE.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +203,6 @@ def sweep(layer: int, batch_turns: int):
         n = t.column("n").to_numpy().astype(np.int64) - at
         cnt, conv = t.column("cnt").to_numpy(), t.column("conv").to_numpy()
         last = t.column("last").to_numpy().astype(np.int64)
-        hang_saved, hang_leaves = t.column("hang_saved").to_numpy(), t.column("hang_leaves").to_numpy()
         # Turn ids below the container, row after row; start[i] is row i's first.
         start = np.concatenate(([0], np.cumsum(n)))
         ids = np.frombuffer(b"".join(x[a * ID:] for x, a in zip(t.column("ids").to_pylist(), at)), np.uint64).reshape(-1, 2)
@@ -222,6 +223,7 @@ def sweep(layer: int, batch_turns: int):
         # Level by level downwards: members, owner, parent, children.
         levels = []
         rows = np.arange(m)
+        owner = []  # per level, the owner of the node that each row passes
         above = np.zeros(m, np.int64)  # the node of the level above, of every row
         level = 0
         while len(rows):
@@ -240,17 +242,17 @@ def sweep(layer: int, batch_turns: int):
             levels.append({"lead": lead, "own": own, "up": above[lead], "members": np.add.reduceat(cnt[rows], first),
                            "chars": level_chars, "ends": ends, "children": np.zeros(len(first), np.int64)})
             above[rows] = mine
+            owner.append(own[np.minimum(above, len(own) - 1)])
             rows = rows[~stop]
             level += 1
         for below, up in zip(levels[1:], levels[:-1]):
             np.add.at(up["children"], below["up"], 1)
-        # Upwards: sums of the subtrees.  A full suffix's end stands for what hangs below it.
+        # Upwards: sums of the subtrees, without what hangs below the layer's end.
         for depth in range(len(levels) - 1, -1, -1):
             x = levels[depth]
             bottom = at[x["lead"]] + depth == layer
-            end = np.maximum(x["ends"], 0)
-            x["saved"] = np.where(bottom, hang_saved[end], (x["members"] - 1) * x["chars"])
-            x["leaves"] = np.where(bottom, hang_leaves[end], (x["children"] == 0).astype(np.int64))
+            x["saved"] = np.where(bottom, 0, (x["members"] - 1) * x["chars"])
+            x["leaves"] = ((x["children"] == 0) & ~bottom).astype(np.int64)
             if depth + 1 < len(levels):
                 below = levels[depth + 1]
                 np.add.at(x["saved"], below["up"], below["saved"])
@@ -261,13 +263,18 @@ def sweep(layer: int, batch_turns: int):
             root = depth == 0
             parent = pa.nulls(some, pa.int64()) if root else pa.array(levels[depth - 1]["own"][x["up"]])
             ends = pa.array(x["ends"], mask=x["ends"] < 0)
+            # The end of a full suffix names the owners of the nodes above it in its container.
+            bottom = at[x["lead"]] + depth == layer
+            above = np.stack([o[x["lead"]] for o in owner[:depth]], axis=1) if depth else np.zeros((some, 0), np.int64)
+            owners = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(bottom * depth))), pa.int32()), pa.array(above[bottom].ravel()))
+            owners = pc.if_else(pa.array(bottom), owners, pa.scalar(None, owners.type))
             parts.append(pa.table([
                 t.column("key").take(lead) if root else pa.nulls(some, pa.binary()),
-                t.column("path").take(lead) if root else pa.nulls(some, schema.field("path").type),
+                t.column("path").take(lead) if root or bottom.any() else pa.nulls(some, schema.field("path").type),
                 t.column("k").take(lead), t.column("at").take(lead),
                 pa.array((at[x["lead"]] + depth).astype(np.int32)), pa.array(x["own"]), parent, pa.array(x["members"]),
                 pa.array(x["children"]), pa.array(x["chars"]), pa.array(x["leaves"]), pa.array(x["saved"]),
-                t.column("ending").combine_chunks().take(ends)], names=schema.names).cast(schema))
+                t.column("ending").combine_chunks().take(ends), owners], names=schema.names).cast(schema))
         return pa.concat_tables(parts)
 
     return run
@@ -278,12 +285,15 @@ def _equal_to_last(key: pa.Array) -> np.ndarray:
     return np.array([v == values[-1] for v in values])
 
 
-def layer_nodes(rows: DataFrame, layer: int, container: int, tag: str) -> DataFrame:
-    """All nodes of all layers: ``k, level, conv, parent, n_convs, n_children, chars, leaves,
-    saved, ending``; a layer's root (level 0) has no parent here, its end (level
-    ``layer``) has only conv and parent that count."""
+def layer_nodes(rows: DataFrame, container: int, layer: int, tag: str) -> tuple[DataFrame, DataFrame]:
+    """All nodes of all layers, and what the ends of full suffixes hang from.
+
+    Nodes: ``k, level, conv, parent, n_convs, n_children, chars, leaves, saved, ending``;
+    a layer's root (level 0) has no parent here, of its end (level ``layer``) only conv
+    and parent count; sums leave out what is below the layer.  Ends: ``ending`` (the full
+    suffix), ``k``, ``level`` and ``conv`` of each node above it in its layer."""
     calm, above = burst(rows, container, tag)
-    cols = ["key", "path", "k", "at", "ids", "chars", "n", "last", "cnt", "conv", "hang_saved", "hang_leaves", "ending"]
+    cols = ["key", "path", "k", "at", "ids", "chars", "n", "last", "cnt", "conv", "ending"]
     swept = save(calm.select(*cols).repartition("key").sortWithinPartitions("key", "ids")
                  .mapInArrow(sweep(layer, container), NODE), f"{tag}-nodes")
     # Heads: members from the rows that pass them, sums from what lies below them.
@@ -297,16 +307,22 @@ def layer_nodes(rows: DataFrame, layer: int, container: int, tag: str) -> DataFr
                                       F.first("chars").cast("long").alias("chars"), F.max("ending").alias("ending"))
     head = save(head, f"{tag}-heads")
     here = (F.col("n_convs") - 1) * F.col("chars")
-    below = swept.where("path IS NOT NULL").select(F.explode("path").alias("key"), "leaves", "saved").unionByName(
+    roots = swept.where("level = at")
+    below = roots.select(F.explode("path").alias("key"), "leaves", "saved").unionByName(
         head.select(F.explode(F.concat("path", F.array("key"))).alias("key"), F.lit(0).cast("long").alias("leaves"), here.alias("saved")))
     sums = below.groupBy("key").agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
     heads = head.join(sums, "key").select("path", "k", F.col("at").alias("level"), "conv", "n_convs", "n_children", "chars", "leaves", "saved", "ending")
     # A container's root, and a head, has the last head of its path as parent.
-    tops = swept.where("path IS NOT NULL").select(*heads.columns).unionByName(heads)
+    tops = roots.select(*heads.columns).unionByName(heads)
     up = head.select(F.col("key").alias("up"), F.col("conv").alias("parent"))
     inner = tops.where("size(path) > 0").withColumn("up", F.element_at("path", -1)).join(up, "up").drop("up", "path")
     first = tops.where("size(path) = 0").drop("path").withColumn("parent", F.lit(None).cast("long"))
-    return swept.where("path IS NULL").select(*inner.columns).unionByName(inner).unionByName(first.select(*inner.columns))
+    nodes = swept.where("level > at").select(*inner.columns).unionByName(inner).unionByName(first.select(*inner.columns))
+    full = swept.where(F.col("level") == layer)
+    ends = full.select("ending", "k", "at", F.posexplode("owners").alias("j", "conv")).select(
+        "ending", "k", (F.col("at") + F.col("j")).alias("level"), "conv")
+    over = full.select("ending", F.explode("path").alias("key")).join(head.select("key", "k", F.col("at").alias("level"), "conv"), "key")
+    return nodes, ends.unionByName(over.select(*ends.columns))
 
 
 # ---------------------------------------------------------------- digests of members
@@ -351,27 +367,28 @@ def prefix_trie(turns: DataFrame, layer: int = 64, container: int = 1 << 16) ->
         F.count(F.lit(1)).alias("cnt"), F.min("conv").alias("conv"), F.first("k").alias("k"), F.first("head").alias("head"), F.first("ids").alias("ids"),
         F.first("chars").alias("chars"), F.first("n").alias("n"), F.first("last").alias("last"))
     rows = save(rows, "trie-rows")
-    # What conversations own in the layers below the first, summed for every layer above.
-    zero = F.lit(0).cast("long")
-    lower = rows.where("k > 0").withColumns({"hang_saved": zero, "hang_leaves": zero})
-    owned = layer_nodes(lower, layer, container, "trie-lower").where(F.col("level") < layer).groupBy("conv", "k").agg(
+    nodes, ends = layer_nodes(rows, container, layer, "trie")
+    depth = (F.col("k") * layer + F.col("level")).alias("depth")
+    inside = nodes.where(F.col("level") < layer)
+    # What conversations own in the layers below the first, summed for the layers above.
+    owned = inside.where("k > 0").groupBy("conv", "k").agg(
         F.sum((F.col("n_convs") - 1) * F.col("chars")).alias("saved"), F.sum((F.col("n_children") == 0).cast("long")).alias("leaves"))
     deep = parts.where("k > 0").select("conv", "k").join(owned, ["conv", "k"], "left").na.fill(0, ["saved", "leaves"]).withColumn("rank", -F.col("k"))
-    deep = save(deep, "trie-owned")
-    saved = running_sum(deep, ["rank"], "saved", "hang_saved", partition=["conv"]).select("conv", (F.col("k") - 1).alias("k"), "hang_saved")
-    leaves = running_sum(deep, ["rank"], "leaves", "hang_leaves", partition=["conv"]).select("conv", (F.col("k") - 1).alias("k"), "hang_leaves")
-    hang = parts.where(F.col("n") == layer).select("conv", "k", "ending").join(saved, ["conv", "k"]).join(leaves, ["conv", "k"]).groupBy("ending").agg(
-        F.sum("hang_saved").alias("hang_saved"), F.sum("hang_leaves").alias("hang_leaves"))
-    weighed = rows.join(hang, "ending", "left").na.fill(0, ["hang_saved", "hang_leaves"])
-    nodes = layer_nodes(weighed, layer, container, "trie")
-    digests = member_digests(parts.where(F.col("n") < layer).select("ending", "conv"))
-    here = nodes.where(F.col("level") < layer)
+    total = running_sum(save(deep, "trie-owned"), ["rank"], ["saved", "leaves"], ["all_saved", "all_leaves"], partition=["conv"])
+    hang = parts.where(F.col("n") == layer).select("conv", (F.col("k") + 1).alias("k"), "ending").join(total, ["conv", "k"]).groupBy("ending").agg(
+        F.sum("all_saved").alias("saved"), F.sum("all_leaves").alias("leaves"))
+    none = {"parent": F.lit(None).cast("long"), "n_convs": F.lit(None).cast("long"), "n_children": F.lit(None).cast("long"), "ending": F.lit(None).cast("binary")}
+    hung = ends.join(hang, "ending").drop("ending").groupBy("conv", depth).agg(F.sum("saved").alias("saved"), F.sum("leaves").alias("leaves")).withColumns(none)
     # A layer's root is the node at the end of the layer above: the parent is known there.
-    top = here.where("level = 0").drop("parent").join(
-        nodes.where(F.col("level") == layer).select((F.col("k") + 1).alias("k"), "conv", "parent"), ["k", "conv"], "left")
-    every = here.where("level > 0").unionByName(top.select(*here.columns))
-    ends = every.where("ending IS NOT NULL").join(digests, "ending", "left").select(*here.columns, "ends_sha256")
-    done = ends.unionByName(every.where("ending IS NULL").withColumn("ends_sha256", F.lit(None).cast("string")))
-    return done.select(F.col("conv").alias("conv_id"), (F.col("k") * layer + F.col("level")).alias("depth"), F.col("parent").alias("parent_conv_id"), "n_convs",
-                       "n_children", F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"),
-                       F.coalesce("ends_sha256", F.lit(NO_MEMBERS)).alias("ends_sha256"))
+    last = nodes.where(F.col("level") == layer).select("conv", depth, "parent").withColumns(
+        {k: v for k, v in none.items() if k != "parent"} | {"saved": F.lit(0).cast("long"), "leaves": F.lit(0).cast("long")})
+    cols = ["conv", "depth", "parent", "n_convs", "n_children", "leaves", "saved", "ending"]
+    every = inside.select("conv", depth, *cols[2:]).unionByName(hung.select(*cols)).unionByName(last.select(*cols)).groupBy("conv", "depth").agg(
+        F.max("parent").alias("parent"), F.max("n_convs").alias("n_convs"), F.max("n_children").alias("n_children"), F.sum("leaves").alias("leaves"),
+        F.sum("saved").alias("saved"), F.max("ending").alias("ending"))
+    every = save(every, "trie-every")
+    digests = member_digests(parts.where(F.col("n") < layer).select("ending", "conv"))
+    ended = every.where("ending IS NOT NULL").join(digests, "ending", "left").select(*cols, "ends_sha256")
+    done = ended.unionByName(every.where("ending IS NULL").select(*cols).withColumn("ends_sha256", F.lit(None).cast("string")))
+    return done.select(F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children",
+                       F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(NO_MEMBERS)).alias("ends_sha256"))
