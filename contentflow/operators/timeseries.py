@@ -55,35 +55,84 @@ def align(df: DataFrame, series: list[str], how: str, period: str, *, value: str
                     *series, "value"))
 
 
+# A series is scanned in segments of one day; a block holds the summaries of so many.
+SEGMENT = 86400
+BLOCK = 512
+
+
+def segment(ts: str = "period_start") -> Column:
+    return F.floor(F.unix_timestamp(ts) / SEGMENT)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join in which null keys meet; the right keys go."""
+    other = right.select(*[F.col(k).alias("_r" + k) if k in keys else F.col(k) for k in right.columns])
+    cond = [left[k].eqNullSafe(other["_r" + k]) for k in keys]
+    return left.join(other, cond).drop(*["_r" + k for k in keys])
+
+
+def _around(summary: DataFrame, series: list[str]) -> DataFrame:
+    """What a segment needs from the others of its series: ``_carry`` (last value before
+    it), ``_next`` (first period after it) and ``_hi`` (the series' last period).
+
+    Segments are scanned per block, blocks as one short array per series (a block is 512
+    days), so no window runs over a series."""
+    blocked = summary.withColumn("_blk", F.floor(F.col("_seg") / BLOCK))
+    w = Window.partitionBy(*series, "_blk").orderBy("_seg")
+    inside = blocked.withColumns({
+        "_before": F.last("_val", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        "_after": F.lead("_first").over(w)})
+    blocks = blocked.groupBy(*series, "_blk").agg(
+        F.min("_first").alias("first"), F.max("_last").alias("last"),
+        F.max(F.when(F.col("_val").isNotNull(), F.struct("_seg", F.col("_val").alias("v")))).alias("v"))
+    every = blocks.groupBy(*series).agg(F.sort_array(F.collect_list(F.struct("_blk", "first", "last", "v"))).alias("_b"))
+    each = every.select(*series, "_b", F.explode("_b").alias("_x"))
+    older = F.filter("_b", lambda y: (y["_blk"] < F.col("_x._blk")) & y["v"].isNotNull())
+    newer = F.filter("_b", lambda y: y["_blk"] > F.col("_x._blk"))
+    edge = each.select(*series, F.col("_x._blk").alias("_blk"), F.get(older, F.size(older) - 1)["v"]["v"].alias("_older"),
+                       F.get(newer, F.lit(0))["first"].alias("_newer"), F.array_max(F.transform("_b", lambda y: y["last"])).alias("_hi"))
+    return join_null_safe(inside, edge, [*series, "_blk"]).select(
+        *series, "_seg", F.coalesce("_before", "_older").alias("_carry"), F.coalesce("_after", "_newer").alias("_next"), "_hi")
+
+
 def carry_forward(aligned: DataFrame, series: list[str], period: str, *,
                   start=None, end=None) -> DataFrame:
     """NEXT_OLDER completion: one row per series and period between the
     series' first period (or ``start``) and its last (or ``end``); periods
     without a sample take the latest earlier value.
 
-    Each aligned row is repeated up to the period before the next one: one scan, one
-    window over the aligned rows (not raw samples), no grid and no join."""
+    A segmented scan: windows run inside (series, day) only; a summary per (series, day)
+    carries the last value over the days' ends.  Each aligned row is then repeated up to
+    the period before the next one, a day of periods at a time."""
     secs = period_seconds(period)
     step = F.expr(f"INTERVAL {secs} SECONDS")
-    order = Window.partitionBy(*series).orderBy("period_start")
-    whole = Window.partitionBy(*series)
-    hi = F.max("period_start").over(whole) if end is None else F.lit(end).cast("timestamp")
-    nxt = F.lead("period_start").over(order)
-    rows = aligned.select(*series, "period_start", F.coalesce(nxt - step, hi).alias("_last"), "value")
+    rows = aligned.select(*series, "period_start", "value", segment().alias("_seg"))
+    known = F.when(F.col("value").isNotNull(), F.struct("period_start", "value"))
+    summary = rows.groupBy(*series, "_seg").agg(F.min("period_start").alias("_first"), F.max("period_start").alias("_last"),
+                                               F.max(known)["value"].alias("_val"))
+    day = Window.partitionBy(*series, "_seg").orderBy("period_start")
+    local = join_null_safe(rows, _around(summary, series), [*series, "_seg"])
+    hi = F.col("_hi") if end is None else F.lit(end).cast("timestamp")
+    placed = local.select(
+        *series, "period_start", F.coalesce(F.coalesce(F.lead("period_start").over(day), F.col("_next")) - step, hi).alias("_to"),
+        F.coalesce(F.last("value", ignorenulls=True).over(day.rowsBetween(Window.unboundedPreceding, 0)), F.col("_carry")).alias("value"))
     if start is not None:
         # Periods before the first sample have no value yet.
         lo = F.lit(start).cast("timestamp")
         lead_in = aligned.groupBy(*series).agg(F.min("period_start").alias("_f")).where(F.col("_f") > lo).select(
-            *series, lo.alias("period_start"), (F.col("_f") - step).alias("_last"),
+            *series, lo.alias("period_start"), (F.col("_f") - step).alias("_to"),
             F.lit(None).cast(aligned.schema["value"].dataType).alias("value"))
-        rows = rows.unionByName(lead_in)
-    filled = rows.where(F.col("_last") >= F.col("period_start")).select(
-        *series, F.explode(F.sequence("period_start", "_last", step)).alias("period_start"), "value")
-    # A period whose own value is NULL takes the one before it, too.
-    value = F.last("value", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+        placed = placed.unionByName(lead_in)
+    begin, stop = F.unix_timestamp("period_start"), F.unix_timestamp("_to")
+    days = placed.where(F.col("_to") >= F.col("period_start")).withColumn(
+        "_d", F.explode(F.sequence(F.floor(begin / SEGMENT), F.floor(stop / SEGMENT))))
+    first = F.ceil(F.greatest(F.lit(0), F.col("_d") * SEGMENT - begin) / secs)
+    last = F.floor((F.least((F.col("_d") + 1) * SEGMENT - 1, stop) - begin) / secs)
+    filled = days.where(first <= last).select(*series, "value", "period_start", F.explode(F.sequence(first, last)).alias("_k")).select(
+        *series, (F.col("period_start") + F.make_dt_interval(secs=F.col("_k") * secs)).alias("period_start"), "value")
     if start is not None:
         filled = filled.where(F.col("period_start") >= F.lit(start).cast("timestamp"))
-    return filled.select(*series, "period_start", (F.col("period_start") + step).alias("period_end"), value.alias("value"))
+    return filled.select(*series, "period_start", (F.col("period_start") + step).alias("period_end"), "value")
 
 
 def reduce_series(aligned: DataFrame, by: list[str], how: str) -> DataFrame:

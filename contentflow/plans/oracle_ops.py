@@ -89,6 +89,16 @@ SELECT job_name, min(period_start) AS opened_at, max(period_start) AS last_firin
 FROM t GROUP BY job_name, sid"""
 
 
+ANY_INCIDENTS = f"""WITH {EXEC},
+m AS (SELECT job_name, date_trunc('minute', ts) AS mi, 0 AS c FROM executions WHERE result = 'failed'
+      UNION ALL SELECT job_name, date_trunc('minute', ts), 1 FROM executions WHERE execution_time > 95),
+s AS (SELECT *, CASE WHEN mi - lag(mi) OVER (PARTITION BY job_name ORDER BY mi, c) <= INTERVAL '1 hour' THEN 0 ELSE 1 END AS new FROM m),
+t AS (SELECT *, sum(new) OVER (PARTITION BY job_name ORDER BY mi, c ROWS UNBOUNDED PRECEDING) AS sid FROM s)
+SELECT job_name, min(mi) AS opened_at, max(mi) AS last_firing, max(mi) + INTERVAL '1 hour' AS closed_at,
+       count(*) AS n_events, count(DISTINCT c) AS n_conditions
+FROM t GROUP BY job_name, sid"""
+
+
 NEXT_OLDER = f"""{UPTIME},
 a AS (SELECT host, region, {bucket(60)} AS m, max({{'t': ts, 'v': check_passed}}).v AS v FROM uptime GROUP BY 1, 2, 3),
 b AS (SELECT host, region, min(m) AS lo, max(m) AS hi FROM a GROUP BY 1, 2),
@@ -181,6 +191,9 @@ SELECT job_name, period_start, period_start + INTERVAL '60 seconds' AS period_en
     "alert_incidents": incidents("24 hours"),
     "alert_incidents_1h": incidents("1 hour"),
 
+    "alert_incidents_any": ANY_INCIDENTS,
+    "stream_incidents_any": ANY_INCIDENTS,
+    "stream_downtime": downtime_sql("cf >= 1"),
     "alert_downtime": downtime_sql("cf >= 1"),
     "alert_downtime_literal": downtime_sql("cf < 1"),
     "align_next_older": f"""WITH {NEXT_OLDER}

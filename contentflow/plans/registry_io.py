@@ -7,11 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import alerts as AL
 from ..operators import logs as L
 from ..sources import io as IO
 from ..streaming import jobs as S
+from ..streaming import stateful as ST
 from . import bindings as B
 from .registry import out, query
+from .registry_ops import SLOW
 
 SHARD_WEEK = ("2024-01-08", "2024-01-14")
 
@@ -72,10 +75,36 @@ def q_stream_route_logs(spark, sf):
                .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def _epochs(spark, stream, schema, tag):
+    return ST.run_epochs(stream, S.scratch(spark, tag), S.scratch(spark, tag + "-ckpt"), schema)
+
+
 @query("stream_incidents")
 def q_stream_incidents(spark, sf):
-    """Firings from the failure stream, then incident sessions over them, the open ones
-    included; a 1-hour auto-close gives sessions that close inside the test month."""
+    """Failed executions feed incidents kept as state, closed by a timer; the open ones
+    are included.  A 1-hour auto-close gives incidents that close inside the test month."""
+    failed = B.executions_from_events(S.file_stream(spark, sf, "events")).where("result = 'failed'")
+    firings = ST.firing_rows(failed, F.col("job_name"))
+    found = ST.settled(_epochs(spark, ST.incident_stream(firings, close=3600), ST.INCIDENT, "stream-incidents"), "key", "opened_at")
+    # Open: the newest firing of all jobs has not passed the close time.
+    now = found.select(F.max("last_firing")).scalar()
+    return out(found.select(F.col("key").alias("job_name"), "opened_at", "last_firing", "closed_at", F.col("n_events").alias("n_failures"),
+                            (F.col("closed_at") > now).alias("is_open")))
+
+
+@query("stream_incidents_any")
+def q_stream_incidents_any(spark, sf):
+    """Two conditions combined by OR feed one incident per job: failed, or slow."""
     ex = B.executions_from_events(S.file_stream(spark, sf, "events"))
-    firings = S.run_available(S.firings_stream(ex), mode="update", keys=["job_name", "firing_ts"], tag="stream-firings")
-    return out(S.incidents_of(firings, auto_close="1 hour"))
+    firings = AL.any_of(ST.firing_rows(ex.where("result = 'failed'"), F.col("job_name")).drop("condition"),
+                        ST.firing_rows(ex.where(F.col("execution_time") > SLOW), F.col("job_name")).drop("condition"))
+    found = ST.settled(_epochs(spark, ST.incident_stream(firings, close=3600), ST.INCIDENT, "stream-incidents-any"), "key", "opened_at")
+    return out(found.select(F.col("key").alias("job_name"), "opened_at", "last_firing", "closed_at", "n_events", "n_conditions"))
+
+
+@query("stream_downtime")
+def q_stream_downtime(spark, sf):
+    """The rows of ``alert_downtime`` from a stateful stream with timers."""
+    checks = B.uptime_from_events(S.file_stream(spark, sf, "events"))
+    sink = _epochs(spark, ST.downtime_stream(checks), ST.DOWNTIME, "stream-downtime")
+    return out(ST.settled(sink, "host", "run_start").drop("is_open"))

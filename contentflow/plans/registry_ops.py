@@ -20,6 +20,7 @@ SPEND_BUDGET = 50000.0
 MENTION_PATTERN = "purchase"
 MENTION_JOB = "job-1"
 OCR_JOB = "job-1"
+SLOW = 95.0
 
 
 def _r9(df, col="value"):
@@ -135,6 +136,12 @@ def q_alert_incidents_1h(spark, sf):
     return out(AL.incidents(f, ["job_name"], auto_close="1 hour"))
 
 
+@query("alert_incidents_any")
+def q_alert_incidents_any(spark, sf):
+    """One policy, two conditions combined by OR: failed or slow executions."""
+    return out(AL.policy_incidents(AL.slow_or_failed(B.executions(spark, sf), limit=SLOW), ["job_name"], auto_close="1 hour"))
+
+
 # ------------------------------------------------------------------ budget
 @query("src_budget_messages")
 def q_budget_messages(spark, sf):

@@ -1,5 +1,5 @@
 """Structured Streaming twins of the batch jobs (STM-01, STM-22, STM-24,
-SNK-03, SNK-05).
+SNK-03, SNK-05); alerts with state and timers are in ``stateful``.
 
 Each job reads a file stream, applies the same operators as the batch path
 (they are plain DataFrame transformations), and writes to a sink whose
@@ -149,25 +149,3 @@ def append_by_chapter(stream: DataFrame, name: str, checkpoint: str, *,
     pages as they land) is appended to the table at ``name``, idempotently on
     ``keys``."""
     return append_by_batch(stream, name, list(keys), checkpoint)
-
-
-def firings_stream(executions: DataFrame, *, delay: str = "10 minutes") -> DataFrame:
-    """STM-21 streaming: failed executions counted per (job, minute), the firings of the
-    job-failure condition.  Run it in update mode with the keys (job_name, firing_ts): a
-    job with most of the failures is one row per minute."""
-    failed = executions.where(F.col("result") == "failed").withWatermark("ts", delay)
-    w = F.window("ts", "1 minute")
-    return (failed.groupBy("job_name", w.alias("_w")).agg(F.count(F.lit(1)).alias("n"))
-            .select("job_name", F.col("_w.start").alias("firing_ts"), "n"))
-
-
-def incidents_of(firings: DataFrame, *, auto_close: str = "24 hours") -> DataFrame:
-    """STM-21: incidents over the firings written so far: sessions per job with gap
-    ``auto_close``.  An incident is open (``is_open``) while the newest firing of all
-    jobs has not passed its close time."""
-    s = F.session_window("firing_ts", auto_close)
-    now = firings.select(F.max("firing_ts")).scalar()
-    return (firings.groupBy("job_name", s.alias("_s"))
-            .agg(F.sum("n").alias("n_failures"), F.max("firing_ts").alias("last_firing"))
-            .select("job_name", F.col("_s.start").alias("opened_at"), "last_firing",
-                    F.col("_s.end").alias("closed_at"), "n_failures", (F.col("_s.end") > now).alias("is_open")))
