@@ -81,10 +81,11 @@ def zero_pad(n, width: int = 3) -> Column:
             .otherwise(s))
 
 
-def object_path(chapter, page, url) -> Column:
+def object_path(chapter, page, url, label=None) -> Column:
     """``chapitre-{n}/page-{p:03d}.{ext}`` (SCL-05); the page number is padded
-    to three digits, never truncated."""
-    return F.concat(F.lit("chapitre-"), _c(chapter).cast("long").cast("string"),
+    to three digits, never truncated.  ``label`` stands for a chapter without number."""
+    name = _c(chapter).cast("long").cast("string")
+    return F.concat(F.lit("chapitre-"), name if label is None else F.coalesce(name, _c(label)),
                     F.lit("/page-"), zero_pad(page, 3), F.lit("."), image_ext(url))
 
 

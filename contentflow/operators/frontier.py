@@ -193,6 +193,18 @@ def difference(all_: DataFrame, done: DataFrame, keys: list[str], *, null_safe:
     return all_.join(d, cond, "left_anti")
 
 
+def chapter_key(df: DataFrame) -> Column:
+    """Text that names a row's chapter: its number, or the label of a chapter without
+    one (fractional, or beyond BIGINT); null where a row has neither."""
+    number = F.col("chapter_number").cast("string")
+    return F.coalesce(number, F.col("chapter_label")) if "chapter_label" in df.columns else number
+
+
+def identity(df: DataFrame) -> list[str]:
+    """The columns that name a chapter in ``df``."""
+    return ["chapter_number", *(["chapter_label"] if "chapter_label" in df.columns else [])]
+
+
 def chapters_to_process(chapters: DataFrame, dialogues: DataFrame, *, limit: int = 0) -> DataFrame:
     """JN-02 + SRT-03: chapters without any dialogue row, by number; the first
     ``limit`` when ``limit > 0``."""
@@ -214,29 +226,35 @@ def open_page_tasks(chapters: DataFrame, dialogues: DataFrame, pages: DataFrame,
                     limit: int = 0) -> DataFrame:
     """T8: the page images without a dialogue row, of every chapter that has fewer
     dialogue rows than images; a failed page is planned again."""
-    done = dialogues.groupBy("chapter_number").agg(F.count_distinct("page_number").alias("_done"))
-    todo = chapters.join(done, "chapter_number", "left").where(F.coalesce("_done", F.lit(0)) < F.col("image_count"))
-    todo = todo.select("chapter_number", "url").orderBy("chapter_number")
-    tasks = _tasks(todo.limit(limit) if limit > 0 else todo, pages)
-    return difference(tasks, dialogues.select("chapter_number", "page_number"), ["chapter_number", "page_number"])
+    pages_done = dialogues.select(chapter_key(dialogues).alias("_key"), "page_number")
+    done = pages_done.groupBy(F.col("_key").alias("_dk")).agg(F.count_distinct("page_number").alias("_done"))
+    keyed = chapters.withColumn("_key", chapter_key(chapters))
+    todo = keyed.join(done, keyed["_key"].eqNullSafe(done["_dk"]), "left").where(F.coalesce("_done", F.lit(0)) < F.col("image_count"))
+    todo = todo.select(*identity(chapters), "_key", "url").orderBy("chapter_number", "_key")
+    tasks = _tasks(todo.limit(limit) if limit > 0 else todo, pages, extra=["_key"])
+    return difference(tasks, pages_done, ["_key", "page_number"]).drop("_key")
 
 
-def _tasks(todo: DataFrame, pages: DataFrame) -> DataFrame:
+def _tasks(todo: DataFrame, pages: DataFrame, extra: list[str] | None = None) -> DataFrame:
     imgs = image_lists(pages, wanted=todo)
+    names = identity(todo)
     j = todo.join(imgs, "url", "inner")
-    ex = j.select("chapter_number", F.posexplode("images").alias("pos", "image_url"))
+    ex = j.select(*names, *(extra or []), F.posexplode("images").alias("pos", "image_url"))
     page = (F.col("pos") + 1).cast("long")
-    return ex.select("chapter_number", page.alias("page_number"), "image_url",
-                     object_path(F.col("chapter_number"), page, F.col("image_url")).alias("gcs_path"),
+    label = F.col("chapter_label") if "chapter_label" in names else None
+    return ex.select(*names, *(extra or []), page.alias("page_number"), "image_url",
+                     object_path(F.col("chapter_number"), page, F.col("image_url"), label).alias("gcs_path"),
                      mime_type(F.col("image_url")).alias("content_type"))
 
 
 def build_dialogues(stored: DataFrame, responses: DataFrame, *, processed_at) -> DataFrame:
     """PIP-04: stored page images (``gcs_path`` not NULL) joined to their text
     extraction response -> ``dialogues`` rows.  Pages whose image was not
-    stored are dropped (page-number gaps stay); empty text is kept."""
-    ok = stored.where(F.col("gcs_path").isNotNull())
-    j = ok.join(responses, ["chapter_number", "page_number"], "inner")
-    return j.select("chapter_number", "page_number", "image_url", "gcs_path",
+    stored are dropped (page-number gaps stay); empty text is kept.  A chapter without
+    number is met by its ``chapter_label``, which the rows keep."""
+    ok = stored.where(F.col("gcs_path").isNotNull()).withColumn("_key", chapter_key(stored))
+    answers = responses.select(chapter_key(responses).alias("_key"), "page_number", "response")
+    j = ok.join(answers, ["_key", "page_number"], "inner")
+    return j.select(*identity(stored), "page_number", "image_url", "gcs_path",
                     first_annotation_text(F.col("response")).alias("extracted_text"),
                     F.lit(processed_at).cast("timestamp").alias("processed_at"))

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import get_or_default, is_array, is_object, lenient_json
 from ..functions.text import WS_CLASS, collapse_ws, render_template, strip_ws
 from ..schemas import ALIASES, MENTION_DEFAULTS, MENTION_REQUEST_TEMPLATE, PHRASE, SAYS_CUES
-from .frontier import difference
+from .frontier import chapter_key, difference, identity
 
 
 def with_phrase(df: DataFrame, phrase: str = PHRASE, text: str = "extracted_text") -> DataFrame:
@@ -24,11 +24,11 @@ def with_phrase(df: DataFrame, phrase: str = PHRASE, text: str = "extracted_text
     return df.where(F.coalesce(collapse_ws(F.col(text)).contains(phrase.lower()), F.lit(False)))
 
 
-def request_text(chapter="chapter_number", page="page_number", text="extracted_text",
+def request_text(chapter: str | Column = "chapter_number", page="page_number", text="extracted_text",
                  phrase: str = PHRASE):
     """SCL-17: one request text per page: the fixed request template filled
     with (chapter, page, OCR text, phrase)."""
-    return render_template(MENTION_REQUEST_TEMPLATE, chapter=F.col(chapter), page=F.col(page),
+    return render_template(MENTION_REQUEST_TEMPLATE, chapter=F.col(chapter) if isinstance(chapter, str) else chapter, page=F.col(page),
                            text=F.col(text), phrase=phrase)
 
 
@@ -55,7 +55,7 @@ def mentions_from_responses(df: DataFrame, raw: str = "raw", *, literal: bool =
     ``literal=True`` also drops the objects after the first bad element of a
     page, as an exception in the middle of the loop would.  ``says`` / ``about`` name the
     flags; ``position`` adds ``pos``, the element's place in its page's array."""
-    keys = ["chapter_number", "page_number"]
+    keys = [*identity(df), "page_number"]
     # The parsed value is emitted by a (one-element) generator: filters on it
     # cannot be pushed below a Generate, so the optimizer cannot re-inline the
     # parse into each predicate and the text is parsed exactly once per row.
@@ -139,7 +139,7 @@ def page_ledger(responses: DataFrame, raw: str = "raw") -> DataFrame:
     ``partial`` (some mention elements malformed), ``mentions`` (at least one
     mention), ``no_mention`` (parsed, nothing found).  Row-wise: the mention
     array is inspected with higher-order functions, no explode or shuffle."""
-    keys = ["chapter_number", "page_number"]
+    keys = [*identity(responses), "page_number"]
     v = F.col("_v")
     parsed = responses.select(*keys, F.explode(F.array(lenient_json(F.col(raw)))).alias("_v"))
     arr = F.coalesce(F.try_variant_get(v, "$.mentions", "array<variant>"),
@@ -159,5 +159,9 @@ def mention_worklist_from_ledger(dialogues: DataFrame, ledger: DataFrame,
                                  phrase: str = PHRASE) -> DataFrame:
     """PIP-05 with the ledger: pages with the phrase whose last analysis is
     not final (never analysed, failed or partial)."""
-    done = ledger.where(F.col("status").isin("mentions", "no_mention"))
-    return mention_worklist(dialogues, done.select("chapter_number", "page_number"), phrase)
+    done = ledger.where(F.col("status").isin("mentions", "no_mention")).select(chapter_key(ledger).alias("_key"), "page_number")
+    pages = with_phrase(dialogues.select(*identity(dialogues), "page_number", "extracted_text"), phrase)
+    todo = difference(pages.withColumn("_key", chapter_key(pages)), done, ["_key", "page_number"])
+    return (todo.select(*identity(dialogues), "page_number", "extracted_text",
+                        request_text(F.coalesce("_key", F.lit("")), phrase=phrase).alias("request"))
+            .orderBy("chapter_number", *identity(dialogues)[1:], "page_number"))

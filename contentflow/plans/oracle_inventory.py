@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import CHAPTERS, DIALOGUES, LINK_OCCURRENCES, LOGS, SQL, WATERMARK, speakers_cte
+from .oracle import CHAPTERS, DIALOGUES, IMAGES, LINK_OCCURRENCES, LOGS, SQL, WATERMARK, speakers_cte
 from .oracle_ops import AUDIT, BILLING, EXEC, SQL_OPS, UPTIME, bucket
 
 SEV_ERR = "('ERROR', 'CRITICAL', 'ALERT', 'EMERGENCY')"
@@ -135,6 +135,20 @@ a AS (SELECT {bucket(3600)} AS period_start, host, region, avg(CAST(check_passed
 SELECT period_start, period_start + INTERVAL '1 hour' AS period_end, host, round(avg(v), 9) AS value
 FROM a GROUP BY 1, 2, 3""",
     "uptime_series": f"""WITH {UPTIME} SELECT ts, host, region, check_passed FROM uptime""",
+    "html_link_quarantine": """SELECT p_partkey // 20 AS page_id,
+       'https://h/Chapitre-' || CAST(p_partkey AS VARCHAR) || '-VF/' AS href, 'no_number' AS reason
+FROM part WHERE p_partkey % 11 = 0""",
+    "budget_quarantine": """SELECT event_id AS message_id,
+       CASE user_id % 7 WHEN 3 THEN 'undecodable' WHEN 4 THEN 'not_object' WHEN 5 THEN 'bad_costAmount'
+            ELSE 'bad_budgetAmount' END AS reason
+FROM events WHERE user_id % 7 >= 3""",
+    "pipe_unnumbered_chapters": f"""WITH {IMAGES},
+d AS (SELECT conv_id AS c, turn + 1 AS p FROM conversations),
+n AS (SELECT c, count(DISTINCT p) AS k FROM d GROUP BY 1)
+SELECT CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 5 = 0 THEN '.5' ELSE '' END AS chapter_label,
+       CASE WHEN doc_id % 5 <> 0 THEN doc_id END AS chapter_number, i.page_number, i.image_url,
+       printf('chapitre-%s/page-%03d.%s', CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 5 = 0 THEN '.5' ELSE '' END, i.page_number,
+              CASE WHEN lower(i.image_url) LIKE '%jpg%' THEN 'jpg' ELSE 'png' END) AS gcs_path
+FROM documents t LEFT JOIN n ON n.c = t.doc_id JOIN imgs i ON i.l_orderkey = t.doc_id
+WHERE coalesce(k, 0) < n_chars AND NOT EXISTS (SELECT 1 FROM d WHERE d.c = t.doc_id AND d.p = i.page_number)""",
 }
-
-

@@ -21,6 +21,7 @@ from ..schemas import DIALOGUES, MANIFEST
 from ..sources import io as IO
 from ..streaming import jobs as S
 from . import bindings as B
+from . import weekly as W
 from .registry import TEST_PHRASE, out, query
 from .registry_ops import BILLING_AS_OF
 
@@ -314,3 +315,37 @@ def q_reduce_mean(spark, sf):
 @query("uptime_series")
 def q_uptime_series(spark, sf):
     return out(B.uptime(spark, sf))
+
+
+@query("html_link_quarantine")
+def q_html_link_quarantine(spark, sf):
+    """SCL-03: what the crawl job puts aside: links that look like chapters but carry
+    no usable number."""
+    chapters, links = S.scratch(spark, "crawl"), S.scratch(spark, "crawl-links")
+    W.crawl(spark, B.link_pages(spark, sf), B.image_pages(spark, sf), chapters, scraped_at=B.AS_OF, limit=25, links_path=links)
+    return out(spark.read.parquet(links).select("page_id", "href", "reason"))
+
+
+@query("budget_quarantine")
+def q_budget_quarantine(spark, sf):
+    """SRC-08: messages that cannot be read, each with its reason."""
+    ev = B.table(spark, sf, "events")
+    kind = F.col("user_id") % 7
+    body = (F.when(kind == 4, "[1]").when(kind == 5, '{"costAmount":"x","budgetAmount":5}')
+            .when(kind == 6, '{"costAmount":1,"budgetAmount":null}').otherwise('{"costAmount":1,"budgetAmount":5}'))
+    data = F.when(kind == 3, F.lit("{not base64")).otherwise(F.base64(F.encode(body, "UTF-8")))
+    return out(BU.budget_quarantine(ev.select(F.col("event_id").alias("message_id"), data.alias("data"))).select("message_id", "reason"))
+
+
+@query("pipe_unnumbered_chapters")
+def q_pipe_unnumbered_chapters(spark, sf):
+    """PIP-03 with chapters of which every fifth has no number, only a label: the page
+    tasks that no dialogue row holds yet."""
+    half = F.col("chapter_number") % 5 == 0
+
+    def labelled(df):
+        return df.withColumn("chapter_label", F.when(half, F.concat(F.col("chapter_number").cast("string"), F.lit(".5")))
+                             .otherwise(F.col("chapter_number").cast("string"))).withColumn(
+            "chapter_number", F.when(~half, F.col("chapter_number")))
+    tasks = FR.open_page_tasks(labelled(B.chapters(spark, sf)), labelled(B.dialogues(spark, sf)), B.image_pages(spark, sf))
+    return out(tasks.select("chapter_label", "chapter_number", "page_number", "image_url", "gcs_path"))
