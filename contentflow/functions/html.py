@@ -14,10 +14,13 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NON_MARKUP = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+# Scripts, styles and comments up to their first end; possessive, so runs of text are
+# taken in one step and an unclosed one costs no backtracking.
+NON_MARKUP = (r"(?is)<(?:script\b(?:[^<]++|<(?!/script\s*+>))*+</script\s*+>"
+              r"|style\b(?:[^<]++|<(?!/style\s*+>))*+</style\s*+>|!--(?:[^-]++|-(?!->))*+-->)")
 
-# One attribute: name, then optionally ``=`` and a double-quoted, single-quoted or bare value.
-ATTRIBUTE = r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?"""
+# A value in double quotes, in single quotes, or bare.
+VALUE = r"""(?>"[^"]*+"|'[^']*+'|[^\s>]++)"""
 
 # A character reference: &#38; &#x26; &amp;
 REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
@@ -34,6 +37,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def attribute_pattern(attr: str) -> str:
+    """One attribute (name, then optionally ``=`` and a value), whose value is group 1 if
+    its name is ``attr``; empty for any other.  Matched from end to end of a tag, so a name
+    inside another attribute's value is never at the start of a match."""
+    return rf"""(?is){attr}\s*+=\s*+({VALUE})|[^\s=>"'/]++(?:\s*+=\s*+{VALUE})?+"""
+
+
 def strip_non_markup(html) -> Column:
     return F.regexp_replace(_c(html), F.lit(NON_MARKUP), F.lit(""))
 
@@ -74,16 +84,17 @@ def attr_values(html, tag: str, attr: str) -> Column:
     tags = F.regexp_extract_all(strip_non_markup(html), F.lit(tag_pattern(tag)), F.lit(1))
 
     def last_value(t):
-        names = F.regexp_extract_all(t, F.lit(ATTRIBUTE), F.lit(1))
-        values = F.regexp_extract_all(t, F.lit(ATTRIBUTE), F.lit(2))
-        mine = F.filter(F.arrays_zip(names.alias("n"), values.alias("v")),
-                        lambda p: (F.lower(p["n"]) == attr) & (p["v"] != ""))
-        return F.try_element_at(mine, F.lit(-1))["v"]
+        mine = F.filter(F.regexp_extract_all(t, F.lit(attribute_pattern(attr)), F.lit(1)), lambda v: v != "")
+        return F.try_element_at(mine, F.lit(-1))
+
+    def bare(v):
+        first = F.when(v.startswith('"') | v.startswith("'"), F.lit(2)).otherwise(F.lit(1))
+        last = F.when(v.endswith('"') | v.endswith("'"), F.length(v) - 1).otherwise(F.length(v))
+        return F.substr(v, first, last - first + 1)
 
     # Most tags of other kinds are gone here; those without the attribute give NULL.
-    raw = F.filter(F.transform(tags, last_value), lambda v: v.isNotNull())
-    return F.transform(
-        raw, lambda v: unescape_entities(F.regexp_replace(v, F.lit("^[\"']|[\"']$"), F.lit(""))))
+    raw = F.filter(F.transform(F.filter(tags, lambda t: F.lower(t).contains(attr)), last_value), lambda v: v.isNotNull())
+    return F.transform(raw, lambda v: unescape_entities(bare(v)))
 
 
 def anchor_hrefs(html) -> Column:
