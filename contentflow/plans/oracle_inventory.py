@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import CHAPTERS, DIALOGUES, IMAGES, LINK_OCCURRENCES, LOGS, SQL, WATERMARK, speakers_cte
+from .oracle import AS_OF, CHAPTERS, DIALOGUES, IMAGES, LINK_OCCURRENCES, LOGS, SQL, WATERMARK, speakers_cte
 from .oracle_ops import AUDIT, BILLING, EXEC, SQL_OPS, UPTIME, bucket
 
 SEV_ERR = "('ERROR', 'CRITICAL', 'ALERT', 'EMERGENCY')"
@@ -151,4 +151,18 @@ SELECT CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 5 = 0 THEN '.5' ELSE '' END
               CASE WHEN lower(i.image_url) LIKE '%jpg%' THEN 'jpg' ELSE 'png' END) AS gcs_path
 FROM documents t LEFT JOIN n ON n.c = t.doc_id JOIN imgs i ON i.l_orderkey = t.doc_id
 WHERE coalesce(k, 0) < n_chars AND NOT EXISTS (SELECT 1 FROM d WHERE d.c = t.doc_id AND d.p = i.page_number)""",
+    "snk_batch_replace": f"""WITH {CHAPTERS}
+SELECT chapter_number, url, image_count, CASE WHEN chapter_number % 3 < 2 THEN 'a' ELSE 'b' END AS batch FROM chapters""",
+    "stream_chapter_append": """SELECT CASE WHEN doc_id % 10 NOT IN (3, 6) AND n_chars > 0 THEN doc_id END AS chapter_number,
+       CASE WHEN doc_id % 10 = 3 THEN 'x' || CAST(doc_id AS VARCHAR)
+            WHEN doc_id % 10 = 6 OR n_chars = 0 THEN CAST(doc_id AS VARCHAR) END AS raw_number,
+       CASE WHEN doc_id % 10 = 6 THEN 0 ELSE n_chars END AS image_count,
+       CASE WHEN doc_id % 10 = 3 THEN 'no_number' WHEN doc_id % 10 = 6 OR n_chars = 0 THEN 'no_images' END AS reason
+FROM documents""",
+    "src_drifting_shards": """SELECT event_id, CAST(user_id AS DOUBLE) AS user_id,
+       CASE WHEN event_id % 3 > 0 THEN value END AS value, 's' || CAST(event_id % 3 AS VARCHAR) AS shard FROM events""",
+    "src_partition_days": f"""WITH {AUDIT},
+d AS (SELECT DISTINCT ingest_date FROM audit WHERE method = 'AccessSecretVersion' AND ingest_date >= CAST({AS_OF} AS DATE) - 7)
+SELECT ingest_date, count(*) AS n_rows, count(DISTINCT principal) AS n_principals
+FROM audit WHERE ingest_date IN (SELECT ingest_date FROM d) GROUP BY 1""",
 }

@@ -7,6 +7,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.html import link_number_text
 from ..functions.text import is_float_text, trunc_long
@@ -19,6 +20,7 @@ from ..operators import mentions as M
 from ..operators import timeseries as TS
 from ..schemas import DIALOGUES, MANIFEST
 from ..sources import io as IO
+from ..sources import tables as TB
 from ..streaming import jobs as S
 from . import bindings as B
 from . import weekly as W
@@ -349,3 +351,57 @@ def q_pipe_unnumbered_chapters(spark, sf):
             "chapter_number", F.when(~half, F.col("chapter_number")))
     tasks = FR.open_page_tasks(labelled(B.chapters(spark, sf)), labelled(B.dialogues(spark, sf)), B.image_pages(spark, sf))
     return out(tasks.select("chapter_label", "chapter_number", "page_number", "image_url", "gcs_path"))
+
+
+@query("snk_batch_replace")
+def q_snk_batch_replace(spark, sf):
+    """SNK-02 with co-located keys: two batches that overlap, the second one run twice."""
+    name, path = "appended_" + uuid.uuid4().hex[:12], S.scratch(spark, "bucketed")
+    ch = B.chapters(spark, sf).select("chapter_number", "url", "image_count")
+    for batch, rows in (("a", ch.where("chapter_number % 3 < 2")), ("b", ch.where("chapter_number % 3 > 0")), ("b", ch.where("chapter_number % 3 > 0"))):
+        TB.append_batch(rows, name, path, ["chapter_number"], batch, buckets=8)
+    return out(spark.table(name).select("chapter_number", "url", "image_count", F.col(TB.BATCH).alias("batch")))
+
+
+@query("stream_chapter_append")
+def q_stream_chapter_append(spark, sf):
+    """SNK-03 with row-level errors: good and bad rows of each micro-batch, two replays."""
+    path = S.scratch(spark, "checked")
+    number = F.col("raw_number").try_cast("long")
+    rules = {"no_number": number.isNotNull(), "no_images": F.col("image_count") > 0}
+    parse = {"chapter_number": number, "image_count": F.col("image_count")}
+    for _ in range(2):
+        raw = S.file_stream(spark, sf, "documents").select(
+            F.when(F.col("doc_id") % 10 == 3, F.concat(F.lit("x"), F.col("doc_id").cast("string"))).otherwise(F.col("doc_id").cast("string")).alias("raw_number"),
+            F.when(F.col("doc_id") % 10 == 6, F.lit(0)).otherwise(F.col("n_chars")).cast("long").alias("image_count"))
+        TB.append_checked(raw, path, rules, parse, S.scratch(spark, "checked-ckpt")).awaitTermination()
+    kinds = {"rows": T._parse_datatype_string("chapter_number bigint, image_count bigint"),
+             "bad": T._parse_datatype_string("raw_number string, image_count bigint, reason string")}
+    rows, bad = TB.read_checked(spark, path, kinds, ["chapter_number"])
+    none = F.lit(None).cast("string")
+    return out(rows.select("chapter_number", none.alias("raw_number"), "image_count", none.alias("reason")).unionByName(
+        bad.select(F.lit(None).cast("long").alias("chapter_number"), "raw_number", "image_count", "reason")))
+
+
+@query("src_drifting_shards")
+def q_src_drifting_shards(spark, sf):
+    """SRC-05 over shards of which one has a further column and one a wider type."""
+    path = S.scratch(spark, "drift")
+    ev = B.table(spark, sf, "events").select("event_id", "user_id", "value")
+    third = F.col("event_id") % 3
+    ev.where(third == 0).select(F.col("event_id").cast("int").alias("event_id"), F.col("user_id").cast("int").alias("user_id")).write.parquet(f"{path}/s0")
+    ev.where(third == 1).select("event_id", F.col("user_id").cast("int").alias("user_id"), "value").write.parquet(f"{path}/s1")
+    ev.where(third == 2).select("event_id", F.col("user_id").cast("double").alias("user_id"), "value").write.parquet(f"{path}/s2")
+    return out(IO.read_sharded(spark, f"{path}/*/*.parquet"))
+
+
+@query("src_partition_days")
+def q_src_partition_days(spark, sf):
+    """SRC-07 over a table written by day: the last seven days are pruned to, and days
+    that had failed secret reads prune by a join."""
+    path = S.scratch(spark, "audit-days")
+    TB.write_partitioned(B.audit_log(spark, sf), path, "ingest_date")
+    log = spark.read.parquet(path)
+    recent = IO.recent_ingest(log, as_of=B.AS_OF, days=7)
+    busy = TB.in_days_of(log, recent.where("payload.method = 'AccessSecretVersion'"), "ingest_date")
+    return out(busy.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("payload.principal").alias("n_principals")))

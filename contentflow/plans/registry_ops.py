@@ -3,12 +3,16 @@ widgets, alerts, budget, audit and billing."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import alerts as AL
 from ..operators import audit as AU
 from ..operators import budget as BU
 from ..operators import timeseries as TS
+from ..sources import tables as TB
+from ..streaming.jobs import scratch
 from . import bindings as B
 from .registry import out, query
 
@@ -192,8 +196,13 @@ def q_route_audit(spark, sf):
 
 @query("snk_retention")
 def q_retention(spark, sf):
-    kept = AU.retain(B.audit_log(spark, sf), "ts", 7, as_of=B.AS_OF)
-    return out(kept.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n_rows")))
+    """SNK-07 on a table written by day: old days are dropped, the cut-off day rewritten."""
+    path = scratch(spark, "retention")
+    name = f"retention_{uuid.uuid4().hex[:12]}.audit"
+    spark.sql(f"CREATE DATABASE {name.split('.')[0]} LOCATION '{path}'")
+    TB.write_managed(B.audit_log(spark, sf).select("ts", "log_name", "ingest_date"), name, "ingest_date")
+    TB.retain_table(spark, name, f"{path}-staged", "ts", 7, as_of=B.AS_OF)
+    return out(spark.table(name).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 @query("snk_tier_report")

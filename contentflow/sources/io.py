@@ -7,7 +7,7 @@ output of the registered queries goes under the session's shared
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -52,23 +52,113 @@ def scan_speakers(df: DataFrame) -> DataFrame:
 
 def shard_files(spark: SparkSession, path_glob: str, between: tuple[str, str] | None = None) -> list[str]:
     """Paths that match the wildcard, those whose parent folder's name lies in the closed
-    string range.  Only names are listed, no file is opened."""
-    jvm = spark.sparkContext._jvm
-    glob = jvm.org.apache.hadoop.fs.Path(path_glob)
-    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [s.getPath() for s in fs.globStatus(glob) or []]
-    return sorted(p.toString() for p in found if between is None or between[0] <= p.getParent().getName() <= between[1])
+    string range.  Only names are listed (no content column is read)."""
+    try:
+        names = spark.read.format("binaryFile").load(path_glob).select("path")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return []
+        raise
+    parent = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
+    wanted = names if between is None else names.where(parent.between(*between))
+    return sorted(r["path"] for r in wanted.collect())
+
+
+# Widening order of the number types; a type reads as any later one without loss of range.
+NUMBERS = ["tinyint", "smallint", "int", "bigint", "float", "double"]
+
+
+def widened(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both; STRING where they have nothing in common."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    names = a.simpleString(), b.simpleString()
+    if all(n in NUMBERS for n in names):
+        wide = max(names, key=NUMBERS.index)
+        # FLOAT does not hold every INT or BIGINT.
+        return T.DoubleType() if wide == "float" and min(names, key=NUMBERS.index) in ("int", "bigint") else T._parse_datatype_string(wide)
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        return T.DecimalType(min(38, max(a.precision - a.scale, b.precision - b.scale) + scale), scale)
+    if set(names) <= {"date", "timestamp", "timestamp_ntz"}:
+        return T.TimestampType() if "timestamp" in names else T.TimestampNTZType()
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widened(a.elementType, b.elementType))
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return union_schema([a, b])
+    return T.StringType()
+
+
+def union_schema(schemas: list[T.StructType]) -> T.StructType:
+    """All columns of the schemas, in order of first appearance, with widened types."""
+    found: dict[str, T.DataType] = {}
+    for s in schemas:
+        for f in s.fields:
+            found[f.name] = widened(found[f.name], f.dataType) if f.name in found else f.dataType
+    return T.StructType([T.StructField(n, t) for n, t in found.items()])
+
+
+def _as_type(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``c`` in the type ``want``; fields that a struct lacks are null."""
+    if have == want:
+        return c
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        kinds = {f.name: f.dataType for f in have.fields}
+        made = F.struct(*[(_as_type(c[f.name], kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+                          for f in want.fields])
+        return F.when(c.isNotNull(), made)
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(c, lambda x: _as_type(x, have.elementType, want.elementType))
+    if isinstance(want, T.StringType) and isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(c)
+    return c.cast(want)
 
 
 def read_sharded(spark: SparkSession, path_glob: str, *, between: tuple[str, str] | None = None,
                  shard_col: str = "shard") -> DataFrame:
     """SRC-05: wildcard scan over many shard folders; the shard name (the
     matched file's parent folder) becomes a column.  With ``between`` the shards are
-    chosen before the scan: others are never read."""
-    schema = spark.read.parquet(path_glob).schema
+    chosen before the scan: others are never read.
+
+    Shards may drift: the result has the columns of all of them, of the widest type
+    (missing ones are null).  Shards are read in groups of one schema, and only where the
+    footers do not merge as they are is each shard's own schema asked for."""
     paths = shard_files(spark, path_glob, between)
-    df = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-    return df.withColumn(shard_col, F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1))
+    if not paths:
+        # No shard is wanted: the columns are those of the others, if any.
+        others = shard_files(spark, path_glob) if between else []
+        schema = spark.read.parquet(*others).schema if others else T.StructType()
+        return spark.createDataFrame([], schema).withColumn(shard_col, F.lit(None).cast("string"))
+    name = F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1)
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*paths).withColumn(shard_col, name)
+    except Exception as e:  # noqa: BLE001  (the merge fails as an analysis or as a Spark error)
+        if "MERGE" not in str(e).upper():
+            raise
+    folders: dict[str, list[str]] = {}
+    for p in paths:
+        folders.setdefault(p.rsplit("/", 1)[0], []).append(p)
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for files in folders.values():
+        try:
+            found = [(spark.read.option("mergeSchema", "true").parquet(*files).schema, files)]
+        except Exception as e:  # noqa: BLE001
+            if "MERGE" not in str(e).upper():
+                raise
+            found = [(spark.read.parquet(f).schema, [f]) for f in files]
+        for schema, some in found:
+            groups.setdefault(schema.json(), (schema, []))[1].extend(some)
+    whole = union_schema([s for s, _ in groups.values()])
+    out = None
+    for schema, files in groups.values():
+        kinds = {f.name: f.dataType for f in schema.fields}
+        part = spark.read.schema(schema).parquet(*files).withColumn(shard_col, name).select(
+            *[(_as_type(F.col(f"`{f.name}`"), kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+              for f in whole.fields], shard_col)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def read_sharded_logs(spark: SparkSession, path_glob: str, suffix_between: tuple[str, str] | None = None,
@@ -162,6 +252,16 @@ def create_if_absent(spark: SparkSession, name: str, schema: T.StructType, path:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{loc}")
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key, always the same one: that with the smallest hash of its other columns."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    row = F.struct(*rest)
+    picked = df.groupBy(*keys).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("_r"))
+    return picked.select(*keys, *[F.col("_r")[c].alias(c) for c in rest]).select(*df.columns)
+
+
 def append(df: DataFrame, path: str, keys: list[str] | None = None, *, partition_by=None) -> None:
     """SNK-02: batch append.  With ``keys`` the append is idempotent: rows whose
     key already exists at ``path`` (or repeats inside ``df``) are skipped, so
@@ -169,7 +269,7 @@ def append(df: DataFrame, path: str, keys: list[str] | None = None, *, partition
     and anti-joined; they are never collected."""
     new = df
     if keys:
-        new = df.dropDuplicates(keys)
+        new = one_per_key(df, keys)
         spark = df.sparkSession
         try:
             done = spark.read.parquet(path)
