@@ -36,6 +36,13 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 # ---------------------------------------------------------------- hashing
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (xor-shift, multiply)."""
@@ -214,20 +221,40 @@ def popcounts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a[:, None, :] ^ b[None, :, :]).sum(-1, dtype=np.int64)
 
 
-def sketch_rows(column: pa.Array, words: int) -> np.ndarray:
-    """Fixed-width binary column -> ``(rows, words)`` array of uint64."""
-    if len(column) == 0:
-        return np.zeros((0, words), U64)
-    return np.frombuffer(b"".join(column.to_pylist()), U64).reshape(-1, words)
+def sketch_rows(column: pa.Array, words: int = 0) -> np.ndarray:
+    """Parity sketches -> ``(rows, words)`` array of uint64, folded to ``words`` (by default
+    the shortest sketch's width): a sketch is a power of two times as wide, and the
+    parity of a slot of the narrow one is that of all slots that share its low bits."""
+    cells = [np.frombuffer(x, U64) for x in column.to_pylist()]
+    if not cells:
+        return np.zeros((0, max(words, 1)), U64)
+    width = np.array([len(c) for c in cells])
+    words = words or int(width.min())
+    out = np.empty((len(cells), words), U64)
+    for w in np.unique(width):
+        rows = np.flatnonzero(width == w)
+        out[rows] = np.bitwise_xor.reduce(np.stack([cells[i] for i in rows]).reshape(len(rows), w // words, words), axis=1)
+    return out
+
+
+def sketch_distances(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Differing bits of the pairs (a_i, b_i), at the narrower sketch's width."""
+    width = pc.min_element_wise(pc.binary_length(a), pc.binary_length(b)).to_numpy(zero_copy_only=False) // 8
+    out = np.zeros(len(width), np.int64)
+    for w in np.unique(width):
+        rows = np.flatnonzero(width == w)
+        take = pa.array(rows)
+        out[rows] = np.bitwise_count(sketch_rows(a.take(take), int(w)) ^ sketch_rows(b.take(take), int(w))).sum(1, dtype=np.int64)
+    return out
 
 
-def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
-                  admissible: Callable, verify: Callable[[DataFrame], DataFrame],
+def resolve_links(buckets: DataFrame, nodes: DataFrame, admissible: Callable, verify: Callable[[DataFrame], DataFrame],
                   tag: str, block: int = 2048, first: int = 64) -> DataFrame:
     """Components ``(node, comp)`` of the links among nodes that share a bucket.
 
     ``buckets(bucket, hub, node)`` from ``shared_buckets``; ``nodes(node, size,
-    sketch)``.  ``admissible(size_a, size_b, differing_bits)`` is a *necessary*
+    sketch)``, sketches of any power of two of 64-bit words (a set's width may grow with
+    its size).  ``admissible(size_a, size_b, differing_bits)`` is a *necessary*
     condition of a link (vectorised), ``verify(edges(a, b))`` keeps the true
     links.  Every linked pair must share a bucket.
 
@@ -247,8 +274,7 @@ def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            ka, kb = sketch_rows(batch.column("ka"), words), sketch_rows(batch.column("kb"), words)
-            bits = np.bitwise_count(ka ^ kb).sum(1, dtype=np.int64)
+            bits = sketch_distances(batch.column("ka"), batch.column("kb"))
             ok = admissible(batch.column("na").to_numpy().astype(np.int64),
                             batch.column("nb").to_numpy().astype(np.int64), bits)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
@@ -274,7 +300,7 @@ def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
                          "mine", "node", "comp"))
-        found = save(_cross_pairs(dealt.join(nodes, "node"), words, admissible, limit), f"{tag}-cross")
+        found = save(_cross_pairs(dealt.join(nodes, "node"), admissible, limit), f"{tag}-cross")
         more = bool(found.agg(F.max("more")).first()[0])  # pairs were left for a larger limit
         fresh = save(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), f"{tag}-try")
         right = save(verify(fresh), f"{tag}-links") if fresh.limit(1).count() else fresh
@@ -286,7 +312,7 @@ def resolve_links(buckets: DataFrame, nodes: DataFrame, words: int,
         limit *= 64
 
 
-def _cross_pairs(dealt: DataFrame, words: int, admissible: Callable, limit: int) -> DataFrame:
+def _cross_pairs(dealt: DataFrame, admissible: Callable, limit: int) -> DataFrame:
     """Admissible pairs between components, the ``limit`` best per pair of
     components and block pair; ``more`` is true where others were left."""
     def run(key, table):
@@ -296,10 +322,10 @@ def _cross_pairs(dealt: DataFrame, words: int, admissible: Callable, limit: int)
         node = table.column("node").to_numpy()
         _, comp = np.unique(table.column("comp").to_numpy(), return_inverse=True)
         size = table.column("size").to_numpy().astype(np.int64)
-        bits = sketch_rows(table.column("sketch").combine_chunks(), words)
+        bits = sketch_rows(table.column("sketch").combine_chunks())
         left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
         a_, b_, d_ = [], [], []
-        step = max(1, (1 << 20) // max(1, len(right) * words))
+        step = max(1, (1 << 20) // max(1, len(right) * bits.shape[1]))
         for s in range(0, len(left), step):
             rows = left[s:s + step]
             d = popcounts(bits[rows], bits[right])

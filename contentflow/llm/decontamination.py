@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentflow.llm.common import (U64, bitmap_slot, hash_strings, id_bitmap, in_bitmap, mix64, save, slot_bitmap,
+from contentflow.llm.common import (free_name, U64, bitmap_slot, hash_strings, id_bitmap, in_bitmap, mix64, save, slot_bitmap,
                                     text_slices, words_of)
 
 MASKS = ("1110111011", "1101101111", "1011110111", "1111011101")
@@ -237,5 +237,6 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, **rule) -> Dat
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **rule) -> DataFrame:
     """``docs`` without the contaminated rows, all columns."""
     bad = contamination(docs, benchmark, **rule).select("row").distinct()
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    return keyed.join(bad.withColumnRenamed("row", "_row"), "_row", "left_anti").select(*docs.columns)
+    key = free_name(docs, "_row")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    return keyed.join(bad.withColumnRenamed("row", key), key, "left_anti").select(*docs.columns)

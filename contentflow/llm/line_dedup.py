@@ -26,10 +26,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contentflow.llm.common import (U64, bitmap_slot, id_bitmap, in_bitmap, mix64, resolve_links, save,
+from contentflow.llm.common import (U64, bitmap_slot, free_name, id_bitmap, in_bitmap, mix64, resolve_links, save,
                                     shared_buckets)
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -286,28 +286,24 @@ def line_classes(lines: DataFrame, max_edits: int = 2, chars_per_edit: int = 10)
             text.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
         return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
-    return resolve_links(buckets, nodes, SKETCH_WORDS, admissible, verify, "line")
+    return resolve_links(buckets, nodes, admissible, verify, "line")
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, a number of its own for every row (stable only once saved)."""
-    return docs.withColumn("_row", F.monotonically_increasing_id())
-
-
-def split_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, text_key, line_no, line, node`` of ``numbered`` documents; node is null
-    for blank lines."""
+def split_lines(docs: DataFrame, row: Column) -> DataFrame:
+    """``doc_id, row, text_key, line_no, line, node``; ``row`` is a number of its own for
+    every row; node is null for blank lines."""
     return docs.where("text is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), F.xxhash64("text").alias("text_key"),
+        F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), F.xxhash64("text").alias("text_key"),
         F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn(
         "node", F.when(F.length(F.btrim("line", F.lit(" \t\n\x0b\f\r"))) > 0, F.xxhash64("line")))
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10) -> tuple[DataFrame, DataFrame]:
+def dedup_lines(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10, row: str | None = None) -> tuple[DataFrame, DataFrame]:
     """``(lines, classes)``: the kept or dropped state of every line, ``doc_id, row,
     line_no, node, comp, kept``, and the classes of linked lines ``(node, comp)``.
-    ``row`` tells rows with one doc_id, or none, apart."""
-    lines = split_lines(docs if "_row" in docs.columns else numbered(docs))
+    ``row`` tells rows with one doc_id, or none, apart: the column of that name, or a
+    number given here (stable only once saved)."""
+    lines = split_lines(docs, F.monotonically_increasing_id() if row is None else F.col(row))
     if lines.where("node is not null").groupBy("node").agg(
             (F.max(F.xxhash64(F.lit("b"), "line")) != F.min(F.xxhash64(F.lit("b"), "line"))).alias("clash")).where("clash").limit(1).count():
         raise ValueError("two different lines share a 64-bit key")
@@ -344,10 +340,11 @@ def line_report(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10) -
 
 def without_repeated_lines(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``; other columns as they are."""
-    rows = save(numbered(docs), "line-docs")
-    lines, _ = dedup_lines(rows, max_edits, chars_per_edit)
-    gone = lines.where(~F.col("kept")).groupBy(F.col("row").alias("_row")).agg(F.collect_set("line_no").alias("_gone"))
-    out = rows.join(gone, "_row", "left")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(
-        F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n"))
+    row, lost = free_name(docs, "_row"), free_name(docs, "_gone")
+    rows = save(docs.withColumn(row, F.monotonically_increasing_id()), "line-docs")
+    lines, _ = dedup_lines(rows, max_edits, chars_per_edit, row)
+    gone = lines.where(~F.col("kept")).groupBy(F.col("row").alias(row)).agg(F.collect_set("line_no").alias(lost))
+    out = rows.join(gone, row, "left")
+    text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(F.filter(
+        F.split("text", "\n", -1), lambda x, i: ~F.array_contains(lost, i)), "\n"))
     return out.withColumn("text", text).select(*docs.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from contentflow.llm.common import save
+from contentflow.llm.common import save, free_name
 
 WORD = r"[^\x20\x09-\x0D]+"
 DIGITS = 3  # hex digits of the hash per descent: 4096 groups
@@ -110,21 +110,22 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_e
     # Rows with the same id (or text) and size have one key; the plan's rows for it are dealt in order.
     key = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))).cast("binary"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    nth = Window.partitionBy("_h", "_size", "_src")
+    h, n_words, place, nth, part, taken = (free_name(docs, x) for x in ("_h", "_size", "_src", "_n", "_part", "_taken"))
+    order = Window.partitionBy(h, n_words, place)
     src = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
-    mine = docs.withColumn("_h", key).withColumn("_size", size).withColumn("_src", src).withColumn(
-        "_n", F.row_number().over(nth.orderBy("text")))
-    plan = plan.select(F.col("h").alias("_h"), F.col("size").alias("_size"), "source", "taken").withColumn("_src", src).withColumn(
-        "_n", F.row_number().over(nth.orderBy("taken"))).drop("source")
-    both = mine.join(plan, ["_h", "_size", "_src", "_n"]).where("taken > 0")
-    whole = F.floor(F.col("taken") / F.col("_size")).cast("int")
-    rest = (F.col("taken") % F.col("_size")).cast("int")
+    mine = docs.withColumn(h, key).withColumn(n_words, size).withColumn(place, src).withColumn(
+        nth, F.row_number().over(order.orderBy("text")))
+    plan = plan.select(F.col("h").alias(h), F.col("size").alias(n_words), src.alias(place), F.col("taken").alias(taken)).withColumn(
+        nth, F.row_number().over(order.orderBy(taken)))
+    both = mine.join(plan, [h, n_words, place, nth]).where(F.col(taken) > 0)
+    whole = F.floor(F.col(taken) / F.col(n_words)).cast("int")
+    rest = (F.col(taken) % F.col(n_words)).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    out = both.withColumn("_part", F.explode(copies))
-    words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("_part")), " ")
-    out = out.withColumn("text", F.when(F.col("_part") > 0, words).otherwise(F.col("text")))
+    out = both.withColumn(part, F.explode(copies))
+    words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col(part)), " ")
+    out = out.withColumn("text", F.when(F.col(part) > 0, words).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_part") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(part) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 

@@ -25,13 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contentflow.llm.common import (U64, bitmap_slot, hash_strings, hub_member_stream, id_bitmap, in_bitmap, mix64,
+from contentflow.llm.common import (U64, bitmap_slot, free_name, hash_strings, hub_member_stream, id_bitmap, in_bitmap, mix64,
                                     resolve_links, save, shared_buckets, text_slices, words_of)
 
-SKETCH_WORDS = 16  # 1024 bits
+SKETCH_BITS = 1024  # of the smallest sketch
 
 
 def shingle_sets(texts: pa.Array, n: int, lower: bool = True) -> list[np.ndarray]:
@@ -66,10 +67,18 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def odd_sketch(s: np.ndarray) -> bytes:
-    """1024 parities: two sketches differ in no more bits than the sets in elements."""
-    bits = np.bincount((mix64(s ^ U64(0xA5A5A5A5A5A5A5A5)) >> U64(54)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+def sketch_bits(size: int, percent: int) -> int:
+    """Parities kept for a set: a power of two that grows with it.  Unrelated sets differ in
+    about half of them, linked ones in 2 (100 - percent) / (100 + percent) of a size at
+    most; six times half of that keeps the two apart however long the sets are."""
+    return max(SKETCH_BITS, 1 << int(np.ceil(np.log2(max(1, 6 * size * (100 - percent) / (100 + percent))))))
+
+
+def odd_sketch(s: np.ndarray, percent: int = 90) -> bytes:
+    """Parities of slots: two sketches differ in no more bits than the sets in elements."""
+    bits = sketch_bits(len(s), percent)
+    slot = (mix64(s ^ U64(0xA5A5A5A5A5A5A5A5)) & U64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
 def band_tops(percent: int, upto: int) -> np.ndarray:
@@ -104,17 +113,17 @@ def signatures(s: np.ndarray, percent: int, tops: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, U64)
 
 
-def _digests(n: int):
+def _digests(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_slices(whole, "text"):
                 sets = shingle_sets(batch.column("text"), n)
                 keys = [set_key(s) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    batch.column("doc_id"), batch.column("print"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                    pa.array([odd_sketch(s) if len(s) else None for s in sets], pa.binary())],
-                    ["doc_id", "n_shingles", "node", "check", "sketch"])
+                    pa.array([odd_sketch(s, percent) if len(s) else None for s in sets], pa.binary())],
+                    ["doc_id", "print", "n_shingles", "node", "check", "sketch"])
     return run
 
 
@@ -146,15 +155,21 @@ def _signature_rows(n: int, percent: int):
 
 
 def _set_rows(n: int, bitmap):
+    """Sets of rows whose doc_id may be asked for; rows without one are always read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
+        told: set[int] = set()
         for whole in batches:
-            whole = whole.filter(pa.array(in_bitmap(bits, whole.column("slot").to_numpy())))
+            none = pc.is_null(whole.column("doc_id")).to_numpy(zero_copy_only=False)
+            whole = whole.filter(pa.array(in_bitmap(bits, whole.column("slot").to_numpy()) | none))
             for batch in text_slices(whole, "text"):
-                sets = shingle_sets(batch.column("text"), n)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([set_key(s)[0] if len(s) else None for s in sets], pa.int64()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "node", "payload"])
+                found = [(set_key(s)[0], s) for s in shingle_sets(batch.column("text"), n) if len(s)]
+                if len(told) >= 1 << 20:
+                    told.clear()
+                fresh = [(k, s) for k, s in dict(found).items() if k not in told]
+                told.update(k for k, _ in fresh)
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in fresh], pa.int64()), pa.array([s.tobytes() for _, s in fresh], pa.binary())],
+                                                 ["node", "payload"])
     return run
 
 
@@ -180,11 +195,11 @@ def _intersections(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``."""
+def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, print, n_shingles, node)`` of every row and ``(node, rep, comp)`` of every
+    set: rep its smallest doc_id (null if none has one), comp its component."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    digest = save(docs.mapInArrow(_digests(n), "doc_id long, n_shingles long, node long, check long, sketch binary"),
+    digest = save(docs.mapInArrow(_digests(n, percent), "doc_id long, print string, n_shingles long, node long, check long, sketch binary"),
                   "ngram-digest")
     classes = save(digest.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"), F.min_by("sketch", "check").alias("sketch"),
@@ -200,35 +215,51 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     def verify(edges: DataFrame) -> DataFrame:
         need = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(
             classes.select("node", "rep"), "node")
-        bitmap = spark.sparkContext.broadcast(id_bitmap(need, "rep"))
-        sets = docs.select("doc_id", "text", bitmap_slot("doc_id")).mapInArrow(
-            _set_rows(n, bitmap), "rep long, node long, payload binary")
-        # rep and node together: a repeated doc_id can carry another text.
-        sets = save(need.join(sets, ["rep", "node"]).dropDuplicates(["node"]).select("node", "payload"), "ngram-sets")
+        bitmap = spark.sparkContext.broadcast(id_bitmap(need.where("rep is not null"), "rep"))
+        read = docs if need.where("rep is null").limit(1).count() else docs.where("doc_id is not null")
+        sets = read.select("doc_id", "text", bitmap_slot("doc_id")).mapInArrow(_set_rows(n, bitmap), "node long, payload binary")
+        # By node: a set is met through any of its rows, with doc_id or without.
+        sets = save(need.select("node").join(sets, "node").dropDuplicates(["node"]).select("node", "payload"), "ngram-sets")
         members = edges.join(sets.withColumnRenamed("node", "b"), "b").select(
             F.col("a").alias("hub"), F.col("b").alias("node"), "payload")
         hubs = sets.withColumnRenamed("node", "hub")
         return hub_member_stream(hubs, members, _intersections(percent), "a long, b long")
 
-    rows = docs.mapInArrow(_signature_rows(n, percent), "bucket long, node long")
-    comps = resolve_links(shared_buckets(rows), nodes, SKETCH_WORDS, admissible, verify, "ngram")
+    rows = docs.select("text").mapInArrow(_signature_rows(n, percent), "bucket long, node long")
+    comps = resolve_links(shared_buckets(rows), nodes, admissible, verify, "ngram")
+    sets = classes.select("node", "rep").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return digest.select("doc_id", "print", "n_shingles", "node"), sets
+
+
+def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``."""
+    digest, sets = _components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(None).cast("string").alias("print")), n, percent)
     # Smallest doc_id per component of nodes.
-    linked = comps.join(classes.select("node", "rep"), "node")
-    lowest = linked.groupBy("comp").agg(F.min("rep").alias("low"))
-    by_node = classes.select("node", "rep").join(
-        linked.select("node", "comp").join(lowest, "comp").select("node", "low"), "node", "left").select(
-        "node", F.coalesce("low", "rep").alias("component_id"))
+    lowest = sets.groupBy("comp").agg(F.min("rep").alias("low"))
+    by_node = sets.join(lowest, "comp").select("node", F.col("low").alias("component_id"))
     return digest.select("doc_id", "n_shingles", "node").join(by_node, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one_per_group(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """The document with the smallest doc_id of every component, all columns.
+    """One row of every component, all columns: that with the smallest doc_id (rows without
+    one come last), of several the one whose text has the smallest MD5.
 
-    Rows without doc_id stay unless another row has their set's component; of rows that repeat a
-    kept doc_id one stays.
+    Rows without a set (null, empty and blank texts) are no copies: they stay, of those that
+    repeat a doc_id one.  Rows that share a doc_id but not a component all stay: a text
+    of its own is never dropped for its number.
     """
-    found = jaccard_components(docs, n, percent)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    key, text_print, rank = (free_name(docs, x) for x in ("_doc", "_print", "_rank"))
+    marked = docs.withColumn(key, F.col("doc_id").cast("long")).withColumn(text_print, F.md5(F.coalesce("text", F.lit(""))))
+    digest, sets = _components(marked.select(F.col(key).alias("doc_id"), "text", F.col(text_print).alias("print")), n, percent)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")
+    first = digest.where("node is not null").join(sets.select("node", "comp"), "node").groupBy("comp").agg(F.min(place).alias("w")).select("w.doc_id", "w.print")
+    alone = digest.where("node is null").select("doc_id", "print").distinct()
+    kept = first.unionByName(alone).distinct().select(F.col("doc_id").alias("_kept_doc"), F.col("print").alias("_kept_print"))
+    rows = marked.join(kept, F.col(key).eqNullSafe(F.col("_kept_doc")) & (F.col(text_print) == F.col("_kept_print")), "left_semi")
+    # Exact repeats of a kept row: one stays (of blank rows without doc_id, all).
+    blank = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    every = rows.where(blank & F.col(key).isNull())
+    once = Window.partitionBy(key, F.when(blank, F.lit("")).otherwise(F.col(text_print))).orderBy(F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]))
+    one = rows.where(~blank | F.col(key).isNotNull()).withColumn(rank, F.row_number().over(once)).where(F.col(rank) == 1)
+    return one.select(*docs.columns).unionByName(every.select(*docs.columns))

@@ -322,20 +322,24 @@ def documents_of(pieces: DataFrame) -> DataFrame:
     joined by (doc_id, row), the rest stays where it is.
     """
     key = ["doc_id", "file", "row"]
-
-    @F.udf("long")
-    def joined(parts):
-        parts = sorted(parts, key=lambda p: p["part"])
-        crc = parts[0]["crc"]
-        for p in parts[1:]:
-            crc = crc_join(crc, p["crc"], 4 * p["n"])
-        return crc
-
     # A document's pieces: one per BLOCK ids, a few numbers each.
-    agg = pieces.groupBy(*key).agg(F.min("start").alias("start"), F.sum("n").alias("n_tokens"), F.count("*").alias("k"),
-                                   F.min("crc").alias("crc"), F.collect_list(F.struct("part", "n", "crc")).alias("parts"))
-    return agg.select("doc_id", "start", "n_tokens",
-                      F.when(F.col("k") == 1, F.col("crc")).otherwise(joined("parts")).alias("ids_crc32"))
+    agg = pieces.groupBy(*key).agg(F.min("start").alias("start"), F.sum("n").alias("n_tokens"), F.min("crc").alias("crc"),
+                                   F.when(F.count("*") > 1, F.sort_array(F.collect_list(F.struct("part", "n", "crc")))).alias("parts"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            crc = batch.column("crc").to_numpy(zero_copy_only=False).astype(np.int64)
+            parts = batch.column("parts")
+            for i in np.flatnonzero(parts.is_valid().to_numpy(zero_copy_only=False)):
+                first, *rest = parts[int(i)].as_py()
+                crc[i] = first["crc"]
+                for p in rest:
+                    crc[i] = crc_join(int(crc[i]), p["crc"], 4 * p["n"])
+            yield pa.RecordBatch.from_arrays([*batch.select(["doc_id", "start", "n_tokens"]).columns, pa.array(crc)],
+                                             ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return agg.select("doc_id", "start", "n_tokens", "crc", "parts").mapInArrow(
+        joined, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_digests(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:

@@ -27,8 +27,9 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 TAIL = ".,;:!?"
-# A letter or digit before the tail; after other characters punctuation is one run with them.
-BEFORE_TAIL = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]$"
+# A letter or digit before the tail; after other characters punctuation is one run with them
+# (so it is after U+0130, whose lower case ends in a combining mark).
+BEFORE_TAIL = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]$"
 
 
 def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -4,9 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from contentflow.llm.ngram_jaccard import band_tops, jaccard_components, keep_one_per_group, signatures
+from contentflow.llm.common import sketch_distances
+from contentflow.llm.ngram_jaccard import band_tops, jaccard_components, keep_one_per_group, odd_sketch, signatures
 from contentflow.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,7 +83,43 @@ def test_repeated_and_null_ids(spark):
     assert sorted(map(str, jaccard_components(df).collect())) == sorted(map(str, [
         *[f"Row(doc_id={i}, n_shingles=2, component_id=9)" for i in (9, 9, None)],
         "Row(doc_id=None, n_shingles=0, component_id=None)"]))
-    assert sorted(map(str, (r["doc_id"] for r in keep_one_per_group(df).collect()))) == ["9", "None", "None"]
+    assert sorted(map(str, (r["doc_id"] for r in keep_one_per_group(df).collect()))) == ["9", "None"]
+
+
+def test_links_through_rows_without_id(spark):
+    """A - B - C, where the middle one has no doc_id: its set still links the other two."""
+    words = [f"w{i}" for i in range(60)]
+    a, b, c = words, words[3:] + ["x1", "x2", "x3"], words[6:] + [f"x{i}" for i in range(1, 7)]
+    assert not 100 * len(shingles(" ".join(a)) & shingles(" ".join(c))) >= 90 * len(shingles(" ".join(a)) | shingles(" ".join(c)))
+    rows = [(1, " ".join(a)), (None, " ".join(b)), (3, " ".join(c))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["component_id"] for r in jaccard_components(df).collect()] == [1, 1, 1]
+    assert [r["doc_id"] for r in keep_one_per_group(df).collect()] == [1]
+
+
+def test_rows_with_one_id_and_two_texts(spark):
+    """A text of its own is never dropped for its number; of a copy one row stays."""
+    text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abc"}
+    rows = [(5, text["a"], "x"), (5, text["b"], "x"), (5, text["a"], "x"), (5, text["a"], "y"), (6, text["b"], "z"), (None, text["c"], "x"), (None, text["c"], "x"),
+            (7, None, "x"), (7, "", "y"), (None, " ", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _print string").selectExpr("*", "1 as _doc", "2 as _rank", "3 as comp")
+    kept = keep_one_per_group(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] or 0, (r["text"] or "").strip()[:1]) for r in kept.collect()) == [(0, ""), (0, "c"), (5, "a"), (5, "b"), (7, "")]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sketches_grow_with_the_set(percent):
+    """The bound holds at any pair of widths, and unrelated sets of any size are told apart."""
+    rng = np.random.default_rng(percent)
+    for size in (50, 700, 1100, 5000, 40000):
+        a = rng.integers(0, 2**63, size).astype(np.uint64)
+        for other in (a[: int(size * 0.85)], rng.integers(0, 2**63, int(size * 0.9)).astype(np.uint64)):
+            x, y = (pa.array([odd_sketch(s, percent)]) for s in (a, other))
+            bits = int(sketch_distances(x, y)[0])
+            assert bits <= len(np.setxor1d(a, other))
+            if other[0] != a[0]:
+                assert bits * (100 + percent) > (100 - percent) * (len(a) + len(other))
 
 
 def test_empty_table(spark):

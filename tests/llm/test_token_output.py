@@ -36,6 +36,23 @@ def test_words_encode_like_whole_texts(spark, library):
             assert ids[off[i]:off[i + 1]].tolist() == reference(library, t)
 
 
+def test_random_unicode_encodes_like_the_library(library):
+    """Short forms of letters, marks and punctuation of many blocks, İ with a tail among them."""
+    import random
+
+    import pyarrow as pa
+    rnd = random.Random(9)
+    pool = [chr(c) for c in [*range(0x20, 0x250), *range(0x300, 0x310), *range(0x370, 0x450), 0x1E9E, 0x2126, 0x212A, 0xFB01, 0x1F600, 0x4E2D, 0xAC00, 0x0E01]]
+    texts = ["İ?", "xİ:.", "İİ!", "xi\u0307."]
+    texts += ["".join(rnd.choice(rnd.choice((pool, ".,;:!?", "İıŞßǅ", "abc "))) for _ in range(rnd.randint(1, 7))) for _ in range(40000)]
+    enc = WordEncoder(vocabulary_path(), cache=20000)
+    for a in range(0, len(texts), 2000):
+        part = texts[a:a + 2000]
+        off, ids = enc.encode(pa.array(part), 2)
+        want = [e.ids + [2] for e in library.encode_batch(part, add_special_tokens=False)]
+        assert [ids[x:y].tolist() for x, y in zip(off[:-1], off[1:])] == want
+
+
 def test_coder_round_trip_and_checkpoints():
     rng = np.random.default_rng(0)
     counts = np.zeros(500, np.int64)
