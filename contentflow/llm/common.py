@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -80,6 +81,14 @@ def words_of(texts: pa.Array, lower: bool = False):
     return offsets, coded.indices.to_numpy().astype(np.int64), words
 
 
+def trim() -> None:
+    """Give memory that earlier tasks of this worker process used back to the machine."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Split a batch into runs of whole rows of about ``chars`` bytes of text, so
     that a task's working set does not follow the batch size."""
@@ -180,6 +189,7 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     never held in memory.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         # State: the last row seen (pending) and whether it was already joined by a neighbour.
         pend = None  # (bucket, node, hub, has_left)
         for batch in batches:
@@ -316,6 +326,7 @@ def _cross_pairs(dealt: DataFrame, admissible: Callable, limit: int) -> DataFram
     """Admissible pairs between components, the ``limit`` best per pair of
     components and block pair; ``more`` is true where others were left."""
     def run(key, table):
+        trim()
         i, j = key[1].as_py(), key[2].as_py()
         table = table.sort_by([("node", "ascending")])
         mine = table.column("mine").to_numpy()
@@ -337,7 +348,7 @@ def _cross_pairs(dealt: DataFrame, admissible: Callable, limit: int) -> DataFram
             # Keep per pair of components the best ones so far (bounded by the components met).
             share = d[x, y] / (size[rows[x]] + size[right[y]])
             a_.append(rows[x]), b_.append(right[y]), d_.append(share)
-            if sum(map(len, a_)) > 1 << 20:
+            if sum(map(len, a_)) > 1 << 17:
                 a, b, d, _ = _best(np.concatenate(a_), np.concatenate(b_), np.concatenate(d_), comp, limit + 1)
                 a_, b_, d_ = [a], [b], [d]
         none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "more": pa.array([], pa.bool_())})

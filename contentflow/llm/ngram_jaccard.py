@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contentflow.llm.common import (U64, bitmap_slot, free_name, hash_strings, hub_member_stream, id_bitmap, in_bitmap, mix64,
-                                    resolve_links, save, shared_buckets, text_slices, words_of)
+                                    resolve_links, save, shared_buckets, text_slices, trim, words_of)
 
 SKETCH_BITS = 1024  # of the smallest sketch
 
@@ -115,6 +115,7 @@ def signatures(s: np.ndarray, percent: int, tops: np.ndarray) -> np.ndarray:
 
 def _digests(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         for whole in batches:
             for batch in text_slices(whole, "text"):
                 sets = shingle_sets(batch.column("text"), n)
@@ -129,6 +130,7 @@ def _digests(n: int, percent: int):
 
 def _signature_rows(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         tops = band_tops(percent, 1 << 16)
         told: set[int] = set()  # nodes this task already emitted: copies cost one row set per task
         for whole in batches:
@@ -157,6 +159,7 @@ def _signature_rows(n: int, percent: int):
 def _set_rows(n: int, bitmap):
     """Sets of rows whose doc_id may be asked for; rows without one are always read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         bits = bitmap.value
         told: set[int] = set()
         for whole in batches:
@@ -175,6 +178,7 @@ def _set_rows(n: int, bitmap):
 
 def _intersections(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         hub, held = None, None
         for batch in batches:
             a, b = [], []
