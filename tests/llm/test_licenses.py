@@ -74,7 +74,7 @@ def brute(scanner, text):
         places = {}
         for i, w in enumerate(have):
             places.setdefault(w, []).append(i)
-        hits = [(a - b, len(v) + b - a - 2 * same, name, a, b) for name, v in scanner.words.items() for same, a, b in scanner.spans(name, have, places)
+        hits = [(-same, len(v) + b - a - 2 * same, name, a, b) for name, v in scanner.words.items() for same, a, b in scanner.spans(name, have, places)
                 if not scanner.refused(name, have, a, b)]
         if not hits:
             return sorted(out)
