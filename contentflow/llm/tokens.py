@@ -127,7 +127,7 @@ class WordEncoder:
         letters, other = np.flatnonzero(plain), [np.flatnonzero(~plain)]
         for a in range(0, len(letters), 1024):
             part = letters[a:a + 1024]
-            ids = np.array(self.tokenizer.encode(" ".join([forms[i] for i in part]), add_special_tokens=False).ids, np.int64)
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([forms[i] for i in part])], add_special_tokens=False)[0].ids, np.int64)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(part) and ends[-1] == len(ids):
                 numbers[part] = self.forms + np.arange(len(part))
@@ -137,7 +137,7 @@ class WordEncoder:
         other = np.concatenate(other)
         for a in range(0, len(other), 1024):
             part = other[a:a + 1024]
-            ids = [e.ids for e in self.tokenizer.encode_batch([forms[i] for i in part], add_special_tokens=False)]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast([forms[i] for i in part], add_special_tokens=False)]
             numbers[part] = self.forms + np.arange(len(part))
             self._store(np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids], np.int64))
         return numbers
