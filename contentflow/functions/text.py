@@ -157,49 +157,74 @@ def _split(a: Column):
     return hi, a - hi
 
 
+LIMB = 10 ** 9  # decimal limbs: limb * 2^29 + carry stays within a long
+
+
+def whole_double_text(a) -> Column:
+    """All decimal digits of a double that is a whole number of at least 2^53.
+
+    The hexadecimal form gives the value as ``head * 2^twos``; head is held in limbs
+    of nine decimal digits, the lowest first, that are multiplied by up to 2^29 at a time."""
+    written = F.format_string("%a", _c(a))
+    fraction = F.regexp_extract(written, r"\.([0-9a-f]+)p", 1)
+    head = F.conv(F.concat(F.lit("1"), fraction), 16, 10).try_cast("long")
+    twos = F.regexp_extract(written, r"p([0-9]+)$", 1).try_cast("int") - F.length(fraction) * 4
+
+    def div(x: Column, y) -> Column:
+        return F.call_function("div", x, F.lit(y))
+
+    def times(limbs: Column, factor: Column) -> Column:
+        def one(s: Column, limb: Column) -> Column:
+            v = limb * factor + s["carry"]
+            return F.struct(div(v, LIMB).alias("carry"), F.concat(s["done"], F.array(v % F.lit(LIMB))).alias("done"))
+
+        start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("done"))
+        return F.aggregate(limbs, start, one, lambda s: F.concat(s["done"], F.array(s["carry"])))
+
+    factors = F.concat(F.array_repeat(F.lit(1 << 29).cast("long"), div(twos, 29).cast("int")),
+                       F.array(F.pow(F.lit(2.0), twos % F.lit(29)).cast("long")))
+    limbs = F.aggregate(factors, F.array(head % F.lit(LIMB), div(head, LIMB)), times)
+    return F.ltrim(F.array_join(F.transform(F.reverse(limbs), lambda v: F.lpad(v.cast("string"), 9, "0")), ""), F.lit("0"))
+
+
 def fixed_text(x, digits: int = 1) -> Column:
-    """Python ``'%.{digits}f' % x`` (SCL-13).
+    """Python ``'%.{digits}f' % x`` (SCL-13), for every double.
 
     Python rounds the exact binary value half-to-even (0.15 -> '0.1',
     1234.25 -> '1234.2'); Java's formatter, and so ``format_string``, rounds
-    the shortest decimal half-up ('0.2', '1234.3').  The scaled value is
-    computed as an exact sum ``p + e`` of two doubles (error-free product),
-    ``n = rint(p) + correction`` where the correction only matters at exact
-    half-integers, and ``n / 10^digits`` is printed as a decimal.  Plain IEEE
-    double and integer expressions, each intermediate referenced a few times
-    only, so the generated code stays small."""
+    the shortest decimal half-up ('0.2', '1234.3').  The whole part and the
+    fraction are taken apart (exactly); the scaled fraction is an exact sum
+    ``p + e`` of two doubles (error-free product), rounded as ``rint(p)`` plus a
+    correction that only matters at exact half-integers.  A double from 2^53 on
+    has no fraction: its digits are written out."""
     if not 0 <= digits <= 7:
         raise ValueError("digits must be within 0..7")
     x = _c(x).cast("double")
-    scale = 10 ** digits  # < 2^26, so it is its own upper half in the split
-    p = x * F.lit(float(scale))
-    x_hi, x_lo = _split(x)
-    e = (x_hi * F.lit(float(scale)) - p) + x_lo * F.lit(float(scale))
-    n0 = F.rint(p)
-    r = p - n0
-
-    def ind(cond: Column) -> Column:  # 1.0 / 0.0 without a branch
-        return cond.cast("double")
-
-    # |p| < 2^52: |e| < 1/4 and it only breaks the tie when p sits on a
-    # half-integer (|r| = 0.5).  |p| >= 2^52: p is an integer, r = 0 and the
-    # value is p + e rounded half-even (parity matters only for odd p, e = .5).
-    # Written without CASE branches, so Catalyst evaluates e, r and p once
-    # (subexpression elimination does not share work across branches).
-    adj = (F.rint(e)
-           + ind(F.abs(r) == F.lit(0.5)) * ind(F.signum(e) == F.signum(r)) * F.signum(r)
-           + ind(F.abs(e) == F.lit(0.5)) * F.abs(p.cast("long") % F.lit(2)).cast("double") * F.signum(e))
-    n = n0.cast("long") + adj.cast("long")
-    digits_text = (F.abs(n).cast("decimal(20,0)") / F.lit(scale)) \
-        .cast(f"decimal(38,{digits})").cast("string")
-    # The sign comes from x, so a negative value that rounds to zero keeps it.
-    text = F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), digits_text)
+    a = F.abs(x)
+    zeros = F.lit("." + "0" * digits if digits else "")
+    if digits == 0:
+        text = F.floor(F.rint(a)).cast("string")
+    else:
+        scale = 10 ** digits  # < 2^26, so it is its own upper half in the split
+        whole = F.floor(a)
+        part = a - whole.cast("double")
+        p = part * F.lit(float(scale))
+        hi, lo = _split(part)
+        e = (hi * F.lit(float(scale)) - p) + lo * F.lit(float(scale))
+        n0 = F.rint(p)
+        r = p - n0
+        # e is far below 1: it breaks the tie where p sits on a half-integer.
+        up = (F.abs(r) == F.lit(0.5)) & (F.signum(e) == F.signum(r))
+        n = F.floor(n0) + up.cast("long") * F.signum(r).cast("long")
+        text = F.concat((whole + (n == F.lit(scale)).cast("long")).cast("string"), F.lit("."),
+                        F.lpad((n % F.lit(scale)).cast("string"), digits, "0"))
+    # The sign comes from x, so a negative value that rounds to zero keeps it (-0.0, too).
+    sign = (F.when((x < 0) | F.when(x == 0, x.cast("string").startswith("-")).otherwise(F.lit(False)), F.lit("-"))
+            .otherwise(F.lit("")))
     return (F.when(F.isnan(x), F.lit("nan"))
-            .when(x == F.lit(float("inf")), F.lit("inf"))
-            .when(x == F.lit(float("-inf")), F.lit("-inf"))
-            # Beyond the long range: Java's formatting (not bit-exact).
-            .when(F.abs(p) >= F.lit(2.0 ** 62), F.format_string(f"%.{digits}f", x))
-            .otherwise(text))
+            .when(a == F.lit(float("inf")), F.concat(sign, F.lit("inf")))
+            .when(a >= F.lit(2.0 ** 53), F.concat(sign, whole_double_text(a), zeros))
+            .otherwise(F.concat(sign, text)))
 
 
 def percent_text(x, digits: int = 2) -> Column:

@@ -32,6 +32,10 @@ WHERE ingest_date >= DATE '2001-11-04' - INTERVAL 30 DAY GROUP BY 1""",
     "snk_manifest": """SELECT 'One Piece' AS manga, 'onepiecescan.fr' AS source, 'fr' AS language,
        count(*) AS total_chapters_available, count(*) AS n_chapters
 FROM documents GROUP BY doc_id // 100""",
+    "snk_manifest_document": """SELECT 'One Piece' AS manga, (SELECT count(*) FROM documents) AS total_chapters_available,
+       doc_id AS chapter_number, 'https://h/chapitre-' || CAST(doc_id AS VARCHAR) || '-vf/' AS url, n_chars AS image_count,
+       '2024-01-31T00:00:00+00:00' AS scraped_at
+FROM documents""",
     "prj_format_chapter": """SELECT '2024-01-31T00:00:00+00:00' AS scraped_at, CAST(doc_id AS VARCHAR) AS chapter_number,
        'https://h/chapitre-' || CAST(doc_id AS VARCHAR) || '-vf/' AS url,
        CASE WHEN doc_id % 9 = 0 THEN 0 ELSE n_chars END AS image_count,

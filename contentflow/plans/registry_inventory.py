@@ -71,6 +71,16 @@ def q_snk_manifest(spark, sf):
                            F.size("chapters").cast("long").alias("n_chapters")))
 
 
+@query("snk_manifest_document")
+def q_snk_manifest_document(spark, sf):
+    """SNK-01: all chapters as one document that many tasks write, read back line by line."""
+    path = S.scratch(spark, "manifest-document")
+    IO.write_manifest_document(B.chapters(spark, sf).withColumn("scraped_at", F.lit("2024-01-31T00:00:00+00:00")), path)
+    rows = IO.read_manifest_document(spark, path)
+    return out(rows.select("manga", "total_chapters_available", F.col("chapter_number").cast("long").alias("chapter_number"),
+                           "url", "image_count", "scraped_at"))
+
+
 @query("prj_format_chapter")
 def q_prj_format_chapter(spark, sf):
     """Manifest chapters where ``image_count`` is absent for every 9th chapter

@@ -7,12 +7,15 @@ output of the registered queries goes under the session's shared
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..schemas import CRAWL_LANGUAGE, CRAWL_SOURCE, CRAWL_TITLE, MANIFEST, MANIFEST_CHAPTER
+from ..session import ensure_checkpoint_dir
 
 
 # --------------------------------------------------------------------------
@@ -201,16 +204,20 @@ def optional_table(spark: SparkSession, path: str, schema: T.StructType) -> Data
 # Sinks
 # --------------------------------------------------------------------------
 
+def _chapter_struct(chapters: DataFrame) -> Column:
+    urls = (F.coalesce(F.col("image_urls"), F.array().cast("array<string>"))
+            if "image_urls" in chapters.columns else F.array().cast("array<string>"))
+    return F.struct(F.col("chapter_number").cast("string").alias("chapter_number"), "url",
+                    F.col("image_count").cast("long").alias("image_count"),
+                    urls.alias("image_urls"), F.col("scraped_at").alias("scraped_at"))
+
+
 def write_manifests(chapters: DataFrame, path: str, *, batch: str, total_available: DataFrame | None = None,
                     scraped_at=None) -> None:
     """SNK-01: one manifest document per crawl batch (header constants + the
     batch's chapter array), written as JSON lines.  A batch is bounded by the
     caller's ``batch`` column, so no single document holds the whole table."""
-    urls = (F.coalesce(F.col("image_urls"), F.array().cast("array<string>"))
-            if "image_urls" in chapters.columns else F.array().cast("array<string>"))
-    ch = F.struct(F.col("chapter_number").cast("string").alias("chapter_number"), "url",
-                  F.col("image_count").cast("long").alias("image_count"),
-                  urls.alias("image_urls"), F.col("scraped_at").alias("scraped_at"))
+    ch = _chapter_struct(chapters)
     docs = chapters.groupBy(batch).agg(
         F.array_sort(F.collect_list(ch)).alias("chapters"), F.count(F.lit(1)).alias("_n"))
     if total_available is None:
@@ -245,6 +252,51 @@ def write_manifest(chapters: DataFrame, path: str, header: dict | None = None, *
                     scraped_at=header.get("scraped_at"))
 
 
+def write_manifest_document(chapters: DataFrame, path: str, header: dict | None = None) -> None:
+    """SNK-01 as **one** document written by many tasks: the part files under ``path``, joined
+    in the order of their names, are one JSON text, ordered by chapter number and then by
+    the chapter's JSON (no number: last).  Each chapter is a line of its own, so no task and
+    no row holds the document; equal chapters all stay.  ``header`` as in ``write_manifest``.
+
+    The comma before a line depends on whether the line is the first, so the order is fixed
+    in a table first; its row numbers then deal the lines to the parts."""
+    header = dict(header or {})
+    spark = chapters.sparkSession
+    staged = f"{ensure_checkpoint_dir(spark)}/manifest-lines-{uuid.uuid4().hex}"
+    number = F.col("chapter_number").cast("double")
+    rows = chapters.select(number.alias("_n"), F.to_json(_chapter_struct(chapters)).alias("line"),
+                           F.monotonically_increasing_id().alias("_row"))
+    # _row only tells equal lines apart, so that the ranges can part them.
+    ordered = rows.orderBy(F.col("_n").asc_nulls_last(), "line", "_row")
+    ordered.select(F.monotonically_increasing_id().alias("at"), "line").write.parquet(staged)
+    lines = spark.read.schema("at long, line string").parquet(staged)
+    total = header.get("total_chapters_available")
+    if total is None:
+        total = lines.agg(F.count(F.lit(1)))
+    head = F.to_json(F.struct(
+        F.lit(CRAWL_TITLE).alias("manga"), F.lit(CRAWL_SOURCE).alias("source"), F.lit(CRAWL_LANGUAGE).alias("language"),
+        (total.scalar() if isinstance(total, DataFrame) else F.lit(total)).cast("long").alias("total_chapters_available"),
+        F.lit(header.get("scraped_at")).cast("string").alias("scraped_at")))
+    one = spark.range(1)
+    first = lines.agg(F.min("at")).scalar()
+    body = lines.select("at", F.concat(F.when(F.col("at") == first, F.lit("")).otherwise(F.lit(",")), "line").alias("value"))
+    begin = one.select(F.lit(-1).cast("long").alias("at"),
+                       F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"chapters":[')).alias("value"))
+    end = one.select(F.lit((1 << 63) - 1).alias("at"), F.lit("]}").alias("value"))
+    body.unionByName(begin).unionByName(end).orderBy("at").select("value").write.mode("overwrite").text(path)
+
+
+def read_manifest_document(spark: SparkSession, path: str) -> DataFrame:
+    """The chapter rows of a document that ``write_manifest_document`` wrote, in the columns of
+    ``read_manifest``; its lines are read by as many tasks as there are file splits."""
+    lines = spark.read.text(path)
+    head = lines.where(F.col("value").endswith("[")).select(F.from_json(F.concat("value", F.lit("]}")), MANIFEST)).scalar()
+    chapter = F.from_json(F.regexp_replace("value", "^,", ""), MANIFEST_CHAPTER)
+    rows = lines.where(F.col("value").endswith("}") & (F.col("value") != "]}")).select(head.alias("h"), chapter.alias("c"))
+    return rows.select("h.manga", "h.source", "h.language", "h.total_chapters_available",
+                       F.col("h.scraped_at").alias("manifest_scraped_at"), "c.*")
+
+
 def create_if_absent(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> None:
     """SNK-04: ``CREATE TABLE IF NOT EXISTS name (...) USING parquet``."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
