@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentflow.llm.common import (U64, bitmap_slot, free_name, id_bitmap, in_bitmap, mix64, resolve_links, save,
-                                    shared_buckets)
+                                    shared_buckets, trim)
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 BASE_INV = pow(BASE, -1, 1 << 64)
@@ -211,10 +211,35 @@ def _band(a: list[str], b: list[str], limit: int) -> np.ndarray:
     return np.minimum(dist, limit + 1)
 
 
-def _key_rows(max_edits: int, chars_per_edit: int):
+PART_PAIRS = 1 << 15  # keys per part, on average
+MOST_PARTS = 1 << 22
+BLOB_PAIRS = 64  # a row of the shuffle holds up to so many keys (1 KB)
+HELD_PAIRS = 1 << 22  # a task sorts at most so many keys itself
+
+
+def _blobs(keys: np.ndarray, nodes: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Rows ``(part, blob)``: keys by their top ``bits`` bits, a blob with ``key, node`` of up to
+    BLOB_PAIRS keys of one part."""
+    part = (keys.view(U64) >> U64(64 - bits)).astype(np.int32) if bits else np.zeros(len(keys), np.int32)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    pairs = np.stack((keys[order], nodes[order]), axis=1)
+    at = np.arange(len(part))
+    new = np.ones(len(part), bool)
+    new[1:] = part[1:] != part[:-1]
+    place = at - np.maximum.accumulate(np.where(new, at, 0))
+    cut = np.flatnonzero(place % BLOB_PAIRS == 0)
+    ends = np.append(cut, len(part)).astype(np.int32) * 16
+    blob = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(pairs))])
+    return pa.RecordBatch.from_arrays([pa.array(part[cut]), blob], ["part", "blob"])
+
+
+def _key_rows(max_edits: int, chars_per_edit: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         powers = Powers()
         told: set[int] = set()
+        keys, nodes, held = [], [], 0
         for batch in batches:
             ids, lines = batch.column("node").to_pylist(), batch.column("line").to_pylist()
             rows, text, size = [], [], 0
@@ -222,7 +247,11 @@ def _key_rows(max_edits: int, chars_per_edit: int):
                 if i is None or size > 1 << 21:
                     if text:
                         r, k = line_keys(text, max_edits, chars_per_edit, powers)
-                        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.array(rows, np.int64)[r])], ["bucket", "node"])
+                        keys.append(k), nodes.append(np.array(rows, np.int64)[r])
+                        held += len(k)
+                        if held > 1 << 20:
+                            yield _blobs(np.concatenate(keys), np.concatenate(nodes), bits)
+                            keys, nodes, held = [], [], 0
                     rows, text, size = [], [], 0
                 if i is not None and i not in told:
                     if len(told) >= 1 << 18:
@@ -230,9 +259,81 @@ def _key_rows(max_edits: int, chars_per_edit: int):
                     told.add(i)
                     rows.append(i), text.append(x)
                     size += len(x)
+        if held:
+            yield _blobs(np.concatenate(keys), np.concatenate(nodes), bits)
     return run
 
 
+def _met(pairs: np.ndarray) -> pa.RecordBatch:
+    """``(bucket, hub, node)`` of the keys in ``pairs(key, node)`` that two or more nodes have."""
+    pairs = pairs[np.argsort(pairs[:, 0])]
+    same = pairs[1:, 0] == pairs[:-1, 0]
+    keep = np.zeros(len(pairs), bool)
+    keep[1:] = same
+    keep[:-1] |= same
+    pairs = pairs[keep]
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    b, v = pairs[:, 0], pairs[:, 1]
+    fresh = np.ones(len(b), bool)
+    fresh[1:] = (b[1:] != b[:-1]) | (v[1:] != v[:-1])
+    b, v = b[fresh], v[fresh]
+    first = np.ones(len(b), bool)
+    first[1:] = b[1:] != b[:-1]
+    start = np.flatnonzero(first)
+    n = np.diff(np.append(start, len(b)))
+    hub, k = np.repeat(v[start], n), np.repeat(n > 1, n)
+    return pa.RecordBatch.from_arrays([pa.array(b[k]), pa.array(hub[k]), pa.array(v[k])], ["bucket", "hub", "node"])
+
+
+def _met_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts in order -> ``(bucket, hub, node)``; the keys of a part too large to sort here
+    come out as they are, with a null hub."""
+    trim()
+
+    def as_they_are(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 1])],
+                                          ["bucket", "hub", "node"])
+
+    whole: list[np.ndarray] = []  # of parts that are complete
+    open_: list[np.ndarray] = []  # of the part ``now``, which may go on
+    now, large, n_whole, n_open = None, False, 0, 0
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        if len(part) == 0:
+            continue
+        pairs = [np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2) for x in batch.column("blob")]
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for a, z in zip(cuts[:-1], cuts[1:]):
+            if part[a] != now:
+                whole += open_
+                now, large, n_whole, n_open, open_ = part[a], False, n_whole + n_open, 0, []
+                if n_whole >= PART_PAIRS:
+                    yield _met(np.concatenate(whole))
+                    whole, n_whole = [], 0
+            open_.append(np.concatenate(pairs[a:z]))
+            n_open += len(open_[-1])
+            if large or n_open > HELD_PAIRS:
+                yield as_they_are(np.concatenate(open_))
+                large, open_, n_open = True, [], 0
+    if n_whole + n_open:
+        yield _met(np.concatenate(whole + open_))
+
+
+def shared_keys(lines: DataFrame, max_edits: int, chars_per_edit: int, distinct: int) -> DataFrame:
+    """``(bucket, hub, node)`` of the keys that two or more of ``lines(node, line)`` emit.
+
+    Keys travel packed, up to BLOB_PAIRS a row, dealt by their top bits into parts of about
+    PART_PAIRS; a task sorts a part at a time.  Parts of more than HELD_PAIRS (a key
+    that very many lines share) are unpacked and go through Spark's own sort."""
+    emitted = distinct * max(1, places(200, max_edits, chars_per_edit).shape[1])
+    bits = min(MOST_PARTS, max(1, emitted // PART_PAIRS)).bit_length()
+    packed = lines.mapInArrow(_key_rows(max_edits, chars_per_edit, bits), "part int, blob binary")
+    met = packed.repartition("part").sortWithinPartitions("part").mapInArrow(_met_rows, "bucket long, hub long, node long")
+    met = save(met, "line-keys")
+    done, rest = met.where("hub is not null"), met.where("hub is null")
+    return done if rest.limit(1).count() == 0 else done.unionByName(save(shared_buckets(rest.select("bucket", "node")), "line-keys"))
+
+
 def _sketch_rows(bitmap):
     def run(batches):
         for batch in batches:
@@ -244,15 +345,17 @@ def _sketch_rows(bitmap):
     return run
 
 
-def line_classes(lines: DataFrame, max_edits: int = 2, chars_per_edit: int = 10) -> DataFrame:
+def line_classes(lines: DataFrame, max_edits: int = 2, chars_per_edit: int = 10, distinct: int | None = None) -> DataFrame:
     """``(node, comp)`` of the lines of ``lines(node, line)`` that link with others;
-    ``node`` is ``xxhash64(line)``."""
+    ``node`` is ``xxhash64(line)``.  ``distinct``: about how many different lines there are."""
     spark = lines.sparkSession
+    if distinct is None:
+        distinct = lines.agg(F.approx_count_distinct("node")).first()[0]
 
     def some(bitmap_of: DataFrame):
         return lines.select("node", "line", bitmap_slot("node")), spark.sparkContext.broadcast(id_bitmap(bitmap_of, "node"))
 
-    buckets = save(shared_buckets(lines.mapInArrow(_key_rows(max_edits, chars_per_edit), "bucket long, node long")), "line-keys")
+    buckets = shared_keys(lines, max_edits, chars_per_edit, distinct)
     need = save(buckets.select("node").distinct(), "line-nodes")
     rows, bitmap = some(need)
     nodes = rows.mapInArrow(_sketch_rows(bitmap), "node long, size long, sketch binary").dropDuplicates(["node"])
@@ -304,10 +407,13 @@ def dedup_lines(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10, r
     ``row`` tells rows with one doc_id, or none, apart: the column of that name, or a
     number given here (stable only once saved)."""
     lines = split_lines(docs, F.monotonically_increasing_id() if row is None else F.col(row))
-    if lines.where("node is not null").groupBy("node").agg(
-            (F.max(F.xxhash64(F.lit("b"), "line")) != F.min(F.xxhash64(F.lit("b"), "line"))).alias("clash")).where("clash").limit(1).count():
+    other = F.xxhash64(F.lit("b"), "line")
+    seen = lines.where("node is not null").groupBy("node").agg((F.max(other) != F.min(other)).alias("clash")).agg(
+        F.count("*").alias("n"), F.max("clash").alias("clash")).first()
+    if seen["clash"]:
         raise ValueError("two different lines share a 64-bit key")
-    classes = save(line_classes(lines.where("node is not null").select("node", "line"), max_edits, chars_per_edit), "line-classes")
+    classes = save(line_classes(lines.where("node is not null").select("node", "line"), max_edits, chars_per_edit, seen["n"]),
+                   "line-classes")
     # Saved, so that both uses below see the same row numbers.
     placed = save(lines.select("doc_id", "row", "text_key", "line_no", "node"), "line-places")
     placed = placed.join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -2,8 +2,11 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from contentflow.llm import line_dedup
 from contentflow.llm.line_dedup import (Powers, banded_distances, dedup_lines, line_keys, line_report, pair_sketch,
                                         threshold, without_repeated_lines)
 from contentflow.llm.queries import QUERIES
@@ -152,3 +155,30 @@ def test_rows_with_one_id_or_none(spark):
 
 def test_empty_table(spark):
     assert line_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("held", [1 << 22, 500])
+def test_packed_keys_meet_as_by_brute_force(monkeypatch, held):
+    monkeypatch.setattr(line_dedup, "HELD_PAIRS", held)
+    monkeypatch.setattr(line_dedup, "PART_PAIRS", 64)
+    rng = np.random.default_rng(4)
+    keys = rng.integers(-1 << 63, (1 << 63) - 1, 700)[rng.integers(0, 700, 3000)]
+    keys[rng.permutation(3000)[:1000]] = keys[0]  # a third has one key
+    nodes = rng.integers(-50, 5000, 3000)
+    want = {}
+    for k, v in zip(keys.tolist(), nodes.tolist()):
+        want.setdefault(k, set()).add(v)
+    for bits in (0, 1, 5, 12):
+        made = [line_dedup._blobs(keys[i::3].copy(), nodes[i::3].copy(), bits) for i in range(3)]
+        table = pa.Table.from_batches(made).sort_by("part")
+        out = pa.Table.from_batches(line_dedup._met_rows(iter(table.to_batches(max_chunksize=7)))).to_pylist()
+        rest, got = {}, {}
+        for r in out:
+            (rest if r["hub"] is None else got).setdefault(r["bucket"], []).append((r["hub"], r["node"]))
+        assert not set(rest) & set(got)
+        assert bool(rest) == (held == 500)
+        for k, v in want.items():
+            if k in rest:
+                assert {n for _, n in rest[k]} == v
+            else:
+                assert sorted(got.get(k, [])) == (sorted((min(v), n) for n in v) if len(v) > 1 else [])
