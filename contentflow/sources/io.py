@@ -254,8 +254,8 @@ def write_manifest(chapters: DataFrame, path: str, header: dict | None = None, *
 
 def write_manifest_document(chapters: DataFrame, path: str, header: dict | None = None) -> None:
     """SNK-01 as **one** document written by many tasks: the part files under ``path``, joined
-    in the order of their names, are one JSON text, ordered by chapter number and then by
-    the chapter's JSON (no number: last).  Each chapter is a line of its own, so no task and
+    in the order of their names, are one JSON text, ordered by chapter number and then by a
+    hash of the chapter's JSON (no number: last).  Each chapter is a line of its own, so no task and
     no row holds the document; equal chapters all stay.  ``header`` as in ``write_manifest``.
 
     The comma before a line depends on whether the line is the first, so the order is fixed
@@ -267,7 +267,8 @@ def write_manifest_document(chapters: DataFrame, path: str, header: dict | None
     rows = chapters.select(number.alias("_n"), F.to_json(_chapter_struct(chapters)).alias("line"),
                            F.monotonically_increasing_id().alias("_row"))
     # _row only tells equal lines apart, so that the ranges can part them.
-    ordered = rows.orderBy(F.col("_n").asc_nulls_last(), "line", "_row")
+    # The hash keeps the sample that finds the ranges small, however long a line is.
+    ordered = rows.orderBy(F.col("_n").asc_nulls_last(), F.xxhash64("line"), "_row")
     ordered.select(F.monotonically_increasing_id().alias("at"), "line").write.parquet(staged)
     lines = spark.read.schema("at long, line string").parquet(staged)
     total = header.get("total_chapters_available")
