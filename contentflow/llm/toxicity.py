@@ -7,9 +7,9 @@ state gives the window's logit.  A text is cut into overlapping windows of ``WIN
 that start every ``STRIDE`` words (the last one ends with the text), all of them are
 scored, and the text's score is that of its most toxic window.
 
-Trained here in numpy on a bounded sample: ``Settings.toxic_rows`` and ``clean_rows``
-labelled rows at most, of texts up to ``Settings.max_chars``, drawn by a hash of doc_id
-from the rows that are not held out.  A document's label is that of its windows' maximum, so
+Trained in numpy by one task on a bounded sample: ``Settings.toxic_rows`` and
+``clean_rows`` labelled rows at most, of texts up to ``Settings.max_chars``, drawn by a
+hash of doc_id from the rows that are not held out; the driver gets the weights only.  A document's label is that of its windows' maximum, so
 the steps train the windows that score highest.  Scoring covers every text in full.
 
 Defined cases: null, empty and blank texts have no word that could be toxic and score 0; rows without label are scored only; rows that repeat a doc_id are scored each; a
@@ -19,6 +19,7 @@ every score is the share of toxic ones (0 without rows).
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentflow.llm.common import U64, hash_strings, mix64, text_slices, words_of
+from contentflow.llm.common import U64, hash_strings, mix64, save, text_slices, trim, words_of
 
 WINDOW, STRIDE = 32, 24
 TRIGRAMS = 8192  # buckets
@@ -328,7 +329,8 @@ def held_out(doc_id) -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
     """Fit on a bounded hash sample of the labelled rows that are not held out.
 
-    The driver gets ``toxic_rows + clean_rows`` ids and texts of up to ``max_chars``.
+    One task gets ``toxic_rows + clean_rows`` ids and texts of up to ``max_chars``, the
+    driver the weights.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(
         ~held_out("doc_id"))
@@ -338,9 +340,19 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     # toxic_rows + clean_rows rows at most: bounded by the settings.
     rows = (docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text")).where(F.length("_text") <= s.max_chars)
             .join(F.broadcast(drawn), F.col("_doc") == F.col("_id")).dropDuplicates(["_id"])
-            .select("_id", "_text", "_toxic").collect())
-    rows.sort(key=lambda r: r["_id"])
-    return fit([r["_text"] for r in rows], [r["_toxic"] for r in rows], s)
+            .select("_id", "_text", "_toxic"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
+        got = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[0])
+        model = fit([r[1] for r in got], [r[2] for r in got], s)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+        del got, model
+        trim()
+
+    # Saved first: the sample is read by many tasks, only the training is one.
+    fitted = save(rows, "toxicity-sample").repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(fitted["model"]) if fitted else fit([], [], s)
 
 
 def scored(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:

@@ -1,12 +1,14 @@
 """op7: gradients by finite differences, held-out accuracy, whole texts."""
 
+import os
 import zlib
 
 import numpy as np
 import pyarrow as pa
 
 from contentflow.llm.queries import QUERIES
-from contentflow.llm.toxicity import (Inputs, Network, Settings, fit, toxicity_report, trigrams, without_toxic)
+from contentflow.llm import toxicity
+from contentflow.llm.toxicity import (Inputs, Model, Network, Settings, fit, toxicity_report, trigrams, without_toxic)
 
 SF = "/root/testdata/sf0.1"
 SMALL = Settings(rounds=5, vocabulary=50)
@@ -103,3 +105,10 @@ def test_reruns_agree():
     texts = ["good text", "nasty zzz text"] * 20
     a, b = (fit(texts, [0, 1] * 20, SMALL).score(pa.array(texts)) for _ in range(2))
     assert np.array_equal(a, b)
+
+
+def test_training_leaves_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, s: Model(None, {}, 1 / os.getpid()))
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert toxicity.train(docs, labels, SMALL).constant not in (0, 1 / os.getpid())
