@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentflow.llm.common import save, scratch, text_slices
+from contentflow.llm.common import save, scratch, text_slices, trim
 from contentflow.llm.tokens import encoder, release
 
 PRECISION = 20
@@ -164,14 +164,16 @@ def _encode_texts(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         for whole in batches:
-            for batch in text_slices(whole, "text", 2 << 20):
+            for batch in text_slices(whole, "text", 1 << 20):
                 offsets, ids = words.encode(batch.column("text"), end_id)
                 raw = ids.astype("<u2" if ids.dtype == np.uint16 else "<u4").tobytes()
                 w = ids.dtype.itemsize
                 cells = [raw[a * w:b * w] for a, b in zip(offsets[:-1], offsets[1:])]
-                yield pa.RecordBatch.from_arrays(
+                out = pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(cells, pa.binary()), pa.array(np.diff(offsets))], ["doc_id", "ids", "n"])
-            pa.default_memory_pool().release_unused()
+                del offsets, ids, raw, cells
+                trim()
+                yield out
     return run
 
 

@@ -10,6 +10,7 @@ the vocabulary's word-end marks.  Words that hold ``<|`` (special tokens) are le
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -17,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from contentflow.llm.common import words_of
+from contentflow.llm.common import trim, words_of
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -79,14 +80,17 @@ class FormTable:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
-    """The worker process's encoder: its cache outlives a task."""
+    """The worker process's encoder: its cache outlives a task.
+
+    Spark runs a task per core; threads of the library's own would only hold memory."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordEncoder(path)
 
 
 def release() -> None:
     """Give back the memory of earlier tasks' encoders and of Arrow's pool."""
     encoder.cache_clear()
-    pa.default_memory_pool().release_unused()
+    trim()
 
 
 class WordEncoder:

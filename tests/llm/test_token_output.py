@@ -1,16 +1,19 @@
 """op4 and op10: ids against the library, exact round trips, counts against lists."""
 
+import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from contentflow.llm import token_output
 from contentflow.llm.length_histogram import answers, quantile_lengths, token_counts
 from contentflow.llm.queries import QUERIES
 from contentflow.llm.token_output import (Coder, crc_join, crc_of, documents_of, read_tokens, scaled_frequencies,
                                           write_tokens)
-from contentflow.llm.tokens import WordEncoder, vocabulary_path
+from contentflow.llm.tokens import WordEncoder, encoder, release, vocabulary_path
 
 SF = "/root/testdata/sf0.01"
 ODD = [None, "", " \n", "a", "don't WON'T x's", "<|endoftext|>a <|startoftext|>", "Ä́ é ́x", "a b c d",
@@ -149,3 +152,19 @@ def test_counts_of_odd_and_empty(spark, library):
     got = {r["context_limit"]: r["n_docs"] for r in token_counts(df, vocabulary_path()).collect()}
     assert got == {x: n.count(x) for x in set(n)}
     assert token_counts(df.limit(0), vocabulary_path()).collect() == []
+
+
+def test_encoder_starts_no_threads_of_its_own(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    release()
+    encoder(vocabulary_path())
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_memory_is_given_back_after_every_slice(monkeypatch):
+    calls = []
+    monkeypatch.setattr(token_output, "trim", lambda: calls.append(1))
+    texts = ["some plain words " * 20000] * 6  # 340 KB each
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(6)), "text": texts})
+    out = list(token_output._encode_texts(vocabulary_path(), 2)(iter([batch])))
+    assert sum(b.num_rows for b in out) == 6 and len(calls) == len(out) >= 2
