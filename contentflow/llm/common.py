@@ -326,7 +326,8 @@ def _cross_pairs(dealt: DataFrame, admissible: Callable, limit: int) -> DataFram
     """Admissible pairs between components, the ``limit`` best per pair of
     components and block pair; ``more`` is true where others were left."""
     def run(key, table):
-        trim()
+        if table.num_rows > 512:  # small groups leave little behind, and there are very many
+            trim()
         i, j = key[1].as_py(), key[2].as_py()
         table = table.sort_by([("node", "ascending")])
         mine = table.column("mine").to_numpy()

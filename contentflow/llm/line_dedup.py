@@ -406,7 +406,8 @@ def dedup_lines(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10, r
     line_no, node, comp, kept``, and the classes of linked lines ``(node, comp)``.
     ``row`` tells rows with one doc_id, or none, apart: the column of that name, or a
     number given here (stable only once saved)."""
-    lines = split_lines(docs, F.monotonically_increasing_id() if row is None else F.col(row))
+    # Saved once: texts are split and hashed in one pass, and all uses see the same row numbers.
+    lines = save(split_lines(docs, F.monotonically_increasing_id() if row is None else F.col(row)), "line-places")
     other = F.xxhash64(F.lit("b"), "line")
     seen = lines.where("node is not null").groupBy("node").agg((F.max(other) != F.min(other)).alias("clash")).agg(
         F.count("*").alias("n"), F.max("clash").alias("clash")).first()
@@ -414,9 +415,7 @@ def dedup_lines(docs: DataFrame, max_edits: int = 2, chars_per_edit: int = 10, r
         raise ValueError("two different lines share a 64-bit key")
     classes = save(line_classes(lines.where("node is not null").select("node", "line"), max_edits, chars_per_edit, seen["n"]),
                    "line-classes")
-    # Saved, so that both uses below see the same row numbers.
-    placed = save(lines.select("doc_id", "row", "text_key", "line_no", "node"), "line-places")
-    placed = placed.join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    placed = lines.drop("line").join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     # Ids that are null sort last: (false, id) < (true, null).
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "line_no", "text_key", "row")
     first = placed.where("comp is not null").groupBy("comp").agg(F.min(place).alias("first"))

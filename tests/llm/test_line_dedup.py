@@ -153,6 +153,14 @@ def test_rows_with_one_id_or_none(spark):
     assert report[5]["first_dropped_class"] is not None
 
 
+def test_texts_are_split_once(spark, monkeypatch):
+    plans = []
+    classes = line_dedup.line_classes
+    monkeypatch.setattr(line_dedup, "line_classes", lambda lines, *a: plans.append(lines) or classes(lines, *a))
+    dedup_lines(spark.createDataFrame(planted(), "doc_id long, text string"))
+    assert "Generate" not in plans[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_empty_table(spark):
     assert line_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
