@@ -56,6 +56,44 @@ def test_random_unicode_encodes_like_the_library(library):
         assert [ids[x:y].tolist() for x, y in zip(off[:-1], off[1:])] == want
 
 
+def test_tails_of_all_ascii_punctuation_encode_like_the_library(library):
+    """Stems of every size around the exact keys' 15 bytes, Latin ends, and the marks themselves inside words."""
+    import random
+    rnd = random.Random(5)
+    marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    stems = ["", "Don't", "x-y", "a\u0300", "\u0130", "\u00d7", "\u00f7", "\u00c0", "\u024f", "\u0250", "\u0131", "\u65e5\u672c", "7", "\u00b2", "\x00", "a\x00"]
+    stems += ["Ab\u00e9cd" * 9][:1] + [("wordsOfText" * 3)[:k] for k in range(1, 33)]
+    texts = ["a<|startoftext|>b<|endoftext|>", "<|STARTOFTEXT|>!", "x<|", "a< |startoftext|>", "\u00e9<|startoftext|>!!", "q|>&& <| z#"]
+    texts += [" ".join(rnd.choice(stems) + "".join(rnd.choices(marks, k=rnd.randint(0, 4))) + rnd.choice(("", "", "s", "re"))
+                       for _ in range(rnd.randint(1, 5))) for _ in range(30000)]
+    enc = WordEncoder(vocabulary_path(), cache=20000)
+    for a in range(0, len(texts), 2000):
+        part = texts[a:a + 2000]
+        want = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+        for end in ([2], []):
+            off, ids = enc.encode(pa.array(part), *end)
+            assert [ids[x:y].tolist() for x, y in zip(off[:-1], off[1:])] == [w + end for w in want]
+
+
+def test_words_with_punctuation_cost_no_input_each(library):
+    """A stem is encoded once whatever follows it, and other forms go many to one input of the library."""
+    class Spy:
+        inputs = words = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.inputs += len(texts)
+            self.words += sum(t.count("word") for t in texts)
+            return library.encode_batch_fast(texts, **options)
+
+    enc = WordEncoder(vocabulary_path())
+    enc.tokenizer = Spy()
+    letters = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    texts = [" ".join(w + tail for w in letters for tail in ("", "&&&", "***", ",###", ".")), " ".join(f"{w}-{w[::-1]}" for w in letters)]
+    off, ids = enc.encode(pa.array(texts), 2)
+    assert [ids[x:y].tolist() for x, y in zip(off[:-1], off[1:])] == [reference(library, t) for t in texts]
+    assert enc.tokenizer.words == 800 and enc.tokenizer.inputs <= 3
+
+
 def test_coder_round_trip_and_checkpoints():
     rng = np.random.default_rng(0)
     counts = np.zeros(500, np.int64)
